@@ -156,12 +156,14 @@ def split_field(column: Column, grammar: Grammar = Grammar()) -> Column:
             dtype=object,
         )
 
-    return split(column)
+    return split.asNondeterministic()(column)  # computed once, not again in each filter
 
 
-def split_rows(frame: DataFrame, keys: list[str], fields: list[str], grammar: Grammar = Grammar(), least: int = 2) -> DataFrame:
+def split_rows(frame: DataFrame, keys: list[str], fields: list[str], grammar: Grammar = Grammar(), least: int = 2, strict: bool = True) -> DataFrame:
     """One row per value of each field that holds at least ``least`` values.
 
+    ``strict`` leaves out what is no whole value (headings, leftover pieces).
+
     Result: the keys, ``field``, ``pos``, ``item``, ``error``. Repeated rows are reduced
     before the parser runs.
     """
@@ -170,7 +172,7 @@ def split_rows(frame: DataFrame, keys: list[str], fields: list[str], grammar: Gr
     parsed = (
         long.where(F.col("text").isNotNull() & (F.length(F.trim("text")) > 0))
         .dropDuplicates([*keys, "field", "text"])
-        .withColumn("values", split_field(F.col("text"), grammar))
+        .withColumn("values", F.filter(split_field(F.col("text"), grammar), lambda v: ~v["error"].eqNullSafe("no_tail") if strict else F.lit(True)))
         .where(F.size("values") >= least)
     )
-    return parsed.select(*keys, "field", F.explode("values").alias("v")).select(*keys, "field", "v.pos", "v.item", "v.error")
+    return parsed.select(*keys, "field", F.posexplode("values").alias("i", "v")).select(*keys, "field", (F.col("i") + 1).alias("pos"), "v.item", "v.error")
