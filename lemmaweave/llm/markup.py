@@ -174,9 +174,8 @@ def template(counted: DataFrame, least_pages: int = 3) -> DataFrame:
     return members.unionByName(nested).distinct()
 
 
-def found(frame: DataFrame, keys: list[str], host: str, fields: list[str]) -> DataFrame:
-    """Distinct (keys, field) of the fields that hold markup."""
-    counted = page_tokens(frame, keys, host, fields)
+def found(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct (keys, field) of the fields that hold markup, from ``page_tokens``."""
     deduced = counted.join(template(counted), ["_host", "role"], "left_semi")
     firm = counted.where("firm")
     return firm.select(*keys, "field").unionByName(deduced.where("firm").select(*keys, "field")).distinct()
