@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lemmaweave.llm import encoding, lookalikes, markup, scan_noise
+from lemmaweave.llm import canonical, encoding, lookalikes, markup, scan_noise
+from lemmaweave.operators.skew import heavy_values, join_by_value
 from lemmaweave.sources import cut, spread, table
 
 TEXTS = ["body_text", "werke_raw", "literatur_raw"]
@@ -45,6 +46,32 @@ def p2_restored(spark: SparkSession, root: str) -> DataFrame:
     return fixed.select(F.col("id").alias("entry_id"), "headword_fixed", "headword_chain", "body_text_fixed", "body_text_chain")
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    resolved = table(spark, root, "resolved_cross_references", "entry_id", "ordinal", "raw_target", "status")
+    open_ = resolved.where("status = 'unresolved'").select("entry_id", F.col("ordinal").cast("string").alias("sub_key"), F.col("raw_target").alias("value")).distinct()
+    # Only words cut at a line end need their context, so only those rows are exchanged.
+    ends = r"(?s)\w[-‐¬\x{AD}]\s*$"
+    contexts = (
+        table(spark, root, "cross_references", "entry_id", "ordinal", "raw_target", "raw_context")
+        .where(F.col("raw_target").rlike(ends))
+        .groupBy("entry_id", F.col("ordinal").cast("string").alias("sub_key"), F.col("raw_target").alias("value"))
+        .agg(F.max("raw_context").alias("context"))
+    )
+    whole = open_.where(~F.col("value").rlike(ends) | F.col("value").isNull()).withColumn("context", F.lit(None).cast("string"))
+    parted = open_.where(F.col("value").rlike(ends)).join(contexts, ["entry_id", "sub_key", "value"], "left")
+    lemmas = table(spark, root, "lemmas", "entry_id", "variant_type", "lemma").where("variant_type = 'redirect_alias'")
+    aliases = lemmas.select(F.lit("lemma").alias("field"), "entry_id", F.col("variant_type").alias("sub_key"), F.col("lemma").alias("value"), F.lit(None).cast("string").alias("context")).distinct()
+    rows = whole.unionByName(parted).withColumn("field", F.lit("raw_target")).unionByName(aliases)
+    # One value may hold a third of the rows: each (value, context) is mapped once, and
+    # the mapping comes back to the rows by their key, heavy keys by broadcast.
+    rows = rows.withColumn("key", F.to_json(F.struct("value", "context")))
+    counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("value").alias("value"), F.first("context").alias("context"))
+    to_ids = canonical.mapped(counted.select("value", "context"), table(spark, root, "lemma_register", "register_id", "lemma"))
+    mapping = to_ids.select(F.to_json(F.struct("value", "context")).alias("key"), "register_id")
+    found = join_by_value(rows, mapping, "key", heavy_values(counted, "key", "n"))
+    return found.groupBy("field", "entry_id", "sub_key").agg(F.max("register_id").alias("register_id"))
+
+
 def _scan_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts, word counts and misreadings of the corpus."""
     entries = spread(table(spark, root, "entries", "id", "headword", "body_text"), spark)
