@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lemmaweave.llm import canonical, encoding, lookalikes, markup, scan_noise
+from lemmaweave.llm import canonical, encoding, leakage, lookalikes, markup, packing, residue, scan_noise
 from lemmaweave.operators.skew import heavy_values, join_by_value
 from lemmaweave.sources import cut, spread, table
 
@@ -118,6 +118,41 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _packed(spark: SparkSession, root: str) -> DataFrame:
+    import public_tokenizers
+
+    documents = spread(table(spark, root, "documents", "doc_id", "text"), spark)
+    sizes = cut(packing.measured(documents, public_tokenizers.path("byte_bpe_50k.tiktoken")), spark)
+    rows = table(spark, root, "container_sizes", "size_id", "capacity_tokens").distinct().limit(1000).collect()
+    return packing.packed(sizes, sorted((r.size_id, r.capacity_tokens) for r in rows))
+
+
+def p8_pack(spark: SparkSession, root: str) -> DataFrame:
+    return _packed(spark, root)
+
+
+def p8_report(spark: SparkSession, root: str) -> DataFrame:
+    return packing.report(_packed(spark, root), table(spark, root, "container_sizes"))
+
+
+def _leaks(spark: SparkSession, root: str) -> DataFrame:
+    documents = spread(table(spark, root, "documents", "doc_id", "text"), spark)
+    return leakage.leaks(documents, table(spark, root, "eval_items", "item_id", "text"), spark)
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    return _leaks(spark, root).select("doc_id", "item_id").distinct()
+
+
+def p9_matches(spark: SparkSession, root: str) -> DataFrame:
+    kind = F.when(F.col("edits") == 0, "phrase").otherwise("proximity")
+    return _leaks(spark, root).select("doc_id", "item_id", "start", "words", "edits", kind.alias("kind"))
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return residue.found(spread(table(spark, root, "documents", "doc_id", "text"), spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(f)}
 
