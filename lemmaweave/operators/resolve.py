@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from lemmaweave.functions import text as T
 from lemmaweave.operators.skew import heavy_values, join_by_value
+from lemmaweave.sources import cut
 
 MAX_HOPS = 3
 RESOLVED = ["same_volume", "cross_volume", "deinflected", "slash_half"]
@@ -107,6 +108,7 @@ def funnel(references: DataFrame, indexed: DataFrame, words_only: bool = False)
     context = F.lit(None).cast("string") if words_only else F.col("raw_context")
     rows = rows.withColumn("form", F.to_json(F.struct("volume", "raw_target", context.alias("c"))))
     counted = rows.groupBy("form").agg(F.count(F.lit(1)).alias("_n"), F.first("volume").alias("volume"), F.first("raw_target").alias("raw_target"), F.first(context).alias("raw_context"))
+    counted = cut(counted, rows.sparkSession)
     asked = probes(counted, words_only)
     said = lookups(asked, indexed)
     answered = asked.join(said, ["ix", "key", "volume"])
@@ -124,6 +126,7 @@ def funnel(references: DataFrame, indexed: DataFrame, words_only: bool = False)
         "form", status.alias("s"), F.col("b.winner.entry_id").alias("resolved_entry_id"), F.col("b.winner.volume").alias("to_volume"),
         F.coalesce("b.key", "bare").alias("match_key"), F.col("b.suffix").alias("suffix_stripped"), F.coalesce("b.n_words", F.lit(1)).alias("match_words"), F.col("b.scope").alias("scope"),
     )
+    decided = cut(decided, rows.sparkSession)  # both parts of the join read it
     out = join_by_value(rows, decided, "form", heavy_values(counted, "form", "_n"))
     final = F.coalesce("s", F.when(F.col("to_volume") == F.col("volume"), "same_volume").otherwise("cross_volume"))
     return out.select("entry_id", "ordinal", "raw_target", final.alias("status"), "resolved_entry_id", "match_key", "suffix_stripped", "match_words", "scope")
@@ -159,10 +162,12 @@ def chase(resolved: DataFrame, hops: DataFrame, most: int = MAX_HOPS) -> DataFra
 def run(entries: DataFrame, references: DataFrame, only: str | None = None, most: int = MAX_HOPS) -> DataFrame:
     """Resolve all references; ``only`` keeps sources whose volume contains it (the index
     always covers all volumes)."""
-    entries, references = latest(entries), delivered(references)
-    indexed = index(entries)
+    # Read by several steps each, so made once: the lineage would otherwise multiply.
+    spark = entries.sparkSession
+    entries, references = cut(latest(entries), spark), cut(delivered(references), spark)
+    indexed = cut(index(entries), spark)
     sources = references if only is None else references.where(F.contains(T.volume_of("entry_id"), F.lit(only)))
-    return chase(funnel(sources, indexed), next_hop(entries, references, indexed), most)
+    return chase(cut(funnel(sources, indexed), spark), cut(next_hop(entries, references, indexed), spark), most)
 
 
 def candidates(resolved: DataFrame, indexed: DataFrame) -> DataFrame:

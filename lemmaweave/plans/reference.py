@@ -238,7 +238,7 @@ done AS (SELECT f.entry_id, f.ordinal, f.raw_target, f.status, coalesce(w.at1, f
 
 def _run(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     entries = table(spark, root, "entries", "id", "headword", "volume", "entry_type", "loaded_at")
-    resolved = resolve.run(entries, table(spark, root, "cross_references", "entry_id", "ordinal", "raw_target", "raw_context", "loaded_at"))
+    resolved = cut(resolve.run(entries, table(spark, root, "cross_references", "entry_id", "ordinal", "raw_target", "raw_context", "loaded_at")), spark)
     return resolved, resolve.index(resolve.latest(entries))
 
 
@@ -712,6 +712,7 @@ def streamed_deliveries(spark: SparkSession, root: str) -> DataFrame:
 
     whole = os.path.isdir(f"{root}/entries.parquet")
     stream = ingest.entries_stream(spark, f"{root}/entries.parquet" if whole else root, schema, "*" if whole else "entries.parquet")
+    stream = stream.withColumn("loaded_at", F.col("loaded_at").cast("timestamp"))
     ingest.drain(ingest.once(stream, ["id"]), f"{folder}/rows", f"{folder}/state")
     return spark.read.parquet(f"{folder}/rows").groupBy("volume").agg(F.count(F.lit(1)).alias("n"))
 
