@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from lemmaweave.llm.lookalikes import unify
 from lemmaweave.llm.scan_noise import SUSPENDED, skeleton
+from lemmaweave.sources import cut
 
 #: Lowest Jaccard of a match on bigrams, and the most edits of one.
 THRESHOLD, EDITS = 0.33, 2
@@ -143,9 +144,11 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESH
     """
     sides = left.select(F.lit(0).alias("side"), F.col("id").cast("string").alias("id"), "tokens").unionByName(right.select(F.lit(1).alias("side"), F.col("id").cast("string").alias("id"), "tokens"))
     exploded = sides.select("side", "id", F.explode("tokens").alias("token"))
+    exploded = cut(exploded, left.sparkSession)
     rarity = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     ordered = exploded.join(rarity, "token").groupBy("side", "id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("s"))
     ordered = ordered.select("side", "id", F.transform("s", lambda t: t["token"]).alias("tokens"), F.size("s").alias("size"))
+    ordered = cut(ordered, left.sparkSession)
     length = F.col("size") - F.ceil(F.col("size") * threshold) + 1
     prefixes = ordered.select("side", "id", "tokens", "size", F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("pos", "token"))
     a = prefixes.where("side = 0").select("token", F.col("id").alias("left_id"), F.col("tokens").alias("ta"), F.col("size").alias("na"), F.col("pos").alias("pa"))
@@ -187,6 +190,8 @@ def mapped(values: DataFrame, register: DataFrame, threshold: float = THRESHOLD,
     entries = register.where(F.col("lemma").isNotNull()).select("register_id", "lemma").distinct()
     entries = entries.withColumn("f", to_forms.asNondeterministic()(F.col("lemma"), F.lit(None).cast("string"))).select("register_id", F.col("f.noun").alias("entry"), F.col("f.adjective").alias("entry_adjective"), plain(F.col("lemma")).alias("plain"))
 
+    spark = values.sparkSession
+    shaped, entries = cut(shaped, spark), cut(entries, spark)  # Python ran once; several joins read them
     nouns = shaped.where((F.length("noun") >= 4) & (F.col("stem") == "")).select(F.col("noun").alias("id")).distinct()
     pairs = similarity_join(nouns.withColumn("tokens", to_tokens(F.col("id"))), entries.select(F.col("register_id").alias("id"), to_tokens(F.col("entry")).alias("tokens")), threshold)
     known = entries.select(F.col("register_id").cast("string").alias("right_id"), "register_id", "entry", "entry_adjective")

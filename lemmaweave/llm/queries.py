@@ -66,8 +66,9 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     # the mapping comes back to the rows by their key, heavy keys by broadcast.
     rows = rows.withColumn("key", F.to_json(F.struct("value", "context")))
     counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("value").alias("value"), F.first("context").alias("context"))
+    counted = cut(counted, spark)
     to_ids = canonical.mapped(counted.select("value", "context"), table(spark, root, "lemma_register", "register_id", "lemma"))
-    mapping = to_ids.select(F.to_json(F.struct("value", "context")).alias("key"), "register_id")
+    mapping = cut(to_ids.select(F.to_json(F.struct("value", "context")).alias("key"), "register_id"), spark)
     found = join_by_value(rows, mapping, "key", heavy_values(counted, "key", "n"))
     return found.groupBy("field", "entry_id", "sub_key").agg(F.max("register_id").alias("register_id"))
 
