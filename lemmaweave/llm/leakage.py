@@ -190,6 +190,8 @@ def chains(hits: list[tuple[int, int]], least: int = LEAST, rate: float = RATE)
 
 
 def _match(documents: DataFrame, terms: Terms, spark: SparkSession, key: str, text: str, least: int) -> DataFrame:
+    if not terms.postings:
+        return documents.select(key, F.lit(0).cast("long").alias("item_id"), *[F.lit(0).alias(c) for c in ("start", "words", "edits")]).limit(0)
     index = cut(postings(documents, terms, spark, key, text), spark)  # the stored index
     item_terms = spark.createDataFrame(pd.DataFrame(terms.postings, columns=["item_id", "at", "term"]).astype({"item_id": "int64", "at": "int32", "term": "int32"}))
     # Rarity: a term is counted in documents, combined map-side; terms are bounded by the block.
@@ -203,8 +205,9 @@ def _match(documents: DataFrame, terms: Terms, spark: SparkSession, key: str, te
         for i in range(len(list_) - SEEDS + 1):
             at, term = min(list_[i : i + SEEDS], key=lambda x: (rarity.get(x[1], 0), x[1], x[0]))
             seeds.add((item, at, term))
+    # A passage with fewer terms than SEEDS is below the least length of a match anyway.
     if not seeds:
-        return item_terms.select(F.lit(None).cast(dict(documents.dtypes)[key]).alias(key), "item_id", *[F.lit(0).alias(c) for c in ("start", "words", "edits")]).limit(0)
+        seeds = {(item, at, term) for item, at, term in terms.postings}
     seed_terms = spark.createDataFrame(pd.DataFrame(sorted(seeds), columns=["item_id", "at", "term"]).astype({"item_id": "int64", "at": "int32", "term": "int32"}))
     # A block's terms are at most BLOCK passages long, which is the bound of both broadcasts.
     met = index.join(F.broadcast(seed_terms), "term").select(key, "item_id").distinct()
