@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lemmaweave.functions import text as T
-from lemmaweave.operators import checks, dates, display, graph, lemmas, parse, resolve, search, story, votes
+from lemmaweave.operators import checks, dates, display, graph, layout, lemmas, parse, resolve, search, story, votes
 from lemmaweave.plans import sql as S
 from lemmaweave.sources import cut, shared_folder, sinks, spread, table
 
@@ -620,6 +620,66 @@ def pages_as_of(spark: SparkSession, root: str) -> DataFrame:
     return votes.as_of(rows.select("id", "volume", "ordinal"), marks, ["volume"], "ordinal", "page").select("id", "page")
 
 
+# --- layout and evidence ---------------------------------------------------------------
+
+
+def _pages(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Pages and spans put together from the entries: one block per entry, its headword in
+    bold, and the first headword of a page as its running head."""
+    rows = _entries(spark, root, "volume", "ordinal", "pdf_page_start", "body_text").where("headword IS NOT NULL AND pdf_page_start IS NOT NULL")
+    by = ["volume", F.col("pdf_page_start").alias("page")]
+    text = F.concat_ws("\n\n", F.concat(F.lit("**"), "headword", F.lit("**")), "body_text")
+    pages = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("ordinal", "headword", text.alias("t")))).alias("e"))
+    whole = F.concat(F.col("e")[0]["headword"], F.lit("\n\n"), F.array_join(F.transform("e", lambda x: x["t"]), "\n\n"), F.lit("\n\n"), F.col("page").cast("string"))
+    spans = rows.select(*by, F.col("ordinal").alias("block"), F.lit(0).alias("line"), F.lit(0).alias("span"), F.col("headword").alias("text"), F.lit("Bold").alias("font"), F.lit(False).alias("full_width"))
+    bands = pages.select("volume", "page", F.lit(-1).alias("block"), F.lit(0).alias("line"), F.lit(0).alias("span"), F.col("e")[0]["headword"].alias("text"), F.lit("Bold").alias("font"), F.lit(True).alias("full_width"))
+    return pages.select("volume", "page", whole.alias("text")), spans.unionByName(bands)
+
+
+def _tagged_pages(spark: SparkSession, root: str) -> DataFrame:
+    pages, spans = _pages(spark, root)
+    found = layout.lines(spans, "Bold")
+    return layout.tagged(pages, layout.candidates(found), layout.running_heads(found))
+
+
+@query()
+def tagged_pages(spark: SparkSession, root: str) -> DataFrame:
+    return _tagged_pages(spark, root).drop("verdicts")
+
+
+@query()
+def tagging_diagnosis(spark: SparkSession, root: str) -> DataFrame:
+    return layout.diagnosis(_tagged_pages(spark, root))
+
+
+@query(
+    f"""WITH {S.ENTRIES}, f AS (SELECT volume, pdf_page_start AS page, headword, row_number() OVER (PARTITION BY volume, pdf_page_start ORDER BY ordinal) AS rn FROM e WHERE headword IS NOT NULL AND pdf_page_start IS NOT NULL)
+SELECT volume, page, {S.strip('headword')} AS head FROM f WHERE rn = 1 AND length({S.strip('headword')}) > 1"""
+)
+def running_heads(spark: SparkSession, root: str) -> DataFrame:
+    return layout.running_heads(layout.lines(_pages(spark, root)[1], "Bold"))
+
+
+@query(
+    f"""WITH {S.ENTRIES}, w AS (SELECT unnest(regexp_extract_all(body_text, '([\\p{{L}}�]+)', 1)) AS word FROM e), u AS (SELECT split_part(word, '�', 1) || '[?]' || split_part(word, '�', 2) AS masked FROM w WHERE length(word) >= 4 AND length(replace(word, '�', '')) = length(word) - 1),
+k AS (SELECT '�' AS code, masked, count(*) AS n FROM u GROUP BY masked) SELECT * FROM (SELECT *, row_number() OVER (ORDER BY n DESC, masked) AS rank FROM k) WHERE rank <= 10"""
+)
+def unreadable_evidence(spark: SparkSession, root: str) -> DataFrame:
+    return layout.evidence(layout.unknown_words(_entries(spark, root, "body_text"), "body_text"))
+
+
+@query()
+def unreadable_letters(spark: SparkSession, root: str) -> DataFrame:
+    rows = _entries(spark, root, "body_text")
+    return votes.vote(layout.unknown_words(rows, "body_text"), votes.word_counts(rows, "body_text"), share=0.3, margin=1.0)
+
+
+@query("SELECT name, code, letter FROM (VALUES ('/C225', 225, 'α'), ('C233', 233, 'ι'), ('/C65', 65, NULL), ('/x', NULL, NULL)) AS v(name, code, letter)")
+def decoded_names(spark: SparkSession, root: str) -> DataFrame:
+    glyphs = spark.createDataFrame([("/C225",), ("C233",), ("/C65",), ("/x",)], "name string")
+    return layout.decoded_names(glyphs, layout.code_page(spark, "iso8859_7")).select("name", "code", "letter")
+
+
 # --- exports and checks ---------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lemmaweave.functions import text as T
-from lemmaweave.operators import dates, display, graph, lemmas, parse, resolve, search, story, votes
+from lemmaweave.operators import dates, display, graph, layout, lemmas, parse, resolve, search, story, votes
 
 NOW = dt.datetime(2024, 1, 1)
 
@@ -195,3 +195,20 @@ def test_search_and_story(spark):
     now = spark.createDataFrame([(0, "a"), (1, "c"), (2, "d")], "community int, anchor string")
     assert {r.community: r.verdict for r in story.label_check(labels, now).collect()} == {0: "ok", 1: "stale", 2: "missing"}
     assert {r.era: r.n for r in story.eras(spark.createDataFrame([(-428,), (500,), (1900,), (None,)], "birth int")).collect()} == {"antiquity": 1, "middle_ages": 1, "early_modern": 0, "nineteenth": 0, "modern": 1}
+
+
+def test_layout(spark):
+    spans = [("V", 1, 0, 0, 0, "Hegelsche Logik", "Bold", True)] + [("V", 1, b, 0, s, t, f, False) for b, s, t, f in ((1, 0, "Hegelsche", "Bold"), (2, 0, "Logik", "Bold"), (2, 1, ", Lehre von, etwas", "Roman"), (3, 0, "kein Kopf", "Roman"), (4, 0, "Abel", "Bold"))]
+    frame = spark.createDataFrame(spans, "volume string, page int, block int, line int, span int, text string, font string, full_width boolean")
+    found = layout.lines(frame, "Bold")
+    heads, wanted = layout.running_heads(found), layout.candidates(found)
+    assert [r["head"] for r in heads.collect()] == ["Hegelsche Logik"]
+    assert {r.lemma: r.anchor for r in wanted.collect()} == {"Hegelsche": "Hegelsche", "Logik": "Logik, Lehre von,", "Abel": "Abel"}
+    pages = spark.createDataFrame([("V", 1, "Hegelsche Logik\n\n17\n\nText vorher.\n\n**Hegelsche** _Logik_, Lehre von, etwas\n\nAbel und Abel"), ("V", 2, None)], "volume string, page int, text string")
+    got = {r.page: r for r in layout.tagged(pages, wanted, heads).collect()}
+    assert got[1].printed_page == 17 and "<!-- entry:Hegelsche Logik -->**Hegelsche**" in got[1].text and got[2].text is None
+    assert "\n\n<!-- entry:Abel -->Abel und Abel" in got[1].text and not got[1].text.startswith("Hegelsche Logik")
+    assert {r.verdict: r.n for r in layout.diagnosis(layout.tagged(pages, wanted, heads)).collect()} == {"tagged": 2}
+    starts = spark.createDataFrame([("V", 2)], "volume string, first_page int")
+    assert [r.page for r in layout.in_body(pages, starts).collect()] == [2]
+    assert layout.place("Abel\nAbel", "Abel") == ("ambiguous", None) and layout.place("x", " ") == ("empty_anchor", None)
