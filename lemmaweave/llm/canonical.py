@@ -52,19 +52,34 @@ def complete(value: str, context: str | None) -> str:
     return cut[1] + rest[1] if rest else cut[1]
 
 
+_UMLAUTS = str.maketrans({"ä": "a", "ö": "o", "ü": "u", "0": "o", "1": "l", "9": "g", "6": "g", "8": "b", "5": "s"})
+
+
 def fold(word: str) -> str:
-    """Comparable form of one word: misreadings, umlauts and case folded."""
+    """Comparable form of one word: case, umlauts and single misread signs folded."""
     if word.isupper() and len(word) > 1:
         word = word.lower()
-    word = re.sub(r"(?<=[a-zäöü])B(?=[a-z])", "ss", word.replace("ß", "ss"))
-    # A doubled i is as likely a slip as a misread ü; ``nearness`` tries both.
-    word = word.replace("cli", "ch").replace("ii", "i\x01i").replace("rm", "r\x01m")
-    word = skeleton(word[:1].upper() + word[1:]).lower().replace("\x01", "")
-    for a, b in (("ä", "a"), ("ö", "o"), ("ü", "u"), ("ae", "a"), ("oe", "o"), ("ue", "u")):
+    word = re.sub(r"(?<=[a-zäöü])B(?=[a-z])", "ss", word)
+    return word.lower().replace("ß", "ss").translate(_UMLAUTS)
+
+
+def spelled(word: str) -> str:
+    """A folded word with umlauts that were written as two letters."""
+    for a, b in (("ae", "a"), ("oe", "o"), ("ue", "u")):
         word = word.replace(a, b)
     return word
 
 
+def misread(word: str) -> str:
+    """A folded word with all confusable letters folded as well."""
+    return skeleton(spelled(word).replace("cli", "ch").replace("ii", "u")).lower()
+
+
+def misread_h(word: str) -> str:
+    """The same, where ``lii`` is read as ``hi`` and not as ``lü``."""
+    return skeleton(spelled(word).replace("cli", "ch").replace("li", "h")).lower()
+
+
 def forms(value: str | None, context: str | None = None) -> tuple[str, str, str]:
     """(noun, adjective, stem): folded noun and adjective; stem if abbreviated, else ''."""
     if not value:
@@ -125,16 +140,14 @@ def edits(a: str, b: str) -> int:
 
 
 def nearness(value: str, entry: str) -> int:
-    """Edits between a value and an entry, an ending of the value left aside."""
+    """Edits between a value and an entry, an ending of the value left aside.
+
+    Compared as they stand, with umlauts respelled, with a sharp s as one letter, and with
+    confusable letters folded: a slip may look like a respelling or a misreading.
+    """
     bare = [value, *(value[: -len(e)] for e in ENDINGS if value.endswith(e) and len(value) > len(e) + 3)]
-    if "ii" in value:
-        bare += [v.replace("ii", "u") for v in bare]
-    if "rm" in value:
-        bare += [v.replace("rm", "nn") for v in bare]
-    pairs = [(v, entry) for v in bare]
-    if "ss" in entry:  # a sharp s is one letter, however it is spelled
-        pairs += [(v.replace("ss", "ß"), entry.replace("ss", "ß")) for v in bare]
-    return min(edits(v, e) for v, e in pairs)
+    views = [str, spelled, misread, misread_h] + ([lambda w: w.replace("ss", "ß")] if "ss" in entry else [])
+    return min(edits(f(v), f(entry)) for f in views for v in bare)
 
 
 def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -174,9 +187,10 @@ def mapped(values: DataFrame, register: DataFrame, threshold: float = THRESHOLD,
     def to_forms(v: pd.Series, c: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([forms(a, b) for a, b in zip(v, c, strict=True)], columns=["noun", "adjective", "stem"])
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<struct<view:string,tokens:array<string>>>")
     def to_tokens(nouns: pd.Series) -> pd.Series:
-        return nouns.map(bigrams)
+        # Two views of a word, with tokens of their own: as folded, and without confusables.
+        return nouns.map(lambda w: [{"view": v, "tokens": [v + t for t in bigrams(f(w))]} for v, f in (("0", str), ("1", misread))])
 
     @F.pandas_udf("int")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -193,7 +207,9 @@ def mapped(values: DataFrame, register: DataFrame, threshold: float = THRESHOLD,
     spark = values.sparkSession
     shaped, entries = cut(shaped, spark), cut(entries, spark)  # Python ran once; several joins read them
     nouns = shaped.where((F.length("noun") >= 4) & (F.col("stem") == "")).select(F.col("noun").alias("id")).distinct()
-    pairs = similarity_join(nouns.withColumn("tokens", to_tokens(F.col("id"))), entries.select(F.col("register_id").alias("id"), to_tokens(F.col("entry")).alias("tokens")), threshold)
+    view = lambda frame, word: frame.withColumn("t", F.explode(to_tokens(F.col(word)))).select(F.concat("t.view", F.col("id").cast("string")).alias("id"), "t.tokens")
+    met = similarity_join(view(nouns, "id"), view(entries.select(F.col("register_id").alias("id"), "entry"), "entry"), threshold)
+    pairs = met.select(F.expr("substring(left_id, 2)").alias("left_id"), F.expr("substring(right_id, 2)").alias("right_id"), "jaccard").groupBy("left_id", "right_id").agg(F.max("jaccard").alias("jaccard"))
     known = entries.select(F.col("register_id").cast("string").alias("right_id"), "register_id", "entry", "entry_adjective")
     near = pairs.join(F.broadcast(known) if _small(entries) else known, "right_id").withColumn("d", distance.asNondeterministic()(F.col("left_id"), F.col("entry")))
     # One edit in four letters at most: short words are not stretched to fit.
