@@ -53,8 +53,8 @@ LEXER = re.compile(
     |(?P<displaymath>\$\$|\\\[|\\\]|\\\(|\\\))
     |(?P<math>\$(?=\S)[^$\n]*[\\^_{}=][^$\n]*\$)
     |(?P<command>\\[A-Za-z]+\*?|\\[,;!%&_{}](?=.)|\\\\(?=\s*$))
-    |(?P<emph>(?<![\w*])\*(?=[^\W\d_])[^*\n†]{1,200}?(?<=\w)\*(?![\w*])
-        |(?<![\w_])_(?=[^\W_])[^_\n]{1,400}?(?<=[\w)])_(?![\w_]))
+    |(?P<emph>(?<![\w*])\*(?=["„»›(]?[^\W\d_])[^*\n†]{1,400}?(?<=[\w.)“«‹"])\*(?![\w*])
+        |(?<![\w_^])_(?=["„»›(]?[^\W_])[^_\n]{1,400}?(?<=[\w.)“«‹"])_(?![\w_]))
     |(?P<rule>^\|?(?::?-{3,}:?\|)+(?::?-{3,}:?)?[ \t]*$)
     |(?P<item>^[ \t]*[-*+\#][ ]+(?=[^\W\d])|^[ \t]*[0-9]{1,3}\.[ ]+(?=[^\W\d]))
     |(?P<row>^\|.*\|[ \t]*$)

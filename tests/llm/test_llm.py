@@ -22,7 +22,7 @@ def test_queries_run_and_rows_are_distinct(spark, small, name):
 # --- p1 -------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("text", ["a <b>c</b>", "x&nbsp;y", "''kursiv''", "[[A|B]]", "{{Zitat|x}}", "**f**", "ein *Wort* hier", "_ganz_", "`code`", "[a](/b)", r"\textit{x}", r"{\sc x}", "$x \\in M$", "## Titel", "== Titel ==", "~~weg~~", "a</p> b", "<br/>", "&#8211;", "```\nx\n```"])
+@pytest.mark.parametrize("text", ["a <b>c</b>", "x&nbsp;y", "''kursiv''", "[[A|B]]", "{{Zitat|x}}", "**f**", "ein *Wort* hier", "_ganz_", "_„Lehre“, Altau 1850_", "`code`", "[a](/b)", r"\textit{x}", r"{\sc x}", "$x \\in M$", "## Titel", "== Titel ==", "~~weg~~", "a</p> b", "<br/>", "&#8211;", "```\nx\n```"])
 def test_markup(text):
     assert any(k not in markup.AMBIGUOUS for _, _, k, _, _ in markup.tokens(text))
 
@@ -117,12 +117,12 @@ def test_mapping(spark):
 # --- p6 -------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("text", ["Das ver-\ndeckt es.", "Das ver- deckt es.", "Erstens\n- 27 -\nzweitens", "Erstens\n[116]\nzweitens", "Erstens.\n\nMantelweise – Altaulehre\n\nZweitens", "Wort\n226 Ordnungslexis\nweiter", "Wort\nABSTAND   59\nweiter", "Grund¬\nsatz"])
+@pytest.mark.parametrize("text", ["Das ver-\ndeckt es.", "Das ver- deckt es.", "Erstens\n- 27 -\nzweitens", "Erstens\n[116]\nzweitens", "Erstens.\n\nMantelweise – Altaulehre\n\nZweitens", "Wort\n226 Ordnungslexis\nweiter", "Wort\nABSTAND   59\nweiter", "Grund¬\nsatz", "Wort\n252 | Gabelprobe\nweiter", "Wort\nbildes/Bild 52\nweiter", "Wort\nâ€” 799 â€”\nweiter"])
 def test_layout_noise(text):
     assert scan_noise.layout_noise(text)
 
 
-@pytest.mark.parametrize("text", ["Zeile eins\nzwei geht weiter.", "Vor- und Nachteile", "Sach- \nund Ort", "›¬(p ∨ q)‹", "Nur ein Satz.", "117", "Titel\n\nDer Text geht."])
+@pytest.mark.parametrize("text", ["Zeile eins\nzwei geht weiter.", "Vor- und Nachteile", "Sach- \nund Ort", "›¬(p ∨ q)‹", "Nur ein Satz.", "117", "Wort.\nSeit 1604\nverdeckt", "{|\n| das Ding | 4 |\n|}", "Titel\n\nDer Text geht."])
 def test_no_layout_noise(text):
     assert not scan_noise.layout_noise(text)
 
