@@ -39,7 +39,8 @@ def numbered(nodes_: DataFrame) -> DataFrame:
     Ranges are sorted side by side; a range's offset is the count of those before it.
     """
     ordered = nodes_.repartitionByRange("volume", "ordinal", "id").sortWithinPartitions("volume", "ordinal", "id").withColumn("_m", F.monotonically_increasing_id())
-    local = ordered.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") % F.lit(1 << 33))
+    # Made once: the ranges must be the same for the counts and for the rows.
+    local = cut(ordered.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") % F.lit(1 << 33)), nodes_.sparkSession)
     sizes = local.groupBy("_p").agg((F.max("_i") + 1).alias("_n"))
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return local.join(F.broadcast(offsets.select("_p", "_before")), "_p").withColumn("node", F.col("_before") + F.col("_i")).drop("_m", "_p", "_i", "_before")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lemmaweave.functions import text as T
 from lemmaweave.operators import checks, dates, display, graph, layout, lemmas, parse, resolve, search, story, votes
 from lemmaweave.plans import sql as S
-from lemmaweave.sources import cut, shared_folder, sinks, spread, table
+from lemmaweave.sources import cut, shared_folder, sinks, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -288,7 +288,7 @@ def name_conflicts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _dates(spark: SparkSession, root: str) -> DataFrame:
-    return dates.extract(spread(_entries(spark, root, "entry_type", "body_text"), spark))
+    return dates.extract(_entries(spark, root, "entry_type", "body_text"))
 
 
 @query()
@@ -338,7 +338,7 @@ def persons(spark: SparkSession, root: str) -> DataFrame:
 
 @query(f"{S.GRAPH} SELECT id, row_number() OVER (ORDER BY volume, ordinal, id) - 1 AS node FROM n")
 def graph_nodes(spark: SparkSession, root: str) -> DataFrame:
-    return graph.numbered(cut(_nodes(spark, root), spark)).select("id", "node")
+    return graph.numbered(_nodes(spark, root)).select("id", "node")
 
 
 @query(f"{S.GRAPH} SELECT source, target, weight FROM g")
@@ -557,7 +557,7 @@ def article_menu(spark: SparkSession, root: str) -> DataFrame:
 
 @query()
 def reflowed_texts(spark: SparkSession, root: str) -> DataFrame:
-    rows = spread(_entries(spark, root, "body_text"), spark)
+    rows = _entries(spark, root, "body_text")
     return rows.select("id", display.reflowed(F.col("body_text"))["text"].alias("text"))
 
 
