@@ -21,7 +21,7 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p1_clean(spark: SparkSession, root: str) -> DataFrame:
-    entries = spread(table(spark, root, "entries", "id", *TEXTS).distinct(), spark)
+    entries = spread(table(spark, root, "entries", "id", *TEXTS), spark).distinct()
     return entries.select(F.col("id").alias("entry_id"), *[markup.clean(F.col(t)).alias(t) for t in TEXTS])
 
 
@@ -40,9 +40,9 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_restored(spark: SparkSession, root: str) -> DataFrame:
-    entries = table(spark, root, "entries", "id", "headword", "body_text").distinct()
-    model = encoding.train(spread(entries, spark), ["body_text", "headword"])
-    fixed = encoding.restored(encoding.restored(spread(entries, spark), "body_text", model, spark), "headword", model, spark)
+    entries = spread(table(spark, root, "entries", "id", "headword", "body_text"), spark)
+    model = encoding.train(entries, ["body_text", "headword"])
+    fixed = encoding.restored(encoding.restored(entries.distinct(), "body_text", model, spark), "headword", model, spark)
     return fixed.select(F.col("id").alias("entry_id"), "headword_fixed", "headword_chain", "body_text_fixed", "body_text_chain")
 
 
@@ -95,7 +95,7 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 def p6_paragraphs(spark: SparkSession, root: str) -> DataFrame:
     entries, counts, noise = _scan_parts(spark, root)
-    fixes = scan_noise.repairs(entries, "id", "body_text", counts, noise)
+    fixes = scan_noise.repairs(entries, "id", "body_text", counts, noise, spark)
     best = fixes.groupBy("id", "word").agg(F.max_by("repair", F.struct("n_bigram", -F.col("cost"))).alias("repair"))
     maps = best.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "repair"))).alias("fixes"))
 
