@@ -6,10 +6,16 @@ parquet scan.
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def table(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
     """The table ``name`` under ``root``, optionally only some columns."""
@@ -45,3 +51,29 @@ def cut(frame: DataFrame, spark: SparkSession) -> DataFrame:
     """Materialise ``frame`` once in the shared folder and cut its lineage."""
     shared_folder(spark)
     return frame.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable by all Python workers of the session, once.
+
+    The package is written as an archive into the shared folder and added to the session,
+    so it need not be installed or on the workers' path. Nothing is done if it runs from
+    an archive already.
+    """
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    files = sorted(package.rglob("*.py"))
+    if context.applicationId in _SHIPPED or not files:
+        return
+    _SHIPPED.add(context.applicationId)
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in files:
+            archive.writestr(zipfile.ZipInfo(str(file.relative_to(package.parent))), file.read_bytes())
+    digest = hashlib.sha256(data.getvalue()).hexdigest()[:16]
+    assert spark._jvm is not None
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{package.name}-{digest}.zip")
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+    out.write(data.getvalue())
+    out.close()
+    context.addPyFile(path.toUri().toString())
