@@ -125,18 +125,34 @@ def bigrams(word: str) -> list[str]:
     return out
 
 
-def edits(a: str, b: str) -> int:
-    """Edit distance with transpositions (optimal string alignment)."""
-    before, last = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+def edits(a: str, b: str, most: int = EDITS) -> int:
+    """Edit distance with transpositions (optimal string alignment), ``most`` + 1 if larger.
+
+    Only the band of the table that can stay within ``most`` is filled.
+    """
+    n, m, far = len(a), len(b), most + 1
+    # An edit changes at most two letters of the symmetric difference.
+    if abs(n - m) > most or len(set(a) ^ set(b)) > 2 * most:
+        return far
+    before, last = [far] * (m + 1), [j if j <= most else far for j in range(m + 1)]
+    for i in range(1, n + 1):
+        x, row = a[i - 1], [far] * (m + 1)
+        if i <= most:
+            row[0] = i
+        for j in range(max(1, i - most), min(m, i + most) + 1):
+            y = b[j - 1]
+            d = last[j - 1] + (x != y)
+            if last[j] < d:
+                d = min(d, last[j] + 1)
+            if row[j - 1] < d:
+                d = min(d, row[j - 1] + 1)
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and before[j - 2] < d:
                 d = min(d, before[j - 2] + 1)
-            row.append(d)
+            row[j] = min(d, far)
+        if min(row) > most:
+            return far
         before, last = last, row
-    return last[-1]
+    return last[m]
 
 
 def nearness(value: str, entry: str) -> int:
@@ -200,7 +216,8 @@ def mapped(values: DataFrame, register: DataFrame, threshold: float = THRESHOLD,
     def plain(v: pd.Series) -> pd.Series:
         return v.map(lambda x: fold_plain(x.split(",")[0].strip()))
 
-    shaped = values.select("value", "context").distinct().withColumn("f", to_forms.asNondeterministic()(F.col("value"), F.col("context"))).select("value", "context", "f.*")
+    wide = values.select("value", "context").distinct().repartition(values.sparkSession.sparkContext.defaultParallelism)
+    shaped = wide.withColumn("f", to_forms.asNondeterministic()(F.col("value"), F.col("context"))).select("value", "context", "f.*")
     entries = register.where(F.col("lemma").isNotNull()).select("register_id", "lemma").distinct()
     entries = entries.withColumn("f", to_forms.asNondeterministic()(F.col("lemma"), F.lit(None).cast("string"))).select("register_id", F.col("f.noun").alias("entry"), F.col("f.adjective").alias("entry_adjective"), plain(F.col("lemma")).alias("plain"))
 
@@ -211,6 +228,8 @@ def mapped(values: DataFrame, register: DataFrame, threshold: float = THRESHOLD,
     met = similarity_join(view(nouns, "id"), view(entries.select(F.col("register_id").alias("id"), "entry"), "entry"), threshold)
     pairs = met.select(F.expr("substring(left_id, 2)").alias("left_id"), F.expr("substring(right_id, 2)").alias("right_id"), "jaccard").groupBy("left_id", "right_id").agg(F.max("jaccard").alias("jaccard"))
     known = entries.select(F.col("register_id").cast("string").alias("right_id"), "register_id", "entry", "entry_adjective")
+    # Few bytes but much work: as many tasks as cores, whatever the size of the exchange.
+    pairs = pairs.repartition(spark.sparkContext.defaultParallelism, "left_id")
     near = pairs.join(F.broadcast(known) if _small(entries) else known, "right_id").withColumn("d", distance.asNondeterministic()(F.col("left_id"), F.col("entry")))
     # One edit in four letters at most: short words are not stretched to fit.
     near = near.where((F.col("d") <= most) & (F.col("d") * 4 <= F.length("entry")))
