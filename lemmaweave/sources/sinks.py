@@ -21,7 +21,7 @@ def jsonl(frame: DataFrame, path: str) -> None:
 def csv(frame: DataFrame, path: str, order: list[str] | None = None) -> None:
     """Header, null as empty text; ranges of the order are files of their own, in order."""
     rows = frame.repartitionByRange(*order).sortWithinPartitions(*order) if order else frame
-    rows.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+    rows.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", "\"").csv(path)
 
 
 def parquet(frame: DataFrame, path: str, part: str = "volume") -> None:

@@ -42,3 +42,24 @@ def test_agrees_with_sql(spark, small, name):
     theirs = sorted(([plain(r[i]) for i in at] for r in said.fetchall()), key=repr)
     ours = sorted(([plain(r[c]) for c in order] for r in frame.collect()), key=repr)
     assert ours == theirs
+
+
+def test_package_is_shipped_once(spark):
+    from lemmaweave.sources import _SHIPPED, ship
+
+    ship(spark)
+    ship(spark)
+    assert spark.sparkContext.applicationId in _SHIPPED
+
+
+def test_runs_without_the_llm_package(tmp_path):
+    """The rest must import and list its queries when the llm folder is gone."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/lemmaweave", tmp_path / "lemmaweave", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; q = e.queries(); print('p3_found' in q, 'p1_found' in q, len(e.oracle_sql()) > 50)"], cwd=tmp_path, capture_output=True, text=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert said.stdout.split() == ["True", "False", "True"], said.stderr
