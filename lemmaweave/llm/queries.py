@@ -81,7 +81,9 @@ def _scan_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
     in_texts = scan_noise.count_words(entries.select("body_text").where(F.length("body_text") > 0))
     in_targets = targets.select(token, "n")
     counts = cut(in_texts.unionByName(in_targets).groupBy("word").agg(F.sum("n").alias("n")), spark)
-    names = entries.select(F.explode(F.regexp_extract_all("headword", F.lit(r"([\p{L}]+)"), F.lit(1))).alias("word"))
+    # Headwords and the canonical list are right whatever their frequency.
+    known = entries.select("headword").unionByName(table(spark, root, "lemma_register", F.col("lemma").alias("headword")))
+    names = known.select(F.explode(F.regexp_extract_all("headword", F.lit(r"([\p{L}]+)"), F.lit(1))).alias("word"))
     return entries, counts, cut(scan_noise.misreadings(counts, names), spark)
 
 
