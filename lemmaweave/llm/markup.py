@@ -64,11 +64,16 @@ LEXER = re.compile(
 #: Marks that other text uses as well; they count as members of a template only.
 AMBIGUOUS = {"item", "row"}
 #: A text without any of these characters holds no token but, at most, ambiguous ones.
+TOGGLES = {"strong", "wikiemph", "displaymath", "fence"}
+WHOLE = {"link", "template", "code", "math", "emph", "mdlink", "heading"}
 VOID = {"br", "hr", "img", "meta", "link", "input"}
 
 
 def tokens(text: str | None) -> Iterator[tuple[int, int, str, str, str]]:
-    """(start, end, kind, name, path) of each structure token, path = open elements."""
+    """(start, end, kind, name, path) of each structure token, path = open elements.
+
+    Tokens come in order of where they open; an end token may lie beyond the next one.
+    """
     if not text:
         return
     open_: list[str] = []
@@ -102,10 +107,26 @@ def tokens(text: str | None) -> Iterator[tuple[int, int, str, str, str]]:
             else:
                 path = "?"  # an end without its start: another role
             yield hit.start(), hit.end(), kind, f"/{name}", path
+        elif kind in TOGGLES:
+            # The same mark opens and closes: two tokens of the template, by turns.
+            ends = name in open_
+            if ends:
+                del open_[len(open_) - 1 - open_[::-1].index(name)]
+            else:
+                open_.append(name)
+            yield hit.start(), hit.end(), kind, f"/{name}" if ends else name, "/".join(open_[-3:] if not ends else [*open_, name][-3:])
         else:
             if step > 0:
                 open_.append(name)
-            yield hit.start(), hit.end(), kind, name, "/".join(open_[-3:])
+            path = "/".join(open_[-3:])
+            yield hit.start(), hit.end(), kind, name, path
+            # What encloses text has an end token of its own, which shares its vector.
+            if kind in WHOLE and (kind not in ("link", "template") or len(word) > 2):
+                yield hit.end(), hit.end(), kind, f"/{name}", path
+            elif kind == "command" and word[0] == "\\" and word[1:2].isalpha():
+                end = text.find("}", hit.end())
+                if end >= 0 and (text[hit.end() : hit.end() + 1] == "{" or text[hit.start() - 1 : hit.start()] == "{"):
+                    yield end, end + 1, kind, f"/{name}", path
 
 
 def roles(column: Column) -> Column:
@@ -177,8 +198,8 @@ def template(counted: DataFrame, least_pages: int = 3) -> DataFrame:
 def found(counted: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct (keys, field) of the fields that hold markup, from ``page_tokens``."""
     deduced = counted.join(template(counted), ["_host", "role"], "left_semi")
-    firm = counted.where("firm")
-    return firm.select(*keys, "field").unionByName(deduced.where("firm").select(*keys, "field")).distinct()
+    pieces = counted.where("firm")
+    return deduced.select(*keys, "field").unionByName(pieces.select(*keys, "field")).distinct()
 
 
 # --- conversion -----------------------------------------------------------------------
