@@ -155,8 +155,6 @@ def escaped_texts(spark: SparkSession, root: str) -> DataFrame:
 
 # --- parsing --------------------------------------------------------------------------
 
-_TARGET = r"[^\s.,;:()\[\]›‹↑»«\"\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-
 
 @query()
 def references_in_texts(spark: SparkSession, root: str) -> DataFrame:
@@ -381,7 +379,7 @@ def graph_hubs_per_volume(spark: SparkSession, root: str) -> DataFrame:
 _COMPONENTS = S.GRAPH.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ", both2 AS (SELECT a, b FROM u UNION SELECT b, a FROM u), reach(id, c) AS (SELECT id, id FROM n UNION SELECT both2.b, reach.c FROM reach JOIN both2 ON both2.a = reach.id WHERE reach.c < both2.b) "
 
 
-@query()
+@query(f"{_COMPONENTS} SELECT id, min(c) AS component FROM reach GROUP BY id")
 def graph_components(spark: SparkSession, root: str) -> DataFrame:
     nodes, edges = _graph(spark, root)
     return graph.components(cut(edges, spark), cut(nodes, spark), spark)
