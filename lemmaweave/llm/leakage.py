@@ -6,11 +6,13 @@ stored; how many documents hold a term is its rarity. For each passage the lists
 rarest terms are intersected first: of any ``SEEDS`` neighbouring terms the rarest is a
 seed, so every undisturbed run of that many terms holds one, and only (document, passage)
 pairs that meet on a seed go on. For these all postings are offset-adjusted (document
-position minus passage position); equal offsets in sequence are exact phrases, and phrases
-that follow one another with small gaps are chained to proximity matches.
+position minus passage position); equal offsets in sequence are exact phrases, and from
+each phrase the single words before and after it are aligned with replaced, added and
+left out words, as far as the edits allow.
 
 Why no leak is lost: 20 words with at most one edit in ten hold a run of six undisturbed
-words, hence three neighbouring terms, hence a seed.
+words, hence three neighbouring terms, hence a seed; the alignment from this run reaches
+every match that holds it, however short the stretches between its edits are.
 
 Normalised words have no case, punctuation, line-end hyphens, footnote marks or
 difference of umlaut spelling. Lines that several passages share are instructions and no
@@ -84,6 +86,7 @@ class Terms:
             c = self.codes(np.array([self.ids[w] for w in words], np.uint64))
             at += [(item, i, int(x)) for i, x in enumerate(c)]
         self.keys = np.unique(np.array([x for *_, x in at], np.uint64))
+        self.words = {item: [self.ids[w] for w in words] for item, words in texts.items()}
         self.postings = [(item, i, int(np.searchsorted(self.keys, np.uint64(x)))) for item, i, x in at]
 
     def codes(self, words: np.ndarray) -> np.ndarray:
@@ -98,14 +101,18 @@ class Terms:
 
 
 def postings(documents: DataFrame, terms: Terms, spark: SparkSession, key: str, text: str) -> DataFrame:
-    """(term, key, pos) of every place where a corpus text holds a term of the block."""
+    """(term, key, pos) of every place where a corpus text holds a term of the block.
+
+    A text with a run of ``SEEDS`` such places, which alone can hold a match, also gives
+    one row without a term: the numbers of its ``words``, for the alignment.
+    """
     shared = spark.sparkContext.broadcast((terms.ids, terms.keys, terms))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, keys, t = shared.value
         known: dict[str, int] = {}
         for batch in batches:
-            doc, pos, term = [], [], []
+            doc, pos, term, whole = [], [], [], []
             for d, body in zip(batch[key], batch[text], strict=True):
                 words = raw_words(body)
                 row = []
@@ -127,72 +134,88 @@ def postings(documents: DataFrame, terms: Terms, spark: SparkSession, key: str,
                     doc.append(np.full(len(hit), d))
                     pos.append(hit)
                     term.append(at[hit])
+                    if len(hit) >= SEEDS and (hit[SEEDS - 1 :] - hit[: 1 - SEEDS] == SEEDS - 1).any():
+                        whole.append((None, d, None, row))
             if doc:
-                yield pd.DataFrame({"term": np.concatenate(term), key: np.concatenate(doc), "pos": np.concatenate(pos)})
+                yield pd.DataFrame({"term": np.concatenate(term), key: np.concatenate(doc), "pos": np.concatenate(pos), "words": None})
+            if whole:
+                yield pd.DataFrame(whole, columns=["term", key, "pos", "words"]).astype({"term": "Int32", "pos": "Int32"})
 
     kind = dict(documents.dtypes)[key]
     rows = documents.select(key, text).where(F.length(text) > 0)
-    return rows.mapInPandas(read, f"term int, `{key}` {kind}, pos int")
+    return rows.mapInPandas(read, f"term int, `{key}` {kind}, pos int, words array<int>")
+
+
+def reaches(doc: np.ndarray, passage: np.ndarray, d: int, p: int, most: int) -> list[tuple[int, int, int]]:
+    """(edits, passage words, document words) that run on from (d, p), for each number of
+    edits up to ``most`` the farthest reach that ends with a common word.
+
+    Diagonals are followed to their farthest point for each number of edits, so every
+    alignment of single words counts, whatever lies between two edits.
+    """
+    n, m = len(passage), len(doc)
+
+    def slide(k: int, at: int) -> int:
+        while at < n and at + k < m and passage[at] == doc[at + k]:
+            at += 1
+        return at
+
+    last = {d - p: slide(d - p, p)}
+    out = [(0, last[d - p] - p, last[d - p] - p)]
+    for e in range(1, most + 1):
+        if out[-1][1] == n - p:
+            break
+        now: dict[int, int] = {}
+        best = (0, 0)
+        for k in range(d - p - e, d - p + e + 1):
+            # replaced; left out of the document; added to it
+            at = max(last.get(k, -1) + 1 if k in last else -1, last.get(k + 1, -2) + 1 if k + 1 in last else -1, last.get(k - 1, -1))
+            if at < p or at > n or at + k > m:
+                continue
+            now[k] = end = slide(k, at)
+            if end > at:
+                best = max(best, (end - p, end + k - d))
+        last = now
+        if best[0] > out[-1][1]:
+            out.append((e, *best))
+    return out
 
 
-def chains(hits: list[tuple[int, int]], least: int = LEAST, rate: float = RATE) -> tuple[int, int, int, int, int] | None:
-    """The longest match in (document, passage) term places, or None.
+def aligned(doc: list[int], passage: list[int], hits: list[tuple[int, int]], least: int = LEAST, rate: float = RATE) -> tuple[int, int, int, int, int] | None:
+    """The longest match of a document and a passage (word numbers), or None.
 
     Returns (first document word, document words, first passage word, passage words,
-    edits). Exact phrases are runs on one offset; a gap between phrases of at most
-    2 WIDTH words counts the fewest edits that explain it: the difference of its two
-    lengths, and one for each WIDTH words, since a longer undisturbed stretch would be a
-    phrase of its own.
+    edits). ``hits`` are the places (document, passage) of common terms; from each run of
+    them single words are aligned to both sides. A match begins and ends with a common
+    word, so a word replaced beyond its ends is no part of it.
     """
-    offsets: dict[int, list[int]] = {}
-    for d, p in hits:
-        offsets.setdefault(d - p, []).append(p)
-    runs: list[tuple[int, int, int]] = []  # document start, passage start, words
-    for offset, places in offsets.items():
-        places = sorted(set(places))
-        start = last = places[0]
-        for p in places[1:]:
-            if p != last + 1:
-                runs.append((start + offset, start, last - start + WIDTH))
-                start = p
-            last = p
-        runs.append((start + offset, start, last - start + WIDTH))
-    runs.sort()
+    runs: list[tuple[int, int]] = []
+    for offset, p in sorted({(d - p, p) for d, p in hits}):
+        if not runs or last != (offset, p - 1):
+            runs.append((p + offset, p))
+        last = (offset, p)
+    most = int(len(passage) / (1 / rate - 1)) + 1
+    back, forth = (doc[::-1], passage[::-1]), (doc, passage)
     best: tuple[int, int, int, int, int] | None = None
-    # state per run: (passage words spanned, edits, document start, passage start)
-    states: list[list[tuple[int, int, int, int]]] = []
-    for k, (d, p, n) in enumerate(runs):
-        mine = [(n, 0, d, p)]
-        for j in range(k - 1, -1, -1):
-            d0, p0, n0 = runs[j]
-            if d - d0 > 600:
-                break
-            over = max(0, d0 + n0 - d, p0 + n0 - p)  # words both phrases claim
-            if over >= n or d <= d0 or p <= p0:
-                continue
-            gd, gp = d + over - (d0 + n0), p + over - (p0 + n0)
-            if max(gd, gp) > 2 * WIDTH:
-                continue
-            edits = max(abs(gd - gp), -(-min(gd, gp) // WIDTH), 1 if gd or gp else 0)
-            for span, e, ds, ps in states[j]:
-                mine.append((p + n - ps, e + edits, ds, ps))
-        mine.sort(key=lambda s: (s[1], -s[0]))
-        kept: list[tuple[int, int, int, int]] = []
-        for s in mine:  # fewer edits or a longer span
-            if not kept or s[0] > kept[-1][0]:
-                kept.append(s)
-        states.append(kept[:64])
-        for span, e, ds, ps in kept:
-            words = max(span, d + n - ds)
-            if span + e >= least and span >= least - 2 and e <= rate * words + 0.5 and (best is None or span > best[3]):
-                best = (ds, d + n - ds, ps, span, e)
+    for d, p in runs:
+        if best and best[4] == 0 and best[2] <= p < best[2] + best[3] and d - p == best[0] - best[2]:
+            continue  # inside the match
+        right = reaches(*forth, d, p, most)
+        left = reaches(*back, len(doc) - d, len(passage) - p, most)
+        for e0, p0, d0 in left:
+            for e1, p1, d1 in right:
+                span, words, edits = p0 + p1, max(p0 + p1, d0 + d1), e0 + e1
+                if span >= least and edits <= rate * words and (best is None or (span, -edits) > (best[3], -best[4])):
+                    best = (d - d0, d0 + d1, p - p0, span, edits)
     return best
 
 
 def _match(documents: DataFrame, terms: Terms, spark: SparkSession, key: str, text: str, least: int) -> DataFrame:
     if not terms.postings:
         return documents.select(key, F.lit(0).cast("long").alias("item_id"), *[F.lit(0).alias(c) for c in ("start", "words", "edits")]).limit(0)
-    index = cut(postings(documents, terms, spark, key, text), spark)  # the stored index
+    stored = cut(postings(documents, terms, spark, key, text), spark)  # the stored index
+    index, bodies = stored.where(F.col("term").isNotNull()).select("term", key, "pos"), stored.where(F.col("term").isNull()).select(key, F.col("words").alias("body")).distinct()
+    passage_words = spark.sparkContext.broadcast(terms.words)
     item_terms = spark.createDataFrame(pd.DataFrame(terms.postings, columns=["item_id", "at", "term"]).astype({"item_id": "int64", "at": "int32", "term": "int32"}))
     # Rarity: a term is counted in documents, combined map-side; terms are bounded by the block.
     rarity = {r["term"]: r["n"] for r in index.groupBy("term").agg(F.approx_count_distinct(key).alias("n")).collect()}
@@ -217,14 +240,15 @@ def _match(documents: DataFrame, terms: Terms, spark: SparkSession, key: str, te
     lists = lists.where(F.col("n") >= fewest).join(met, [key, "item_id"], "left_semi")
 
     @F.pandas_udf("start int, words int, edits int")
-    def chain(all_hits: pd.Series) -> pd.DataFrame:
+    def align(all_hits: pd.Series, bodies_: pd.Series, item_ids: pd.Series) -> pd.DataFrame:
         out = []
-        for hits in all_hits:
-            best = chains([(h["d"], h["p"]) for h in hits], least)
+        for hits, body, item in zip(all_hits, bodies_, item_ids, strict=True):
+            best = aligned([int(x) for x in body], passage_words.value[item], [(h["d"], h["p"]) for h in hits], least)
             out.append((best[0], best[3], best[4]) if best else (None, None, None))
         return pd.DataFrame(out, columns=["start", "words", "edits"]).astype("Int32")
 
-    return lists.withColumn("m", chain.asNondeterministic()(F.col("hits"))).select(key, "item_id", "m.*").where(F.col("words").isNotNull())
+    judged = lists.join(bodies, key).withColumn("m", align.asNondeterministic()(F.col("hits"), F.col("body"), F.col("item_id")))
+    return judged.select(key, "item_id", "m.*").where(F.col("words").isNotNull())
 
 
 def leaks(documents: DataFrame, items: DataFrame, spark: SparkSession, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:

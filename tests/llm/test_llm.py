@@ -254,6 +254,15 @@ def test_leaks(spark):
     assert leakage.leaks(frame.limit(0), tests, spark).count() == 0 and leakage.leaks(frame, tests.limit(0), spark).count() == 0
 
 
+def test_leaks_with_edits_near_ends_and_close_together(spark):
+    words = [f"wort{i}" for i in range(60)]
+    change = lambda n, *at: " ".join("anders" if i + 1 in at else w for i, w in enumerate(words[:n]))
+    texts = [(1, change(20, 2)), (2, change(20, 3, 18)), (3, change(30, 11, 15, 19)), (4, change(20, 19)), (5, " ".join(w for i, w in enumerate(words[:30]) if i not in (1, 4, 28))), (6, change(22, 4, 10, 18)), (7, " ".join(words[:19])), (8, change(21, 2).replace("wort9", "wort9 neu"))]
+    frame = spark.createDataFrame([(d, f"vorher davor {t} danach nachher") for d, t in texts], "doc_id long, text string")
+    got = {r.doc_id: (r.start, r.words, r.edits) for r in leakage.leaks(frame, spark.createDataFrame([(1, " ".join(words))], "item_id long, text string"), spark).collect()}
+    assert got == {1: (2, 20, 1), 2: (2, 20, 2), 3: (2, 30, 3), 4: (2, 20, 1), 5: (2, 30, 3), 8: (2, 21, 2)}
+
+
 # --- p10 ------------------------------------------------------------------------------
 
 
