@@ -76,10 +76,12 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
 def _scan_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts, word counts and misreadings of the corpus."""
     entries = spread(table(spark, root, "entries", "id", "headword", "body_text"), spark)
-    targets = table(spark, root, "cross_references", "raw_target").groupBy("raw_target").agg(F.count(F.lit(1)).alias("n"))
-    token = F.explode(F.regexp_extract_all("raw_target", F.lit(r"([\p{L}\d]+)"), F.lit(1))).alias("word")
+    targets = table(spark, root, "cross_references", "raw_target").distinct()
+    token = F.explode(F.array_distinct(F.regexp_extract_all("raw_target", F.lit(r"([\p{L}\d]+)"), F.lit(1)))).alias("word")
     in_texts = scan_noise.count_words(entries.select("body_text").where(F.length("body_text") > 0))
-    in_targets = targets.select(token, "n")
+    # Pieces of words (broken, abbreviated) attest no word.
+    pieces = [F.regexp_extract_all("raw_target", F.lit(p), F.lit(1)) for p in (r"([\p{L}\d]+)[-‐¬\x{AD}.…\x{200B}-\x{200F}]", r"[-‐¬\x{AD}\x{200B}-\x{200F}]\s*([\p{L}\d]+)")]
+    in_targets = targets.select(token, F.concat(*pieces).alias("pieces")).select("word", F.when(F.array_contains("pieces", F.col("word")), 0).otherwise(1).alias("n"))
     counts = cut(in_texts.unionByName(in_targets).groupBy("word").agg(F.sum("n").alias("n")), spark)
     # Headwords and the canonical list are right whatever their frequency.
     known = entries.select("headword").unionByName(table(spark, root, "lemma_register", F.col("lemma").alias("headword")))

@@ -53,6 +53,8 @@ MARKUP = re.compile(r"<[/a-zA-Z!][^<>]*>|\\[A-Za-z]+\*?|&\#?\w+;|\]\([^()\s]*\)|
 GARBLED = re.compile(r"[^\t\n\r -~äöüÄÖÜß–—†↑›‹»«„“”’‚•·§…→∈∧∨∀∃⊢λ□≤≥¬×°À-žſ‐\xad]")
 CHUNK = re.compile(rf"\S*{GARBLED.pattern}\S*")
 WORD = re.compile(r"[^\W_]+")
+#: Pieces of words at a hyphen or break; they attest no word.
+PIECE = re.compile(r"([^\W_]+)[-‐¬\xad]|[-‐¬\xad]\s*([^\W_]+)")
 PLAIN = re.compile(r"[A-Za-zÄÖÜäöüß]+")
 
 
@@ -111,19 +113,21 @@ SUFFIXES = ["es", "en", "er", "em", "s", "n", "e"]
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, n) over a one-column frame of texts; combined per partition before the exchange."""
+    """(word, n) over a one-column frame of texts, n = distinct texts that hold the word
+    whole, 0 if only as a piece; combined per partition before the exchange."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter[str] = Counter()
         for batch in batches:
             for text in batch.iloc[:, 0]:
-                total.update(words(text))
+                pieces = {w for hit in PIECE.findall(text) for w in hit}
+                total.update({w: int(w not in pieces) for w in words(text)})
             if len(total) > 500_000:
                 yield pd.DataFrame({"word": list(total), "n": list(total.values())})
                 total.clear()
         yield pd.DataFrame({"word": list(total), "n": list(total.values())})
 
-    return texts.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.distinct().mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _keys(batch: pd.Series) -> pd.Series:
@@ -139,12 +143,9 @@ def _keys(batch: pd.Series) -> pd.Series:
     return batch.map(keys)
 
 
-def _lexicon_keys(batch: pd.Series, frequent: pd.Series) -> pd.Series:
-    """Keys of lexicon words: the skeleton; of frequent ones also all single deletions."""
-    return pd.Series(
-        [sorted({skeleton(w), *(["~" + skeleton(w[:i] + w[i + 1 :]) for i in range(len(w))] if f else [])}) for w, f in zip(batch, frequent, strict=True)],
-        dtype=object,
-    )
+def _lexicon_keys(batch: pd.Series) -> pd.Series:
+    """Keys of lexicon words: the skeleton, and those of all single deletions."""
+    return pd.Series([sorted({skeleton(w), *("~" + skeleton(w[:i] + w[i + 1 :]) for i in range(len(w)))}) for w in batch], dtype=object)
 
 
 def _judge(words_: pd.Series, candidates: pd.Series) -> pd.DataFrame:
@@ -164,12 +165,14 @@ def _judge(words_: pd.Series, candidates: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["cost", "known", "form"])
 
 
-def misreadings(counts: DataFrame, names: DataFrame, least: int = 20, ratio: int = 20) -> DataFrame:
-    """(word, repair, cost, n_repair): words that are misread forms of lexicon words.
+def misreadings(counts: DataFrame, names: DataFrame, ratio: int = 3, every: bool = False) -> DataFrame:
+    """(word, repair, cost, n_repair): words that are misread forms of lexicon words, with
+    the best repair, or with ``every`` accepted one.
 
-    ``names``: (word) known to be right whatever their frequency. Another word belongs to
-    the lexicon from ``least`` occurrences, and outranks an unknown form if it is
-    ``ratio`` times as frequent; a known name outranks any unknown form.
+    ``counts``: in how many distinct texts a word stands, so that repeated rows have no
+    weight. ``names``: (word) known to be right whatever their frequency. Any other word
+    without digits outranks a form that is in ``ratio`` times fewer texts; a known name
+    outranks any unknown form. Words of 4 to 40 letters and digits are judged.
     """
     keys, lexicon_keys = F.pandas_udf("array<string>")(_keys), F.pandas_udf("array<string>")(_lexicon_keys)  # type: ignore[call-overload]
     judge = F.pandas_udf("cost double, known boolean, form string")(_judge).asNondeterministic()  # type: ignore[call-overload]
@@ -177,8 +180,9 @@ def misreadings(counts: DataFrame, names: DataFrame, least: int = 20, ratio: int
     all_ = counts.join(known, "word", "full").select("word", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("named", F.lit(False)).alias("named"))
     all_ = all_.where(F.col("word").rlike("^[0-9A-Za-zÄÖÜäöüß]{4,40}$") & F.col("word").rlike("[A-Za-zÄÖÜäöüß]{2}"))
     digits = F.col("word").rlike("[0-9]")
-    lexicon = all_.where(~digits & (F.col("named") | (F.col("n") >= least)))
-    indexed = lexicon.select(F.explode(lexicon_keys(F.col("word"), F.col("n") >= least)).alias("key"), F.col("word").alias("repair"), F.col("n").alias("n_repair"), F.col("named").alias("named_repair"))
+    # What is misread stands in one text at least, so rarer words pass no comparison.
+    lexicon = all_.where(~digits & (F.col("named") | (F.col("n") >= ratio)))
+    indexed = lexicon.select(F.explode(lexicon_keys(F.col("word"))).alias("key"), F.col("word").alias("repair"), F.col("n").alias("n_repair"), F.col("named").alias("named_repair"))
     unknown = all_.where(~F.col("named")).select(F.explode(keys(F.col("word"))).alias("key"), "word", "n")
     pairs = (
         unknown.join(indexed, "key")
@@ -190,14 +194,22 @@ def misreadings(counts: DataFrame, names: DataFrame, least: int = 20, ratio: int
     allowed = F.greatest(0.2 * F.floor(F.length("word") / 3), F.when(F.col("word").rlike("[0-9]"), 0.5).otherwise(0.0))
     confused = F.col("j.cost") <= allowed + 0.01
     close = F.when(F.col("j.known"), 0.0).when((F.col("j.cost") < 1.0) & confused, F.col("j.cost"))
-    best = pairs.withColumn("c", close).where(F.col("c").isNotNull()).groupBy("word").agg(F.min(F.struct("c", -F.col("n_repair"), F.col("j.form").alias("repair"))).alias("b"))
-    return best.where(F.col("b.c") > 0).select("word", F.col("b.repair").alias("repair"), F.col("b.c").alias("cost"), (-F.col("b.col2")).alias("n_repair"))
+    judged = pairs.withColumn("c", close).where(F.col("c").isNotNull()).select("word", F.col("repair").alias("base"), F.col("j.form").alias("repair"), "c", "n_repair")
+    # A form of a word that is misread itself is not known by it.
+    misread = judged.groupBy("word").agg(F.min("c").alias("least")).where(F.col("least") > 0).select(F.col("word").alias("base"))
+    forms = judged.where(F.col("c") == 0).join(misread, "base", "left_anti").select("word").distinct()
+    accepted = judged.where(F.col("c") > 0).join(forms, "word", "left_anti").groupBy("word", "repair").agg(F.min("c").alias("cost"), F.max("n_repair").alias("n_repair"))
+    if every:
+        return accepted
+    best = accepted.groupBy("word").agg(F.min(F.struct("cost", (-F.col("n_repair")).alias("rank"), "repair")).alias("b"))
+    return best.select("word", "b.repair", "b.cost", (-F.col("b.rank")).alias("n_repair"))
 
 
 def usual_words(counts: DataFrame, noise: DataFrame, spark: SparkSession):  # noqa: ANN201
-    """The head of the word list without misread words, broadcast: at most 1 / HEAD_SHARE words."""
+    """The head of the word list without misread words, broadcast: at most 1 / HEAD_SHARE
+    words. A word of letters and digits is never usual, whatever its frequency."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    head = counts.where(F.col("n") >= max(2.0, total * HEAD_SHARE)).join(noise, "word", "left_anti").select("word")
+    head = counts.where(F.col("n") >= max(2.0, total * HEAD_SHARE)).where(~F.col("word").rlike(r"[0-9]") | F.col("word").rlike("^[0-9]+$")).join(noise, "word", "left_anti").select("word")
     return spark.sparkContext.broadcast(frozenset(r.word for r in head.collect()))
 
 

@@ -134,6 +134,20 @@ def test_misreadings(spark):
     assert got == {"Zuorclnung": "Zuordnung", "Merkrnal": "Merkmal", "strcnge": "strenge", "Zeiclien": "Zeichen", "Zu0rdnung": "Zuordnung", "Hiigelkern": "Hügelkern", "Prädika1": "Prädikat", "strcngen": "strengen"}
 
 
+def test_misreadings_by_distinct_texts(spark):
+    texts = [(f"Die Kehrstelle {i}.",) for i in range(4)] + [("Die Kchrstelle.",)] * 50 + [("Der Zahl0rt.",)] * 50 + [(f"Der Zahlort {i}.",) for i in range(3)]
+    counts = scan_noise.count_words(spark.createDataFrame(texts, "text string"))
+    noise = scan_noise.misreadings(counts, spark.createDataFrame([], "word string"))
+    assert {r.word: r.repair for r in noise.collect()} == {"Kchrstelle": "Kehrstelle", "Zahl0rt": "Zahlort"}
+
+
+def test_frequent_mixed_words_are_noise(spark):
+    frame = spark.createDataFrame([(str(i), f"Die Qu9xel {i} steht.") for i in range(30)] + [("n", "Im Jahr 1850.")], "id string, text string")
+    counts = scan_noise.count_words(frame.select("text"))
+    noise = scan_noise.misreadings(counts, spark.createDataFrame([], "word string"))
+    assert {r.id for r in scan_noise.text_cases(frame, "id", "text", counts, noise, spark).collect()} == {str(i) for i in range(30)}
+
+
 def test_paragraphs():
     text = "Das strcnge Urteil ver-\n\n— 12 —\n\ndeckt die Sach- und\nOrtslage.\n226 Ordnungslexis\nDann folgt es."
     assert " ".join(scan_noise.continuous(text, {"strcnge": "strenge"}).split()) == "Das strenge Urteil verdeckt die Sach- und Ortslage. Dann folgt es."
