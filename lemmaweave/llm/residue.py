@@ -51,11 +51,16 @@ PLACEHOLDER = re.compile(
 )
 MARKS = re.compile(r"^(?:TBD|TODO\b.*|FIXME\b.*|N\. ?N\.|\?{2,}|\[[^\]\n]{2,40}\]|(?:…|\.\.\.) ?\w+ ?(?:…|\.\.\.)|-{3,}|\.{3,}|…)$")
 TECHNICAL = re.compile(r"^(?:\s*File \".*|\s+\w+ = .*|\w*(?:Error|Exception)\b.*|Fatal: .*|(?:Error|Erreur|Fehler|HTTP)\s*\d{3}\b.*|\d{3} [–-] .*|(?:Request id|Vorgang|Code)\b.*)$")
+#: The status line of an error page, which is no title.
+STATUS = re.compile(r"[45]\d{2} [–-] ")
 SENTENCE = re.compile(r"[^.!?…\n]*(?:[.!?…](?![.!?…]*\s)[^.!?…\n]*)*[.!?…]+(?=\s|$)|[^\n]+")
 TAIL = re.compile(r"(?:Vorgang|Request id:?|Code:?)\s*[0-9a-f]+", re.I)
 QUOTED = re.compile(r"›[^›‹]*‹|„[^„“]*“|\"[^\"]*\"|«[^«»]*»|»[^«»]*«")
 
 
+KEYS = re.compile(rf"\b(?:{'|'.join(sorted(KEYBOARD))})\b")
+
+
 @lru_cache(1)
 def automaton() -> Any:
     """The automaton of all phrases."""
@@ -100,24 +105,32 @@ def is_residue(sentence: str) -> bool:
     return _covered(bare, bare.lower()) >= 0.45 * max(1, len(re.sub(r"\s+", " ", bare).strip(" .!?")))
 
 
+def _marked(text: str) -> bool:
+    """Does a line or sentence of the text match MARKS, TECHNICAL or TAIL?"""
+    if TAIL.search(text):
+        return True
+    for line in text.split("\n"):
+        if line.strip() and (MARKS.match(line.strip()) or TECHNICAL.match(line.rstrip()) or any(MARKS.match(x.strip()) or TECHNICAL.match(x.rstrip()) for x in SENTENCE.findall(line))):
+            return True
+    return False
+
+
 def judge(text: str | None) -> bool:
     """Is the document residue in the place of an article?"""
     if not text or not text.strip():
         return False
     low = text.lower()
-    # One pass of the automaton over the whole text decides whether to look closer.
-    if next(automaton().iter(low), None) is None and not PLACEHOLDER.search(text):
-        first = [w for w in re.findall(r"\w+", low[:400])]
-        odd = any(w in KEYBOARD for w in first) or any(x in text for x in ("???", "TBD", "TODO", "N. N.", "Error", "Traceback"))
-        if not odd:
-            return False
+    # One pass over the whole text decides whether to look closer: anything that
+    # ``is_residue`` accepts holds a phrase, a placeholder, a mark or a keyboard word.
+    if next(automaton().iter(low), None) is None and not PLACEHOLDER.search(text) and not KEYS.search(low) and not _marked(text):
+        return False
     residue = real = sentences = 0
     lines = text.split("\n")
     for i, line in enumerate(lines):
         s = line.strip()
         if not s or NAVIGATION.match(s):
             continue
-        if not MARKS.match(s) and not re.search(r"[.!?:…\d\]\}>%@_]$", s) and len(s) < 70 and len(s.split()) <= 4 and not any(w in KEYBOARD for w in s.lower().split()):
+        if not MARKS.match(s) and not STATUS.match(s) and not re.search(r"[.!?:…\d\]\}>%@_]$", s) and len(s) < 70 and len(s.split()) <= 4 and not any(w in KEYBOARD for w in s.lower().split()):
             continue  # a title
         for part in [line] if TECHNICAL.match(line) else SENTENCE.findall(line):
             if not part.strip():

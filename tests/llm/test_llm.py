@@ -298,6 +298,14 @@ def test_no_residue(text):
     assert not residue.judge(text)
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["Start | Register | Hilfe\n" * 12 + "Die " + "sehr " * 90 + "lange Norm klärt das Ganze.\nasdf jkl asdf qwertz", "Fehler 503", "Erreur 404", "HTTP 500", "502 - Gateway", "N.N.", "FIXME", "[Platz für später]", "Titel\n... folgt ..."],
+)
+def test_residue_anywhere_and_of_every_pattern(text):
+    assert residue.judge(text)
+
+
 def test_residue_frame(spark):
     rows = spark.createDataFrame([(1, "You need to enable JavaScript to run this app."), (1, "You need to enable JavaScript to run this app."), (2, None), (3, "Ein Artikel mit Inhalt. " * 5000)], "doc_id long, text string")
     assert [r.doc_id for r in residue.found(rows).collect()] == [1]
