@@ -10,8 +10,8 @@ A small parsing expression grammar with ordered alternatives::
     Loose     <- (!Strong .)+
     Stop      <- Blank End / Separator Slot-start / Blank Mark
 
-``Tail`` is what closes a value (for bibliographies: the year with its pages, reprint or
-translation), so delimiters inside titles, author lists and parentheses do not split.
+``Tail`` is what closes a value (for bibliographies: the year or "o. J." and the like, with
+pages, reprint or translation), so delimiters inside titles, author lists and parentheses do not split.
 When an alternative fails the parser backtracks to the next one: a quote that never
 closes is read as bare text and flagged ``open_quote``; a value without a tail is read
 up to the next strong delimiter and flagged ``no_tail``.
@@ -35,12 +35,14 @@ SCHEMA = "array<struct<pos:int,item:string,error:string>>"
 
 # What closes a bibliographic item, and how items are marked and joined.
 BIB_TAIL = (
-    r"\b[12][0-9]{3}\b(?:/[0-9]{1,4}\b)?"
+    r"(?:\b[12][0-9]{3}\b(?:/[0-9]{1,4}\b)?|(?<!\w)(?:o\.\s?[JD]\.|s\.\s?[ad]\.|n\.\s?d\.|ohne Jahr\b))"
     r"(?:,\s*(?:S\.\s*)?[0-9]{1,4}(?:\s*[–—-]\s*[0-9]{1,4})?)?"
     r"(?:\s*\((?=[^()\n]*[0-9]{4})[A-Za-z][^()\n]*\))*"
     r"(?:\}+|\]+|_+|\*+|'+|</[a-z0-9]+>)*"
 )
 MARK = r"(?:\[[0-9]{1,3}\]|\(?[0-9]{1,3}\)|[0-9]{1,3}\.|\(?[a-z]\)|[-–•*·])[ \t]+"
+#: A piece without a tail that is proven to be a heading or leftover: no comma parts it, or it breaks off inside markup.
+LEFTOVER = r"^[^,]*$|(?:<[^<>]*|&#?\w*|\\[A-Za-z]*)$"
 SEPARATOR = r"[ \t]*(?:;|//?|\||[•·]|[—–](?=[ \t])|\n|\t)[ \t]*"
 STRONG = r"[ \t]*(?:;|//|\||[•·]|\n|\t)[ \t]*"
 PAIRS = {'"': '"', "„": "“", "»": "«", "«": "»", "“": "”", "›": "‹", "‚": "‘"}
@@ -162,7 +164,8 @@ def split_field(column: Column, grammar: Grammar = Grammar()) -> Column:
 def split_rows(frame: DataFrame, keys: list[str], fields: list[str], grammar: Grammar = Grammar(), least: int = 2, strict: bool = True) -> DataFrame:
     """One row per value of each field that holds at least ``least`` values.
 
-    ``strict`` leaves out what is no whole value (headings, leftover pieces).
+    ``strict`` leaves out pieces that are proven to be headings or leftovers; other values
+    without a tail stay, with their flag.
 
     Result: the keys, ``field``, ``pos``, ``item``, ``error``. Repeated rows are reduced
     before the parser runs.
@@ -172,7 +175,7 @@ def split_rows(frame: DataFrame, keys: list[str], fields: list[str], grammar: Gr
     parsed = (
         long.where(F.col("text").isNotNull() & (F.length(F.trim("text")) > 0))
         .dropDuplicates([*keys, "field", "text"])
-        .withColumn("values", F.filter(split_field(F.col("text"), grammar), lambda v: ~v["error"].eqNullSafe("no_tail") if strict else F.lit(True)))
+        .withColumn("values", F.filter(split_field(F.col("text"), grammar), lambda v: ~(v["error"].eqNullSafe("no_tail") & v["item"].rlike(LEFTOVER)) if strict else F.lit(True)))
         .where(F.size("values") >= least)
     )
     return parsed.select(*keys, "field", F.posexplode("values").alias("i", "v")).select(*keys, "field", (F.col("i") + 1).alias("pos"), "v.item", "v.error")

@@ -69,6 +69,15 @@ def test_split_rows(spark):
     assert packed.split_rows(frame.limit(0), ["id"], ["werke"]).count() == 0
 
 
+def test_split_rows_keeps_items_without_a_year(spark):
+    rows = [("1", "A. Berg, Lehre, Altau 1701; Kant, Kritik, Riga o. J."), ("2", "A, o. J.; B, Ort 1812"), ("3", "Kant, Kritik, Riga o.J.; Berg, Lehre, Altau s. a."), ("4", "A. Berg, Lehre, Altau 1701; Kant, Kritik, Riga"), ("5", "Kant, Kritik, Riga 1781; Nachweise"), ("6", "Kant, Kritik, Riga 1781; Berg, „Lehre“, <i")]
+    got = packed.split_rows(spark.createDataFrame(rows, "id string, werke string"), ["id"], ["werke"]).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r.id, r.pos)):
+        by.setdefault(r.id, []).append((r["item"], r.error))
+    assert by == {"1": [("A. Berg, Lehre, Altau 1701", None), ("Kant, Kritik, Riga o. J.", None)], "2": [("A, o. J.", None), ("B, Ort 1812", None)], "3": [("Kant, Kritik, Riga o.J.", None), ("Berg, Lehre, Altau s. a.", None)], "4": [("A. Berg, Lehre, Altau 1701", None), ("Kant, Kritik, Riga", "no_tail")]}
+
+
 def day(n):
     return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
 
