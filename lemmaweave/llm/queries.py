@@ -73,7 +73,7 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("field", "entry_id", "sub_key").agg(F.max("register_id").alias("register_id"))
 
 
-def _scan_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _scan_parts(spark: SparkSession, root: str, every: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts, word counts and misreadings of the corpus."""
     entries = spread(table(spark, root, "entries", "id", "headword", "body_text"), spark)
     targets = table(spark, root, "cross_references", "raw_target").distinct()
@@ -86,7 +86,7 @@ def _scan_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
     # Headwords and the canonical list are right whatever their frequency.
     known = entries.select("headword").unionByName(table(spark, root, "lemma_register", F.col("lemma").alias("headword")))
     names = known.select(F.explode(F.regexp_extract_all("headword", F.lit(r"([\p{L}]+)"), F.lit(1))).alias("word"))
-    return entries, counts, cut(scan_noise.misreadings(counts, names), spark)
+    return entries, counts, cut(scan_noise.misreadings(counts, names, every=every), spark)
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
@@ -98,10 +98,8 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p6_paragraphs(spark: SparkSession, root: str) -> DataFrame:
-    entries, counts, noise = _scan_parts(spark, root)
-    fixes = scan_noise.repairs(entries, "id", "body_text", counts, noise, spark)
-    best = fixes.groupBy("id", "word").agg(F.max_by("repair", F.struct("n_bigram", -F.col("cost"))).alias("repair"))
-    maps = best.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "repair"))).alias("fixes"))
+    entries, counts, noise = _scan_parts(spark, root, every=True)
+    maps = scan_noise.choices(scan_noise.repairs(entries, "id", "body_text", counts, noise, spark))
 
     @F.pandas_udf("string")
     def mend(texts, found):  # noqa: ANN001, ANN202

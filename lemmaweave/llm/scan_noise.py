@@ -266,7 +266,10 @@ def value_cases(rows: DataFrame, value: str, context: str, noise: DataFrame) ->
 
 
 def continuous(text: str, repairs: dict[str, str] | None = None) -> str:
-    """Readable paragraphs: page lines dropped, breaks healed, lines joined, words repaired."""
+    """Readable paragraphs: page lines dropped, breaks healed, lines joined, words repaired.
+
+    ``repairs``: by a word, or by the word before it, a blank and the word, which goes first.
+    """
     lines = [x for x in text.split("\n")]
     page = re.compile(rf"^(?:{NUMBER_LINE}|{HEAD_LINE})$")
     kept: list[str] = []
@@ -285,33 +288,40 @@ def continuous(text: str, repairs: dict[str, str] | None = None) -> str:
     joined = re.sub(rf"([a-zäöüß])[-‐¬][ \t]+(?!(?:{SUSPENDED})\b)(?=[a-zäöüß]{{2,}})", r"\1", joined)
     joined = re.sub(r"(?<!\n)[ \t]*\n[ \t]*(?!\n)(?![-*#|=+]|\d+\.)", " ", joined)
     if repairs:
-        joined = WORD.sub(lambda m: repairs.get(m.group(), m.group()), joined)
+        before = ""
+
+        def mend(m: re.Match[str]) -> str:
+            nonlocal before
+            pair, before = f"{before} {m.group()}", m.group()
+            return repairs.get(pair) or repairs.get(m.group(), m.group())
+
+        joined = WORD.sub(mend, joined)
     return joined.strip()
 
 
 def repairs(frame: DataFrame, key: str, text: str, counts: DataFrame, noise: DataFrame, spark: SparkSession) -> DataFrame:
-    """(id, word, repair, cost, n_bigram): what to replace in each text.
+    """(id, before, word, repair, cost, n_repair, n_bigram): what may replace each word.
+
+    ``noise`` has every accepted repair of a word.
 
     Only words outside the head of the word list leave the texts one by one; bigrams are
     counted per partition before they are exchanged. ``n_bigram`` is how often, over all
-    texts, the repair follows the word that stands before the misread one (0 for repairs
-    outside the head).
+    texts, the repair follows the word that stands before the misread one in the joined text.
     """
     shared = usual_words(counts, noise, spark)
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         usual = shared.value
         for batch in batches:
-            out = [(i, a, b) for i, t in zip(batch["id"], batch["text"], strict=True) for w in [words(t)] for a, b in zip(["", *w], w, strict=False) if b not in usual and len(b) >= 4]
+            out = [(i, a, b) for i, t in zip(batch["id"], batch["text"], strict=True) for w in [words(continuous(t))] for a, b in zip(["", *w], w, strict=False) if b not in usual and len(b) >= 4]
             yield pd.DataFrame(out, columns=["id", "before", "word"])
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        usual = shared.value
         total: Counter[tuple[str, str]] = Counter()
         for batch in batches:
             for t in batch["text"]:
                 w = words(t)
-                total.update((a, b) for a, b in zip(["", *w], w, strict=False) if b in usual)
+                total.update((a, b) for a, b in zip(["", *w], w, strict=False) if len(b) >= 3)
             if len(total) > 500_000:
                 yield pd.DataFrame([(a, b, n) for (a, b), n in total.items()], columns=["before", "repair", "n"])
                 total.clear()
@@ -321,4 +331,13 @@ def repairs(frame: DataFrame, key: str, text: str, counts: DataFrame, noise: Dat
     hits = rows.mapInPandas(rare, "id string, before string, word string").join(noise, "word").distinct()
     wanted = hits.select("before", "repair").distinct()
     counted = rows.mapInPandas(pairs, "before string, repair string, n long").groupBy("before", "repair").agg(F.sum("n").alias("n_bigram"))
-    return hits.join(counted.join(wanted, ["before", "repair"], "left_semi"), ["before", "repair"], "left").select("id", "word", "repair", "cost", F.coalesce("n_bigram", F.lit(0)).alias("n_bigram"))
+    return hits.join(counted.join(wanted, ["before", "repair"], "left_semi"), ["before", "repair"], "left").select("id", "before", "word", "repair", "cost", "n_repair", F.coalesce("n_bigram", F.lit(0)).alias("n_bigram"))
+
+
+def choices(fixes: DataFrame) -> DataFrame:
+    """(id, fixes): map for ``continuous`` from ``repairs``; per occurrence the repair with
+    most bigrams, then least cost, then most texts; by the word alone over all of a text."""
+    best = lambda: F.max_by("repair", F.struct("n_bigram", -F.col("cost"), "n_repair", "repair")).alias("repair")
+    each = fixes.groupBy("id", F.concat_ws(" ", "before", "word").alias("key")).agg(best())
+    any_ = fixes.groupBy("id", F.col("word").alias("key"), "repair").agg(F.sum("n_bigram").alias("n_bigram"), F.min("cost").alias("cost"), F.max("n_repair").alias("n_repair")).groupBy("id", "key").agg(best())
+    return each.unionByName(any_).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("key", "repair"))).alias("fixes"))

@@ -148,6 +148,17 @@ def test_frequent_mixed_words_are_noise(spark):
     assert {r.id for r in scan_noise.text_cases(frame, "id", "text", counts, noise, spark).collect()} == {str(i) for i in range(30)}
 
 
+def test_repairs_by_context(spark):
+    texts = [(f"a{i}", "Die alte Gasse ruht.") for i in range(9)] + [("b", "Das neue Gasze ruht. Die alte Gasze ruht.")] + [(f"c{i}", "Das neue Gassi ruht.") for i in range(3)]
+    frame = spark.createDataFrame(texts, "id string, text string")
+    noise = spark.createDataFrame([("Gasze", "Gasse", 0.2, 9), ("Gasze", "Gassi", 0.2, 3)], "word string, repair string, cost double, n_repair long")
+    counts = scan_noise.count_words(frame.select("text"))
+    maps = {r.id: r.fixes for r in scan_noise.choices(scan_noise.repairs(frame, "id", "text", counts, noise, spark)).collect()}
+    assert scan_noise.continuous(texts[9][1], maps["b"]).split() == "Das neue Gassi ruht. Die alte Gasse ruht.".split()
+    two = spark.createDataFrame([("Wor7en", 1), ("Worten", 9), ("Worden", 8)], "word string, n long")
+    assert {r.repair for r in scan_noise.misreadings(two, spark.createDataFrame([], "word string"), every=True).collect()} == {"Worten", "Worden"}
+
+
 def test_paragraphs():
     text = "Das strcnge Urteil ver-\n\n— 12 —\n\ndeckt die Sach- und\nOrtslage.\n226 Ordnungslexis\nDann folgt es."
     assert " ".join(scan_noise.continuous(text, {"strcnge": "strenge"}).split()) == "Das strenge Urteil verdeckt die Sach- und Ortslage. Dann folgt es."
