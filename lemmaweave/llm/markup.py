@@ -1,271 +1,507 @@
-"""Markup residue: find HTML, Markdown, wiki and LaTeX markup and turn it into clean text.
-
-Template deduction over equivalence classes. A lexer splits a field into structure tokens
-(tags, commands, brackets, emphasis marks, line marks) and words. Structure tokens are
-differentiated by the path of elements that are open around them. Over all pages of a
-host (here: all fields of a volume) each differentiated token has an occurrence vector,
-the number of times it occurs on each page. Tokens with equal vectors form an equivalence
-class; a class is valid if it has at least two members or is the two ends of one element,
-and enough pages. Valid classes nest by the paths of their members into the host's
-template; what lies between template tokens is a slot, and slots are the text.
-
-Occurrence vectors are never collected: a vector is represented by its page count, its
-total and the wrapping sum of hashes of its (page, count) cells, which Spark combines map-side, so a class is
-one ``groupBy`` over bounded token types. Ambiguous marks (a list dash, a line of ``|``)
-are markup only as members of a template; explicit syntax (a tag, an entity, a closed
-pair of emphasis marks) is markup even as the only piece left, for which no class can
-exist (see README).
+r"""Markup residue: find HTML, Markdown, wiki and LaTeX markup and turn it into clean text.
+
+Template deduction over equivalence classes. A page (here: one field of one record) is
+split into words and structure tokens, each with its own place in the text: what opens,
+what closes, what stands alone. Structure tokens are differentiated by the path of
+elements that are open around them; ends without a start are roles of their own. Over all
+pages of a host (here: all fields of a volume) every token, words included, has an
+occurrence vector, the number of times it occurs on each page. Tokens with equal vectors
+form an equivalence class. A class is valid if two of its members at least are structure,
+it is on enough pages, and its members stand in the same order on all of them. Valid
+classes nest, by what is open around their members, into the host's template; a mark that
+repeats a varying number of times (list items, table rows) is of the template if each of
+its pages holds a valid class. What lies between template tokens are the slots:
+``slots`` gives them, and ``cleaned`` writes the clean text from them.
+
+No list of known marks decides what pairs: unknown syntax (``[b]...[/b]``, ``@@x@@``) is
+markup as soon as its tokens form a valid class.
+
+Exit. A piece that can share its vector with nothing cannot be deduced: an entity, a
+``<br>``, an end without its start, and any mark on fewer pages than a class needs. There
+the token's explicit syntax decides (``exits``); README gives the figures of both ways.
+
+Occurrence vectors are never collected: a vector is its page count, its total and the
+wrapping sum of hashes of its (page, count) cells, summed per partition before the
+exchange, so a class is one ``groupBy`` over bounded token types. A class is no larger
+than the tokens of one page; one whose elements change their order is split by element.
 
 Not markup: brackets and signs of formulas (``{x | x ∈ M}``, ``<a, b>``, ``X^_ A``,
-``__``), birth and death marks, ``2*3``, currency signs, a lone ampersand, page numbers.
+``__``, ``{{a},{b}}``), birth and death marks, ``2*3``, currency signs, a lone ampersand,
+page numbers, enumeration marks.
 
 Defined results: null or blank texts hold no markup; repeated rows count once; texts are
-read whole in one pass; an empty table gives no rows.
+read whole; signs that are no accepted token stay in clean text as they are; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TOKENS = "array<struct<role:string,firm:boolean>>"
+from lemmaweave.operators.skew import sized
+from lemmaweave.sources import cut
 
-# The token syntax of the four markup languages.
+# The token syntax of the four markup languages, and of tokens like theirs.
 LEXER = re.compile(
     r"""(?P<comment><!--.*?-->|<!DOCTYPE[^>]*>)
     |(?P<tag></?[A-Za-z][A-Za-z0-9]*(?:\s+[^<>]*?)?\s*/?>)
     |(?P<entity>&(?:[A-Za-z][A-Za-z0-9]{1,31}|\#[0-9]{1,7}|\#[xX][0-9A-Fa-f]{1,6});)
     |(?P<fence>```|~~~)
-    |(?P<code>`[^`\n]+`)
+    |(?P<code>`(?=(?P<code_>[^`\n]+)`))
     |(?P<wikitable>^\{\||^\|-|^\|\}|^!\ |\ !!\ |\ \|\|\ )
-    |(?P<template>\{\{[^{}\n]*\}\}|\{\{|\}\}(?!\}))
-    |(?P<link>\[\[[^\[\]\n]*\]\]|\[\[|\]\])
-    |(?P<mdlink>!?\[[^\[\]\n]*\]\([^()\s]*\))
+    |(?P<template>\{\{(?=[^\W\d_][\w .:-]*(?:\||\}\}))|(?<![{}\s,])\}\}(?!\}))
+    |(?P<link>\[\[|\]\])
+    |(?P<mdlink>!?\[(?=(?P<mdlink_>[^\[\]\n]*)\]\([^()\s]*\)))
     |(?P<wikiemph>'{2,5})
-    |(?P<heading>^={2,6}[^=\n]+={2,6}[ \t]*$)
-    |(?P<mdheading>^\#{2,6}[ ]+\S|^\#[ ]+(?=[A-ZÄÖÜ]))
+    |(?P<heading>^={2,6}(?=(?P<heading_>[^=\n]+)={2,6}[ \t]*$))
+    |(?P<mdheading>^\#{2,6}[ ]+(?=\S)|^\#[ ]+(?=[A-ZÄÖÜ]))
     |(?P<strong>\*\*|(?<![A-Za-z0-9])~~(?=\S)|(?<=\S)~~)
     |(?P<displaymath>\$\$|\\\[|\\\]|\\\(|\\\))
-    |(?P<math>\$(?=\S)[^$\n]*[\\^_{}=][^$\n]*\$)
+    |(?P<math>\$(?=(?P<math_>\S[^$\n]*[\\^_{}=][^$\n]*|[\\^_{}=][^$\n]*)\$))
     |(?P<command>\\[A-Za-z]+\*?|\\[,;!%&_{}](?=.)|\\\\(?=\s*$))
-    |(?P<emph>(?<![\w*])\*(?=["„»›(]?[^\W\d_])[^*\n†]{1,400}?(?<=[\w.)“«‹"])\*(?![\w*])
-        |(?<![\w_^])_(?=["„»›(]?[^\W_])[^_\n]{1,400}?(?<=[\w.)“«‹"])_(?![\w_]))
+    |(?P<emph>(?<![\w*])\*(?=(?P<star_>["„»›(]?[^\W\d_][^*\n†]{1,400}?(?<=[\w.)“«‹"]))\*(?![\w*]))
+        |(?<![\w_^])_(?=(?P<line_>["„»›(]?[^\W_][^_\n]{1,400}?(?<=[\w.)“«‹"]))_(?![\w_])))
     |(?P<rule>^\|?(?::?-{3,}:?\|)+(?::?-{3,}:?)?[ \t]*$)
     |(?P<item>^[ \t]*[-*+\#][ ]+(?=[^\W\d])|^[ \t]*[0-9]{1,3}\.[ ]+(?=[^\W\d]))
     |(?P<row>^\|.*\|[ \t]*$)
+    |(?P<other>[\[{@%]/?[A-Za-z][A-Za-z0-9]{0,15}[\]}@%]|(?<!\S)(?P<sign>[@%+^|!~:])(?P=sign)(?=\w)|(?<=\w)(?P<end>[@%+^|!~:])(?P=end)(?!\w))
     """,
     re.X | re.M | re.S,
 )
-#: Marks that other text uses as well; they count as members of a template only.
+#: Marks that other text uses as well; they count as nested in a template only.
 AMBIGUOUS = {"item", "row"}
-#: A text without any of these characters holds no token but, at most, ambiguous ones.
 TOGGLES = {"strong", "wikiemph", "displaymath", "fence"}
-WHOLE = {"link", "template", "code", "math", "emph", "mdlink", "heading"}
+#: Marks whose end was found with their start: the group that lies between.
+BODIES = {"code": ("code_",), "mdlink": ("mdlink_",), "heading": ("heading_",), "math": ("math_",), "emph": ("star_", "line_")}
 VOID = {"br", "hr", "img", "meta", "link", "input"}
-
-
-def tokens(text: str | None) -> Iterator[tuple[int, int, str, str, str]]:
-    """(start, end, kind, name, path) of each structure token, path = open elements.
-
-    Tokens come in order of where they open; an end token may lie beyond the next one.
-    """
-    if not text:
-        return
-    open_: list[str] = []
+#: Elements whose content is no markup.
+RAW = {"pre", "syntaxhighlight", "math", "verbatim", "nowiki", "code", "```", "~~~", "$", "$$", "\\[", "\\("}
+WORD = re.compile(r"[^\W\d_]{2,}")
+#: A text without any of these holds no structure token.
+SIGNS = re.compile(r"[<&\[{'=#*~$\\`_@%|]|^[ \t]*(?:[-+]|[0-9]{1,3}\.)[ ]|(?<!\S)([+^!:])\1(?=\w)", re.M)
+LEAST_PAGES = 3
+
+
+class Token(NamedTuple):
+    """A structure token: its place, kind, name, differentiated role, the role open around
+    it, whether its syntax is explicit, and whether it has no counterpart on the page."""
+
+    start: int
+    end: int
+    kind: str
+    name: str
+    role: str
+    parent: str
+    firm: bool
+    alone: bool
+
+
+def _lexed(text: str) -> Iterator[tuple[int, int, str, str, int]]:
+    """(start, end, kind, name, step) of each token; step 1 opens, -1 closes, 0 neither."""
+    taken: set[int] = set()  # where ends stand that were found with their start
     for hit in LEXER.finditer(text):
-        kind, word = hit.lastgroup, hit.group()
-        assert kind is not None
-        name, step = word, 0
+        word, a, b = hit.group(), hit.start(), hit.end()
+        if a in taken:
+            continue
+        kind = next(k for k in LEXER.groupindex if hit.start(k) >= 0)
         if kind == "tag":
             name = re.match(r"</?([A-Za-z0-9]+)", word)[1].lower()  # type: ignore[index]
             if name == "a" and re.match(r"<a\s+[^=<>]*>", word):
                 continue  # a pair in angle brackets, no attribute
-            step = 0 if name in VOID or word.endswith("/>") else -1 if word.startswith("</") else 1
+            yield a, b, kind, name, 0 if name in VOID or word.endswith("/>") else -1 if word.startswith("</") else 1
         elif kind == "command":
             name = word.rstrip("*")
             if name in ("\\begin", "\\end"):
-                step = 1 if name == "\\begin" else -1
-                env = re.compile(r"\{([A-Za-z]+\*?)\}").match(text, hit.end())
-                name = env[1] if env else "?"
-            elif len(name) == 2 and not name[1].isalpha() and word != "\\\\" and text[hit.end() : hit.end() + 1] == " ":
-                pass
-        elif kind in ("entity", "code", "math", "emph", "mdlink", "item", "row", "heading", "mdheading"):
-            name = {"emph": word[0], "item": word.strip()[-1:], "mdheading": "#" * word.count("#"), "heading": "=" * (len(word) - len(word.lstrip("=")))}.get(kind, kind)
+                env = re.compile(r"\{([A-Za-z]+\*?)\}(?:\{[^{}]*\})?").match(text, b)
+                yield a, env.end() if env else b, kind, env[1] if env else "?", 1 if name == "\\begin" else -1
+            elif word[1:2].isalpha() and (text[b : b + 1] == "{" or text[a - 1 : a] == "{" and a):
+                inner = b if text[b : b + 1] == "{" else a - 1
+                end = _closing(text, inner)
+                if end is None:
+                    yield a, b, kind, name, 0
+                else:
+                    taken.add(end)
+                    yield min(a, inner), b + (inner == b), kind, name, 1
+                    yield end, end + 1, kind, name, -1
+            else:
+                yield a, b, kind, name, 0
+        elif kind in BODIES:
+            group = next(g for g in BODIES[kind] if hit.group(g) is not None)
+            end = hit.end(group)
+            closing = re.compile(r"={2,6}|\]\([^()\s]*\)|.", re.S).match(text, end)
+            assert closing is not None
+            name = "$" if kind == "math" else "[" if kind == "mdlink" else "`" if kind == "code" else word[:6]
+            if name in ("*", "_", "`", "$", "["):
+                taken.update(range(end, closing.end()))
+            yield a, b, kind, name, 1
+            yield end, closing.end(), kind, name, -1
+            if kind == "heading":
+                taken.update(range(end, closing.end()))
+        elif kind == "mdheading":
+            end = text.find("\n", b)
+            yield a, b, kind, word.strip(), 1
+            yield (len(text), len(text), kind, word.strip(), -1) if end < 0 else (end, end + 1, kind, word.strip(), -1)
         elif kind in ("link", "template"):
-            name = word[:2] if word[0] in "[{" and word[-1] in "]}" and len(word) > 3 else word
-        if step < 0:
-            path = "/".join(open_[-3:])
-            if name in open_:
-                while open_ and open_.pop() != name:
-                    pass
-                path = "/".join([*open_, name][-3:])
+            yield a, b, kind, word if word in ("[[", "{{") else {"]]": "[[", "}}": "{{"}[word], 1 if word in ("[[", "{{") else -1
+        elif kind == "other":
+            if word[0] in "[{@%" and len(word) > 2 and word[1:2].isalpha() | (word[1:2] == "/"):
+                yield a, b, kind, word.replace("/", "", 1), -1 if word[1] == "/" else 1
             else:
-                path = "?"  # an end without its start: another role
-            yield hit.start(), hit.end(), kind, f"/{name}", path
+                yield a, b, kind, word, -1 if hit.group("end") else 1
+        elif kind == "displaymath" and word != "$$":
+            yield a, b, kind, {"\\]": "\\[", "\\)": "\\("}.get(word, word), -1 if word in ("\\]", "\\)") else 1
         elif kind in TOGGLES:
-            # The same mark opens and closes: two tokens of the template, by turns.
-            ends = name in open_
-            if ends:
-                del open_[len(open_) - 1 - open_[::-1].index(name)]
-            else:
-                open_.append(name)
-            yield hit.start(), hit.end(), kind, f"/{name}" if ends else name, "/".join(open_[-3:] if not ends else [*open_, name][-3:])
+            yield a, b, kind, word, 2
         else:
-            if step > 0:
-                open_.append(name)
-            path = "/".join(open_[-3:])
-            yield hit.start(), hit.end(), kind, name, path
-            # What encloses text has an end token of its own, which shares its vector.
-            if kind in WHOLE and (kind not in ("link", "template") or len(word) > 2):
-                yield hit.end(), hit.end(), kind, f"/{name}", path
-            elif kind == "command" and word[0] == "\\" and word[1:2].isalpha():
-                end = text.find("}", hit.end())
-                if end >= 0 and (text[hit.end() : hit.end() + 1] == "{" or text[hit.start() - 1 : hit.start()] == "{"):
-                    yield end, end + 1, kind, f"/{name}", path
-
-
-def roles(column: Column) -> Column:
-    """Structure tokens of a text as (role, firm): differentiated name, explicit syntax."""
-
-    @F.pandas_udf(TOKENS)
-    def read(texts: pd.Series) -> pd.Series:
-        return pd.Series(
-            [[{"role": f"{k}:{n}@{p}", "firm": k not in AMBIGUOUS} for _, _, k, n, p in tokens(t)] for t in texts], dtype=object
-        )
-
-    return read(column)
+            yield a, b, kind, {"item": word.strip()[-1:], "wikitable": word.strip(), "entity": "&", "row": "|", "rule": "---"}.get(kind, kind), 0
+
+
+def _closing(text: str, at: int) -> int | None:
+    """Where the brace at ``at`` closes, in the same paragraph."""
+    depth = 0
+    for hit in re.compile(r"[{}]|\n\n").finditer(text, at):
+        depth += 1 if hit.group() == "{" else -1
+        if hit.group() == "\n\n":
+            return None
+        if not depth:
+            return hit.start()
+    return None
+
+
+def tokens(text: str | None) -> list[Token]:
+    """The structure tokens of a text in their order."""
+    if not text or not SIGNS.search(text):
+        return []
+    raw = sorted(_lexed(text), key=lambda t: (t[0], t[1]))
+    partner: dict[int, int] = {}
+    steps = []
+    open_: list[int] = []
+    names: Counter[str] = Counter()
+    inside: tuple[str, int] | None = None  # an element whose content is no markup
+    kept: list[tuple[int, int, str, str]] = []
+    for a, b, kind, name, step in raw:
+        if kept and a < kept[-1][1]:
+            continue
+        if step == 2:
+            step = -1 if names[name] else 1
+        if inside and not (step == -1 and name == inside[0]):
+            continue
+        i = len(kept)
+        kept.append((a, b, kind, name))
+        steps.append(step)
+        if step == 1:
+            open_.append(i)
+            names[name] += 1
+            if name in RAW and text.find({"```": "```", "~~~": "~~~"}.get(name, ""), b) >= 0 and _ends(text, b, kind, name):
+                inside = (name, i)
+        elif step == -1:
+            inside = None
+            if names[name]:
+                while kept[(j := open_.pop())][3] != name:
+                    names[kept[j][3]] -= 1
+                names[name] -= 1
+                partner[i], partner[j] = j, i
+    out: list[Token] = []
+    path: list[tuple[str, str]] = []
+    for i, ((a, b, kind, name), step) in enumerate(zip(kept, steps, strict=True)):
+        paired = i in partner
+        if kind == "other" and not paired:
+            continue  # no token: such signs are text
+        if step == -1 and paired:
+            path.pop()
+        where = "/".join(n for n, _ in path[-3:])
+        role = f"{kind}:{'/' if step == -1 else ''}{name}@{where if paired or not step else '?'}"
+        out.append(Token(a, b, kind, name, role, path[-1][1] if path else "", kind not in AMBIGUOUS and kind != "other", not paired))
+        if step == 1 and paired:
+            path.append((name, role))
+    return out
+
+
+def _ends(text: str, at: int, kind: str, name: str) -> bool:
+    """Does an element with raw content end at all?"""
+    ending = {"tag": f"</{name}", "command": f"\\end{{{name}}}", "displaymath": {"\\[": "\\]", "\\(": "\\)"}.get(name, name)}.get(kind, name)
+    return text.find(ending, at) >= 0
+
+
+# --- occurrence vectors -----------------------------------------------------------------
 
 
 def long_fields(frame: DataFrame, keys: list[str], host: str, fields: list[str]) -> DataFrame:
-    """Distinct non-blank (keys, host, field, text)."""
+    """Non-blank (keys, _host, field, text) and _page, which numbers distinct texts of a field."""
     named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text")) for f in fields]))
-    rows = frame.select(*keys, F.col(host).alias("_host"), named.alias("_f")).select(*keys, "_host", "_f.field", "_f.text")
-    return rows.where(F.length(F.trim("text")) > 0)
+    rows = frame.select(*keys, F.col(host).cast("string").alias("_host"), named.alias("_f")).select(*keys, "_host", "_f.field", "_f.text")
+    return rows.where(F.length(F.trim("text")) > 0).withColumn("_page", F.xxhash64(*keys, "field", "text"))
 
 
 def page_tokens(frame: DataFrame, keys: list[str], host: str, fields: list[str]) -> DataFrame:
-    """(keys, host, field, page, role, firm, n): how often each token is on each page."""
-    # Texts without a single markup character (the large majority) never reach Python.
-    signs = r"[<&\[{'=#*~$\\`_]|(?m)^[ \t]*(?:[-+]|[0-9]{1,3}\.)[ ]|^\|"
-    read = (
-        long_fields(frame, keys, host, fields)
-        .where(F.col("text").rlike(signs))
-        .select(*keys, "_host", "field", F.xxhash64(*keys, "field", "text").alias("_page"), F.explode(roles(F.col("text"))).alias("t"))
-    )
-    return read.groupBy(*keys, "_host", "field", "_page", "t.role", "t.firm").agg(F.count(F.lit(1)).alias("n"))
-
-
-def classes(counted: DataFrame, least_pages: int = 3) -> DataFrame:
-    """Valid equivalence classes per host: (host, class_id, roles, n_pages)."""
-    # The sum of cell hashes wraps by decimal remainder, so no overflow under ANSI mode.
-    cell = F.xxhash64("_page", "n").cast("decimal(38,0)")
-    vectors = counted.groupBy("_host", "role").agg(
-        F.count(F.lit(1)).alias("n_pages"), F.sum("n").alias("total"), F.sum(cell).alias("vector")
-    )
-    grouped = vectors.where(F.col("n_pages") >= least_pages).groupBy("_host", "n_pages", "total", "vector")
-    return (
-        grouped.agg(F.sort_array(F.collect_set("role")).alias("roles"))
-        .where(F.size("roles") >= 2)
-        .select("_host", F.xxhash64("n_pages", "total", "vector").alias("class_id"), "roles", "n_pages")
-    )
-
-
-def template(counted: DataFrame, least_pages: int = 3) -> DataFrame:
-    """Roles of a host's template: members of valid classes, and marks nested in them.
-
-    A mark that repeats a varying number of times (list items, table rows) has no partner
-    with an equal vector; it is of the template if every page it is on also holds firm
-    markup, that is, if its vector is nested in that of the template.
+    """What all steps read, made in one pass over the texts; to be materialised.
+
+    Rows with ``n``: (keys, _host, field, _page, role, parent, firm, alone, first, n), the
+    structure tokens of each page. Rows with ``pages``: (_host, role, pages, total, vector),
+    the occurrence vectors of all tokens of the partition, words included (``w:``).
     """
-    members = classes(counted, least_pages).select("_host", F.explode("roles").alias("role"))
-    on_page = counted.groupBy("_host", "_page").agg(F.max("firm").alias("marked"))
-    nested = (
-        counted.where(~F.col("firm"))
-        .join(on_page, ["_host", "_page"])
-        .groupBy("_host", "role")
-        .agg(F.avg(F.col("marked").cast("int")).alias("share"), F.count(F.lit(1)).alias("n_pages"))
-        .where((F.col("share") == 1) & (F.col("n_pages") >= least_pages))
-        .select("_host", "role")
-    )
-    return members.unionByName(nested).distinct()
+    kinds = dict(frame.dtypes)
+    columns = [*keys, "_host", "field", "_page", "role", "parent", "firm", "alone", "first", "n", "pages", "total", "vector"]
+    schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "_host string, field string, _page long, role string, parent string, firm boolean, alone boolean, first int, n int, pages long, total long, vector long"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vectors: dict[tuple[str | None, str], list[int]] = {}
+        none = [None] * len(keys)
+
+        def flush() -> pd.DataFrame:
+            rows = [(*none, h, None, None, r, None, None, None, None, None, p, t, (v + 2**63) % 2**64 - 2**63) for (h, r), (p, t, v) in vectors.items()]
+            vectors.clear()
+            return pd.DataFrame(rows, columns=columns).astype({"_page": "Int64", "first": "Int32", "n": "Int32", "pages": "Int64", "total": "Int64", "vector": "Int64"})
+
+        for batch in batches:
+            rows = []
+            for *ids, host_, field, text, page in zip(*[batch[k] for k in keys], batch["_host"], batch["field"], batch["text"], batch["_page"], strict=True):
+                found = tokens(text)
+                counts: Counter[str] = Counter()
+                firsts: dict[str, Token] = {}
+                for t in found:
+                    counts[t.role] += 1
+                    firsts.setdefault(t.role, t)
+                rows += [(*ids, host_, field, page, r, t.parent, t.firm, t.alone, t.start, counts[r], None, None, None) for r, t in firsts.items()]
+                counts.update([f"w:{w}" for w in WORD.findall(blanked(text, found))])
+                for role, n in counts.items():
+                    at = vectors.setdefault((host_, role), [0, 0, 0])
+                    at[0] += 1
+                    at[1] += n
+                    at[2] += page * (2 * n + 1) ^ (page >> 7)
+            if rows:
+                yield pd.DataFrame(rows, columns=columns).astype({"_page": "Int64", "first": "Int32", "n": "Int32", "pages": "Int64", "total": "Int64", "vector": "Int64"})
+            if len(vectors) > 300_000:
+                yield flush()
+        if vectors:
+            yield flush()
+
+    return long_fields(frame, keys, host, fields).mapInPandas(read, schema)
+
+
+def blanked(text: str, found: list[Token]) -> str:
+    """A text with its structure tokens taken out."""
+    if not found:
+        return text
+    ends = [0, *(t.end for t in found)]
+    return " ".join(text[a:b] for a, b in zip(ends, [*(t.start for t in found), len(text)], strict=True))
+
+
+def _structure(counted: DataFrame) -> DataFrame:
+    return counted.where(F.col("n").isNotNull()).drop("pages", "total", "vector")
+
+
+def classes(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """Valid equivalence classes: (_host, class_id, roles, words, n_pages, parent).
+
+    ``roles``: structure members in their order; ``words``: members that are words;
+    ``parent``: the role that is open around the class, '' at the top of the template.
+    """
+    # Equal vectors have equal parts in every partition, so their wrapped parts add up alike.
+    whole = F.sum(F.col("vector").cast("decimal(38,0)"))
+    vectors = counted.where(F.col("pages").isNotNull()).groupBy("_host", "role").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), whole.alias("vector"))
+    word = F.startswith("role", F.lit("w:"))
+    grouped = vectors.where(F.col("pages") >= least_pages).groupBy("_host", "pages", "total", "vector")
+    equal = grouped.agg(F.collect_list(F.when(~word, F.col("role"))).alias("members"), F.array_sort(F.collect_list(F.when(word, F.substr("role", F.lit(3))))).alias("words")).where(F.size("members") >= 2)
+    equal = equal.select("_host", F.xxhash64("pages", "total", "vector", F.array_sort("members")).alias("class_id"), "members", "words")
+    # Ordered: the first places of the members are in the same order on every page.
+    equal = cut(equal, counted.sparkSession)
+    member = sized(equal.select("_host", "class_id", F.explode("members").alias("role")))
+    seen = _structure(counted).select("_host", "_page", "role", "first", "parent").distinct().join(member, ["_host", "role"])
+    seen = cut(seen.withColumn("part", F.regexp_replace("role", ":/", ":")), counted.sparkSession)
+
+    def ordered(by: list[str]) -> DataFrame:
+        on_page = seen.groupBy("_host", *by, "_page").agg(F.array_sort(F.collect_list(F.struct("first", "role", "parent"))).alias("s"))
+        order = on_page.select("_host", *by, F.transform("s", lambda x: x["role"]).alias("roles"), F.col("s")[0]["parent"].alias("parent"))
+        same = order.groupBy("_host", *by).agg(F.min("roles").alias("roles"), F.max("roles").alias("_last"), F.count(F.lit(1)).alias("n_pages"), F.mode("parent", True).alias("parent"))
+        return same.where((F.col("roles") == F.col("_last")) & (F.size("roles") >= 2) & (F.col("n_pages") >= least_pages)).drop("_last")
+
+    whole_ = ordered(["class_id"])
+    # Elements that merely occur equally often, in changing order, are classes of their own.
+    parts = ordered(["class_id", "part"]).join(whole_.select("_host", "class_id"), ["_host", "class_id"], "left_anti")
+    words = equal.select("_host", "class_id", "words")
+    own = parts.select("_host", F.xxhash64("class_id", "part").alias("class_id"), "roles", "n_pages", "parent", F.array().cast("array<string>").alias("words"))
+    return whole_.join(words, ["_host", "class_id"]).unionByName(own)
+
+
+def template(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """(_host, role, nested): roles of the hosts' templates, members of valid classes and
+    the repeating marks nested in them."""
+    members = cut(classes(counted, least_pages).select("_host", F.explode("roles").alias("role")), counted.sparkSession)
+    known = sized(members)
+    pages = _structure(counted).select("_host", "_page", "role", "firm").distinct()
+    # Valid classes are few roles a host, so these joins meet on pages, never on hosts.
+    marked = pages.join(known, ["_host", "role"], "left_semi").select("_host", "_page", F.lit(1).alias("marked")).distinct()
+    loose = pages.where(~F.col("firm")).join(known, ["_host", "role"], "left_anti")
+    nested = loose.join(marked, ["_host", "_page"], "left").groupBy("_host", "role").agg(F.count(F.lit(1)).alias("k"), F.count("marked").alias("m"))
+    nested = nested.where((F.col("k") == F.col("m")) & (F.col("k") >= least_pages)).select("_host", "role", F.lit(True).alias("nested"))
+    return members.withColumn("nested", F.lit(False)).unionByName(nested)
+
+
+def accepted(counted: DataFrame, keys: list[str], least_pages: int = LEAST_PAGES) -> DataFrame:
+    """(keys, field, _page, role, way): the tokens that are markup, and by which way:
+    ``deduced`` by the template, or ``exit`` by their explicit syntax."""
+    rows = _structure(counted)
+    roles = template(counted, least_pages).groupBy("_host", "role").agg(F.lit(True).alias("of_template"))
+    support = rows.select("_host", "role", "_page").distinct().groupBy("_host", "role").agg(F.count(F.lit(1)).alias("k"))
+    of_role = sized(cut(support.join(roles, ["_host", "role"], "left"), counted.sparkSession))
+    judged = rows.join(of_role, ["_host", "role"])  # few roles, one of which may be on most pages
+    exits = F.col("firm") & (F.col("alone") | (F.col("k") < least_pages))
+    way = F.when(F.col("of_template"), "deduced").when(exits, "exit")
+    return judged.select(*keys, "field", "_page", "role", way.alias("way")).where(F.col("way").isNotNull())
 
 
 def found(counted: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct (keys, field) of the fields that hold markup, from ``page_tokens``."""
-    deduced = counted.join(template(counted), ["_host", "role"], "left_semi")
-    pieces = counted.where("firm")
-    return deduced.select(*keys, "field").unionByName(pieces.select(*keys, "field")).distinct()
+    return accepted(counted, keys).select(*keys, "field").distinct()
+
+
+def ways(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """(way, n_fields): fields found by the template, and those found by the exit alone."""
+    best = accepted(counted, keys).groupBy(*keys, "field").agg(F.min("way").alias("way"))
+    return best.groupBy("way").agg(F.count(F.lit(1)).alias("n_fields"))
 
 
-# --- conversion -----------------------------------------------------------------------
+# --- slots and clean text -------------------------------------------------------------
 
-BLOCK = {"p", "div", "section", "article", "table", "ul", "ol", "blockquote", "tr", "body", "html"}
+BLOCK = {"p", "div", "section", "article", "table", "ul", "ol", "blockquote", "tr", "body", "html", "dl", "head"}
+NOTES = {"ref", "\\footnote"}
+CODE = {"pre", "syntaxhighlight", "verbatim", "```", "~~~"}
+MATH = {"$", "$$", "\\[", "\\(", "math"}
 
 
-def to_text(text: str | None) -> str | None:
-    """Clean text of a marked-up one; null stays null.
+def cut_slots(text: str, accept: Callable[[Token], bool]) -> list[tuple[Token | None, str]]:
+    """(token, slot): each accepted token with the text from it to the next; what stands
+    before the first token comes with None."""
+    found = [t for t in tokens(text) if accept(t)]
+    ends = [*(t.start for t in found), len(text)]
+    return [(None, text[: ends[0]]), *((t, text[t.end : e]) for t, e in zip(found, ends[1:], strict=True))]
+
+
+def to_text(text: str | None, accept: Callable[[Token], bool] = lambda t: True) -> str | None:
+    """Clean text, written from the slots between accepted tokens; null stays null.
 
     Headings become ``# ...`` lines, list items ``- ...`` lines, table cells are joined by
-    `` | ``, code keeps its lines between fences, formulas stand between ``$``.
+    `` | ``, code keeps its lines between fences, formulas stand between ``$``, links and
+    templates keep their last part, notes go.
     """
     if text is None:
         return None
-    kept: list[str] = []
-
-    def keep(inner: str) -> str:
-        kept.append(inner)
-        return f"\ue000{len(kept) - 1}\ue001"
-
-    t = text.replace("\ue000", "").replace("\ue001", "")
-    fence = lambda m: "\n\n" + keep("```\n" + html.unescape(re.sub(r"</?code[^>]*>", "", m[1])).strip("\n") + "\n```") + "\n\n"
-    for pattern in (r"<pre[^>]*>(.*?)</pre>", r"<syntaxhighlight[^>]*>(.*?)</syntaxhighlight>", r"```[a-z]*\n(.*?)```", r"\\begin\{verbatim\}(.*?)\\end\{verbatim\}"):
-        t = re.sub(pattern, fence, t, flags=re.S)
-    for pattern in (r"<math[^>]*>(.*?)</math>", r"\$\$(.*?)\$\$", r"\\\[(.*?)\\\]", r"\\\((.*?)\\\)", r"\$((?=\S)[^$\n]*[\\^_{}=][^$\n]*)\$"):
-        t = re.sub(pattern, lambda m: keep(f"${m[1].strip()}$"), t, flags=re.S)
-    t = re.sub(r"<!--.*?-->|<!DOCTYPE[^>]*>|<ref[^>]*/>|<ref[^>]*>.*?</ref>|\\footnote\{[^{}]*\}", "", t, flags=re.S)
-    t = re.sub(r"<h([1-6])[^>]*>(.*?)</h\1>", lambda m: f"\n\n{'#' * int(m[1])} {m[2].strip()}\n\n", t, flags=re.S | re.I)
-    t = re.sub(r"^(={2,6})[ \t]*([^=\n]+?)[ \t]*={2,6}[ \t]*$", lambda m: f"\n{'#' * (len(m[1]) - 1)} {m[2]}\n", t, flags=re.M)
-    t = re.sub(r"\\(sub)*section\*?\{([^{}]*)\}", lambda m: f"\n\n{'#' * (m[0].count('sub') + 1)} {m[2]}\n\n", t)
-    t = re.sub(r"<li[^>]*>", "\n- ", t)
-    t = re.sub(r"^[ \t]*(?:[*+#]|\\item)[ \t]+(?=[a-zäöüß(])", "- ", t, flags=re.M)
-    t = re.sub(r"\\item\b[ \t]*", "- ", t)
-    t = re.sub(r"\\(?:begin|end)\{[A-Za-z*]+\}(?:\{[^{}]*\})?", "\n", t)
-    t = re.sub(r"^\{\|.*$|^\|\}|^\|-+[ \t]*$|^\|?(?::?-{3,}:?\|)+(?::?-{3,}:?)?[ \t]*$", "", t, flags=re.M)
-    t = re.sub(r"^[!|][ \t]*|[ \t]*\|[ \t]*$", "", t, flags=re.M) if re.search(r"^[!|]", text, re.M) else t
-    t = re.sub(r"[ \t]*(?:!!|\|\|)[ \t]*", " | ", t)
-    t = re.sub(r"</t[dh]>\s*<t[dh][^>]*>", " | ", t)
-    t = re.sub(r"<br\s*/?>", "\n", t, flags=re.I)
-    t = re.sub(r"</?([A-Za-z][A-Za-z0-9]*)(?:\s+[^<>]*=[^<>]*|\s*/?)>", lambda m: "\n\n" if m[1].lower() in BLOCK else "", t)
-    for _ in range(4):
-        before = t
-        t = re.sub(r"\[\[(?:[^\[\]|\n]*\|)?([^\[\]|\n]*)\]\]", r"\1", t)
-        t = re.sub(r"\{\{(?:[^{}|\n]*\|)?([^{}\n]*)\}\}", r"\1", t)
-        t = re.sub(r"\\[A-Za-z]+\*?\{([^{}]*)\}", r"\1", t)
-        t = re.sub(r"\{\\[A-Za-z]+ ([^{}]*)\}", r"\1", t)
-        if t == before:
-            break
-    t = re.sub(r"!?\[([^\[\]\n]*)\]\([^()\s]*\)", r"\1", t)
-    t = re.sub(r"'{2,5}|\*\*|~~|`|\[\[|\]\]|\{\{|\}\}", "", t)
-    t = re.sub(r"(?<![\w*])\*(?=[^\W\d_])([^*\n†]{1,200}?)(?<=\w)\*(?![\w*])", r"\1", t)
-    t = re.sub(r"(?<![\w_])_(?=[^\W_])([^_\n]{1,400}?)(?<=[\w)])_(?![\w_])", r"\1", t)
-    t = html.unescape(html.unescape(t)).replace("\xa0", " ")
-    t = re.sub(r"</?[A-Za-z][A-Za-z0-9]*\s*/?>", "", t)
-    t = re.sub(r"\\[A-Za-z]+\b\*?(?:\{\})?[ ]?", "", t)
-    t = re.sub(r"[ \t]+\n", "\n", re.sub(r"[ \t]{2,}", " ", t))
+    out: list[str] = []
+    raw: list[str] = []  # code and formulas, set aside from the last tidying
+    skip = 0
+    body: str | None = None  # inside code or a formula
+    for token, slot in cut_slots(text, accept):
+        mark = ""
+        if token is not None:
+            ends = token.role.split(":", 1)[1].startswith("/") and not token.name.startswith("/")
+            if token.name in NOTES and not token.alone:
+                skip += -1 if ends else 1
+            elif token.name in CODE | MATH and not token.alone:
+                if ends and body is not None:
+                    raw.append(f"```\n{html.unescape(re.sub(r'</?code[^>]*>', '', body)).strip(chr(10))}\n```" if token.name in CODE else f"${body.strip()}$")
+                    mark = f"\n\n{len(raw) - 1}\n\n" if token.name in CODE else f"{len(raw) - 1}"
+                    body = None
+                elif not ends:
+                    body = slot[slot.find("\n") + 1 :] if token.name in ("```", "~~~") and "\n" in slot else slot
+                    continue
+            else:
+                mark = _mark(token, ends, text, "".join(out[-1:]))
+                if token.name in ("[[", "{{") and not ends and not token.alone and "|" in slot:
+                    slot = slot.rsplit("|", 1)[1] if token.name == "[[" else slot.split("|", 1)[1]
+        if body is not None:
+            body += text[token.start : token.end] + slot if token is not None else slot
+        elif skip <= 0:
+            out += [mark, slot]
+        elif mark.strip("\n") and not slot:
+            out.append("")
+    t = "".join(out)
+    if (again := html.unescape(t)) != t and re.search(r"</?[A-Za-z][^<>]*>", again):
+        t = re.sub(r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[^<>]*=[^<>]*)?\s*/?>", "", again)  # escaped tags
+    t = re.sub(r"[ \t]+\n", "\n", re.sub(r"(?<=\S)[ \t]{2,}", " ", t))
     t = re.sub(r"\n{3,}", "\n\n", t).strip()
-    return re.sub("\ue000([0-9]+)\ue001", lambda m: kept[int(m[1])], t)
+    return re.sub("([0-9]+)", lambda m: raw[int(m[1])], t) if raw else t
+
+
+def _mark(token: Token, ends: bool, text: str, before: str) -> str:
+    """What an accepted token leaves in clean text."""
+    kind, name = token.kind, token.name
+    if kind == "tag":
+        if re.fullmatch(r"h[1-6]", name):
+            return "\n\n" if ends else f"\n\n{'#' * int(name[1])} "
+        if name == "li":
+            return "" if ends else "\n- "
+        if name in ("td", "th"):
+            return " | " if ends and re.match(r"\s*<t[dh]", text[token.end :]) else ""
+        return "\n" if name == "br" else "\n\n" if name in BLOCK else ""
+    if kind == "entity":
+        return html.unescape(html.unescape(text[token.start : token.end])).replace("\xa0", " ")
+    if kind in ("heading", "mdheading"):
+        return "\n\n" if ends else f"\n\n{'#' * max(1, len(name) - (kind == 'heading'))} "
+    if kind == "command":
+        if name in ("\\section", "\\subsection", "\\subsubsection", "\\chapter"):
+            return "\n\n" if ends else f"\n\n{'#' * (name.count('sub') + 1)} "
+        if name == "\\item":
+            return "- "
+        if text.startswith(("\\begin", "\\end"), token.start):
+            return "\n"
+        return {"\\\\": "\n", "\\,": " ", "\\%": "%", "\\&": "&", "\\_": "_", "\\{": "{", "\\}": "}"}.get(name, "")
+    if kind == "item":
+        return text[token.start : token.end] if name == "." else "- "
+    if kind == "row":
+        return " | ".join(c.strip() for c in text[token.start : token.end].strip().strip("|").split("|"))
+    if kind == "wikitable":
+        return " | " if name in ("||", "!!") else ""
+    return ""
+
+
+def cleaned(frame: DataFrame, counted: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """(keys, fields): clean text of every field, from the tokens accepted on its page."""
+    rows, ok = _with_roles(frame, counted, keys, fields)
+
+    @F.pandas_udf("string")
+    def convert(texts: pd.Series, roles: pd.Series) -> pd.Series:
+        return pd.Series([t if r is None else to_text(t, lambda x, r=frozenset(r): x.role in r) for t, r in zip(texts, roles, strict=True)])
+
+    done = rows.join(ok, "_page", "left").withColumn("text", convert(F.col("text"), F.col("roles")))
+    wide = done.groupBy(*keys, "_row").agg(*[F.max(F.when(F.col("field") == f, F.col("text"))).alias(f) for f in fields])
+    return wide.drop("_row")
+
+
+def _with_roles(frame: DataFrame, counted: DataFrame, keys: list[str], fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text")) for f in fields]))
+    rows = frame.withColumn("_row", F.xxhash64(*keys, *fields)).select(*keys, "_row", named.alias("_f")).select(*keys, "_row", "_f.field", "_f.text").distinct()
+    ok = accepted(counted, keys).groupBy("_page").agg(F.collect_set("role").alias("roles"))
+    return rows.withColumn("_page", F.xxhash64(*keys, "field", "text")), ok
+
+
+def slots(frame: DataFrame, counted: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """(keys, field, pos, role, slot): non-blank slots and the template token each follows."""
+    rows, ok = _with_roles(frame, counted, keys, fields)
+
+    @F.pandas_udf("array<struct<role:string,slot:string>>")
+    def pieces(texts: pd.Series, roles: pd.Series) -> pd.Series:
+        def one(text: str, ok_: frozenset[str]) -> list[dict[str, str]]:
+            return [{"role": t.role if t else "", "slot": s.strip()} for t, s in cut_slots(text, lambda x: x.role in ok_) if s.strip()]
+
+        return pd.Series([one(t, frozenset(r)) for t, r in zip(texts, roles, strict=True)], dtype=object)
+
+    return rows.drop("_row").distinct().join(ok, "_page").select(*keys, "field", F.posexplode(pieces(F.col("text"), F.col("roles"))).alias("pos", "s")).select(*keys, "field", "pos", "s.role", "s.slot")
 
 
 def clean(column: Column) -> Column:
-    """``to_text`` of a column."""
+    """``to_text`` of a column where no host is known: every explicit token is accepted."""
 
     @F.pandas_udf("string")
     def convert(texts: pd.Series) -> pd.Series:
-        return texts.map(to_text, na_action="ignore")
+        return texts.map(lambda t: to_text(t, lambda x: x.firm), na_action="ignore")
 
     return convert(column)

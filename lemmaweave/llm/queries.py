@@ -14,21 +14,33 @@ from lemmaweave.sources import cut, spread, table
 TEXTS = ["body_text", "werke_raw", "literatur_raw"]
 
 
-def p1_found(spark: SparkSession, root: str) -> DataFrame:
+def _pages(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Entries and the tokens of their fields: one pass over the texts, used by every step."""
     entries = spread(table(spark, root, "entries", "id", "volume", *TEXTS), spark)
-    counted = cut(markup.page_tokens(entries, ["id"], "volume", TEXTS), spark)  # read once, used by every step
-    return markup.found(counted, ["id"]).select(F.col("id").alias("entry_id"), "field")
+    return entries, cut(markup.page_tokens(entries, ["id"], "volume", TEXTS), spark)
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return markup.found(_pages(spark, root)[1], ["id"]).select(F.col("id").alias("entry_id"), "field")
+
+
+def p1_ways(spark: SparkSession, root: str) -> DataFrame:
+    return markup.ways(_pages(spark, root)[1], ["id"])
 
 
 def p1_clean(spark: SparkSession, root: str) -> DataFrame:
-    entries = spread(table(spark, root, "entries", "id", *TEXTS), spark).distinct()
-    return entries.select(F.col("id").alias("entry_id"), *[markup.clean(F.col(t)).alias(t) for t in TEXTS])
+    entries, counted = _pages(spark, root)
+    return markup.cleaned(entries.drop("volume"), counted, ["id"], TEXTS).withColumnRenamed("id", "entry_id")
+
+
+def p1_slots(spark: SparkSession, root: str) -> DataFrame:
+    entries, counted = _pages(spark, root)
+    return markup.slots(entries.drop("volume"), counted, ["id"], TEXTS).withColumnRenamed("id", "entry_id")
 
 
 def p1_classes(spark: SparkSession, root: str) -> DataFrame:
-    entries = spread(table(spark, root, "entries", "id", "volume", *TEXTS), spark)
-    found = markup.classes(markup.page_tokens(entries, ["id"], "volume", TEXTS))
-    return found.select(F.col("_host").alias("volume"), "class_id", F.array_join("roles", " ").alias("roles"), "n_pages")
+    found = markup.classes(_pages(spark, root)[1])
+    return found.select(F.col("_host").alias("volume"), "class_id", F.array_join("roles", " ").alias("roles"), F.array_join("words", " ").alias("words"), "n_pages", "parent")
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
