@@ -51,7 +51,7 @@ from lemmaweave.sources import cut
 
 # The token syntax of the four markup languages, and of tokens like theirs.
 LEXER = re.compile(
-    r"""(?P<comment><!--.*?-->|<!DOCTYPE[^>]*>)
+    r"""(?=[<&`{}\[\]|'=\#*~$\\_@%^:+!]|^[ \t0-9-]|\ [!|]{2})(?:(?P<comment><!--.*?-->|<!DOCTYPE[^>]*>)
     |(?P<tag></?[A-Za-z][A-Za-z0-9]*(?:\s+[^<>]*?)?\s*/?>)
     |(?P<entity>&(?:[A-Za-z][A-Za-z0-9]{1,31}|\#[0-9]{1,7}|\#[xX][0-9A-Fa-f]{1,6});)
     |(?P<fence>```|~~~)
@@ -72,7 +72,7 @@ LEXER = re.compile(
     |(?P<rule>^\|?(?::?-{3,}:?\|)+(?::?-{3,}:?)?[ \t]*$)
     |(?P<item>^[ \t]*[-*+\#][ ]+(?=[^\W\d])|^[ \t]*[0-9]{1,3}\.[ ]+(?=[^\W\d]))
     |(?P<row>^\|.*\|[ \t]*$)
-    |(?P<other>[\[{@%]/?[A-Za-z][A-Za-z0-9]{0,15}[\]}@%]|(?<!\S)(?P<sign>[@%+^|!~:])(?P=sign)(?=\w)|(?<=\w)(?P<end>[@%+^|!~:])(?P=end)(?!\w))
+    |(?P<other>[\[{@%]/?[A-Za-z][A-Za-z0-9]{0,15}[\]}@%]|(?<!\S)(?P<sign>[@%+^|!~:])(?P=sign)(?=\w)|(?<=\w)(?P<end>[@%+^|!~:])(?P=end)(?!\w)))
     """,
     re.X | re.M | re.S,
 )
@@ -246,42 +246,50 @@ def page_tokens(frame: DataFrame, keys: list[str], host: str, fields: list[str])
 
     Rows with ``n``: (keys, _host, field, _page, role, parent, firm, alone, first, n), the
     structure tokens of each page. Rows with ``pages``: (_host, role, pages, total, vector),
-    the occurrence vectors of all tokens of the partition, words included (``w:``).
+    the occurrence vectors of all tokens of the partition, words (roles without ``:``) included.
     """
     kinds = dict(frame.dtypes)
     columns = [*keys, "_host", "field", "_page", "role", "parent", "firm", "alone", "first", "n", "pages", "total", "vector"]
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "_host string, field string, _page long, role string, parent string, firm boolean, alone boolean, first int, n int, pages long, total long, vector long"])
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors: dict[tuple[str | None, str], list[int]] = {}
+        # Per host: role -> [pages, total, vector]; a cell is the page's number times 2n + 1.
+        hosts: dict[str | None, dict[str, list[int]]] = {}
         none = [None] * len(keys)
+        types = {"_page": "Int64", "first": "Int32", "n": "Int32", "pages": "Int64", "total": "Int64", "vector": "Int64"}
 
         def flush() -> pd.DataFrame:
-            rows = [(*none, h, None, None, r, None, None, None, None, None, p, t, (v + 2**63) % 2**64 - 2**63) for (h, r), (p, t, v) in vectors.items()]
-            vectors.clear()
-            return pd.DataFrame(rows, columns=columns).astype({"_page": "Int64", "first": "Int32", "n": "Int32", "pages": "Int64", "total": "Int64", "vector": "Int64"})
+            rows = [(*none, h, None, None, r, None, None, None, None, None, p, t, (v + 2**63) % 2**64 - 2**63) for h, vectors in hosts.items() for r, (p, t, v) in vectors.items()]
+            hosts.clear()
+            return pd.DataFrame(rows, columns=columns).astype(types)
 
         for batch in batches:
             rows = []
             for *ids, host_, field, text, page in zip(*[batch[k] for k in keys], batch["_host"], batch["field"], batch["text"], batch["_page"], strict=True):
                 found = tokens(text)
-                counts: Counter[str] = Counter()
                 firsts: dict[str, Token] = {}
+                words = WORD.findall(blanked(text, found))
+                counts: Counter[str] = Counter(words)
+                vectors = hosts.setdefault(host_, {})
                 for t in found:
                     counts[t.role] += 1
                     firsts.setdefault(t.role, t)
                 rows += [(*ids, host_, field, page, r, t.parent, t.firm, t.alone, t.start, counts[r], None, None, None) for r, t in firsts.items()]
-                counts.update([f"w:{w}" for w in WORD.findall(blanked(text, found))])
+                once = 3 * page
                 for role, n in counts.items():
-                    at = vectors.setdefault((host_, role), [0, 0, 0])
-                    at[0] += 1
-                    at[1] += n
-                    at[2] += page * (2 * n + 1) ^ (page >> 7)
+                    at = vectors.get(role)
+                    cell = once if n == 1 else page * (2 * n + 1)
+                    if at is None:
+                        vectors[role] = [1, n, cell]
+                    else:
+                        at[0] += 1
+                        at[1] += n
+                        at[2] += cell
             if rows:
-                yield pd.DataFrame(rows, columns=columns).astype({"_page": "Int64", "first": "Int32", "n": "Int32", "pages": "Int64", "total": "Int64", "vector": "Int64"})
-            if len(vectors) > 300_000:
+                yield pd.DataFrame(rows, columns=columns).astype(types)
+            if sum(map(len, hosts.values())) > 300_000:
                 yield flush()
-        if vectors:
+        if hosts:
             yield flush()
 
     return long_fields(frame, keys, host, fields).mapInPandas(read, schema)
@@ -308,9 +316,9 @@ def classes(counted: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     # Equal vectors have equal parts in every partition, so their wrapped parts add up alike.
     whole = F.sum(F.col("vector").cast("decimal(38,0)"))
     vectors = counted.where(F.col("pages").isNotNull()).groupBy("_host", "role").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), whole.alias("vector"))
-    word = F.startswith("role", F.lit("w:"))
+    word = ~F.contains("role", F.lit(":"))  # roles of structure name their kind first
     grouped = vectors.where(F.col("pages") >= least_pages).groupBy("_host", "pages", "total", "vector")
-    equal = grouped.agg(F.collect_list(F.when(~word, F.col("role"))).alias("members"), F.array_sort(F.collect_list(F.when(word, F.substr("role", F.lit(3))))).alias("words")).where(F.size("members") >= 2)
+    equal = grouped.agg(F.collect_list(F.when(~word, F.col("role"))).alias("members"), F.array_sort(F.collect_list(F.when(word, F.col("role")))).alias("words")).where(F.size("members") >= 2)
     equal = equal.select("_host", F.xxhash64("pages", "total", "vector", F.array_sort("members")).alias("class_id"), "members", "words")
     # Ordered: the first places of the members are in the same order on every page.
     equal = cut(equal, counted.sparkSession)
@@ -408,7 +416,7 @@ def to_text(text: str | None, accept: Callable[[Token], bool] = lambda t: True)
             elif token.name in CODE | MATH and not token.alone:
                 if ends and body is not None:
                     raw.append(f"```\n{html.unescape(re.sub(r'</?code[^>]*>', '', body)).strip(chr(10))}\n```" if token.name in CODE else f"${body.strip()}$")
-                    mark = f"\n\n{len(raw) - 1}\n\n" if token.name in CODE else f"{len(raw) - 1}"
+                    mark = f"\n\n\ue000{len(raw) - 1}\ue001\n\n" if token.name in CODE else f"\ue000{len(raw) - 1}\ue001"
                     body = None
                 elif not ends:
                     body = slot[slot.find("\n") + 1 :] if token.name in ("```", "~~~") and "\n" in slot else slot
@@ -428,7 +436,7 @@ def to_text(text: str | None, accept: Callable[[Token], bool] = lambda t: True)
         t = re.sub(r"</?[A-Za-z][A-Za-z0-9]*(?:\s+[^<>]*=[^<>]*)?\s*/?>", "", again)  # escaped tags
     t = re.sub(r"[ \t]+\n", "\n", re.sub(r"(?<=\S)[ \t]{2,}", " ", t))
     t = re.sub(r"\n{3,}", "\n\n", t).strip()
-    return re.sub("([0-9]+)", lambda m: raw[int(m[1])], t) if raw else t
+    return re.sub("\ue000([0-9]+)\ue001", lambda m: raw[int(m[1])] if int(m[1]) < len(raw) else m[0], t) if raw else t
 
 
 def _mark(token: Token, ends: bool, text: str, before: str) -> str:

@@ -85,8 +85,8 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("field", "entry_id", "sub_key").agg(F.max("register_id").alias("register_id"))
 
 
-def _scan_parts(spark: SparkSession, root: str, every: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Texts, word counts and misreadings of the corpus."""
+def _scan_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts, word counts and misreadings of the corpus, the same for finding and repairing."""
     entries = spread(table(spark, root, "entries", "id", "headword", "body_text"), spark)
     targets = table(spark, root, "cross_references", "raw_target").distinct()
     token = F.explode(F.array_distinct(F.regexp_extract_all("raw_target", F.lit(r"([\p{L}\d]+)"), F.lit(1)))).alias("word")
@@ -98,7 +98,7 @@ def _scan_parts(spark: SparkSession, root: str, every: bool = False) -> tuple[Da
     # Headwords and the canonical list are right whatever their frequency.
     known = entries.select("headword").unionByName(table(spark, root, "lemma_register", F.col("lemma").alias("headword")))
     names = known.select(F.explode(F.regexp_extract_all("headword", F.lit(r"([\p{L}]+)"), F.lit(1))).alias("word"))
-    return entries, counts, cut(scan_noise.misreadings(counts, names, every=every), spark)
+    return entries, counts, cut(scan_noise.misreadings(counts, names), spark)
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
@@ -110,7 +110,7 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p6_paragraphs(spark: SparkSession, root: str) -> DataFrame:
-    entries, counts, noise = _scan_parts(spark, root, every=True)
+    entries, counts, noise = _scan_parts(spark, root)
     maps = scan_noise.choices(scan_noise.repairs(entries, "id", "body_text", counts, noise, spark))
 
     @F.pandas_udf("string")

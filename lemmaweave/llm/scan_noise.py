@@ -1,20 +1,25 @@
 """Noise of scanned pages: broken words, running heads, page numbers, misread letters.
 
-A frequency lexicon is counted over the whole corpus. Misread letters are found with a
-symmetric-delete index: lexicon words and unknown words are reduced to keys in which
-confusable letters coincide (``rn``/``m``, ``cl``/``d``, ``e``/``c``, ...), with one
-further deletion where a digit stands for a letter that no longer shows; words and
-lexicon meet on equal keys only. The candidates are ranked by a weighted edit distance in which a
-confusion pair costs little and a plain edit a lot, then by frequency, and in ``repairs``
-by the count of the bigram with the word before. A word counts as misread only if its
-best candidate differs by confusions alone, so typing errors (letters swapped, dropped or
-doubled) stay out.
+A frequency lexicon is counted over the whole corpus, in distinct texts. A symmetric-delete
+index over all of it generates the candidates of misread words: words and lexicon are
+folded so that the commonest confusable letters coincide (``rn``/``m``, ``e``/``c``, ...),
+and each side gives the folded word and all its forms with one unit, a letter or a
+confusable pair of letters, deleted; they meet on equal keys. A weighted edit distance, in
+which a confusion pair costs little and a plain edit a lot, ranks the candidates; a word
+counts as misread only if it differs by confusions alone, so typing errors (letters
+swapped, dropped or doubled) stay out. Every accepted candidate is kept, and where a text
+is repaired the bigram with the word before, counted over all texts, picks among them,
+then cost, then frequency.
+
+Letters and digits in one word (CO2, ISO9001, 2nd) are misread only if the index knows a
+repair. Exit: a digit between two small letters is no word in print and needs no repair
+to be noise.
 
 The words of the head of the frequency list (each at least ``HEAD_SHARE`` of all words,
 so at most 1 / HEAD_SHARE words) are broadcast; only words outside it are exchanged.
 
 Defined results: null and empty texts hold no noise; repeated rows count once; texts are
-read whole; an empty corpus gives no rows.
+read whole, in time linear in their length; an empty corpus gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lemmaweave.operators.skew import heavy_values, join_by_value
+from lemmaweave.sources import cut
 
 HEAD_SHARE = 5e-6
 
@@ -47,7 +53,8 @@ _TITLE = rf"(?!Seit\b)(?:(?=[^\W\d_a-zäöüß])|(?=\w+/[^\W\d_a-zäöüß])){_L
 HEAD_LINE = rf"[ \t]*(?:\d{{1,4}}[ \t]+(?:\|[ \t]*)?{_TITLE}|{_TITLE}[ \t]+(?:\|[ \t]*)?\d{{1,4}}|{_TITLE} [–—] {_TITLE})[ \t]*"
 BREAK = re.compile(rf"{_LETTER}{HYPHEN}[ \t]*\n(?!\s*(?:{SUSPENDED})\b)|[a-zäöüß](?:[-‐¬]|Â¬|┬¼)[ \t]+(?!(?:{SUSPENDED})\b)[a-zäöüß]{{2,}}")
 PAGE_LINE = re.compile(rf"(?:(?<=\n)|^)(?:{NUMBER_LINE}|{HEAD_LINE})(?=\n|$)")
-MIXED = re.compile(r"(?<![\w/=&#\\])(?=[^\W_]*\d)(?=[^\W_]*[^\W\d_]{2})[^\W\d_]*\d{1,2}[^\W_]*(?!\w)")
+#: A digit between small letters, in a word that is no part of a path or formula.
+MIXED = re.compile(r"(?<![\w/=&#\\])[^\W\d_]*[a-zäöüß]\d{1,2}[a-zäöüß][^\W_]*(?!\w)")
 MARKUP = re.compile(r"<[/a-zA-Z!][^<>]*>|\\[A-Za-z]+\*?|&\#?\w+;|\]\([^()\s]*\)|\$[^$\n]*\$|```.*?```", re.S)
 #: Signs of garbled text; the words around them are another problem's.
 GARBLED = re.compile(r"[^\t\n\r -~äöüÄÖÜß–—†↑›‹»«„“”’‚•·§…→∈∧∨∀∃⊢λ□≤≥¬×°À-žſ‐\xad]")
@@ -55,7 +62,8 @@ CHUNK = re.compile(rf"\S*{GARBLED.pattern}\S*")
 WORD = re.compile(r"[^\W_]+")
 #: Pieces of words at a hyphen or break; they attest no word.
 PIECE = re.compile(r"([^\W_]+)[-‐¬\xad]|[-‐¬\xad]\s*([^\W_]+)")
-PLAIN = re.compile(r"[A-Za-zÄÖÜäöüß]+")
+#: Words that are judged: 4 to 40 letters and digits, two letters at least.
+PLAIN = re.compile(r"(?=\d*[A-Za-zÄÖÜäöüß]\d*[A-Za-zÄÖÜäöüß])[0-9A-Za-zÄÖÜäöüß]{4,40}")
 
 
 def layout_noise(text: str) -> bool:
@@ -130,22 +138,61 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.distinct().mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+#: Letter pairs that are deleted as one unit, since one letter may be misread as them.
+PAIRS = ("ri", "nn", "ch", "cl", "li", "ii", "di")
+
+
+def _deletions(folded: str) -> set[str]:
+    """A folded word with one unit deleted, marked so that it meets only such forms."""
+    out = {"~" + folded[:i] + folded[i + 1 :] for i in range(len(folded))}
+    out.update("~" + folded[:i] + folded[i + 2 :] for i in range(len(folded) - 1) if folded.startswith(PAIRS, i))
+    return out
+
+
 def _keys(batch: pd.Series) -> pd.Series:
-    """Keys of unknown words: the skeleton, without an ending, and without a digit."""
+    """Keys of words in question: folded, without an ending, and all deletions."""
 
     def keys(word: str) -> list[str]:
         key = skeleton(word)
-        out = {key}
+        out = {key, *_deletions(key)}
         out.update(key[: -len(s)] for s in SUFFIXES if key.endswith(s) and len(key) - len(s) > 3)
-        out.update("~" + skeleton(word[:i] + word[i + 1 :]) for i, c in enumerate(word) if c.isdigit())
         return sorted(out)
 
     return batch.map(keys)
 
 
 def _lexicon_keys(batch: pd.Series) -> pd.Series:
-    """Keys of lexicon words: the skeleton, and those of all single deletions."""
-    return pd.Series([sorted({skeleton(w), *("~" + skeleton(w[:i] + w[i + 1 :]) for i in range(len(w)))}) for w in batch], dtype=object)
+    """Keys of lexicon words: folded, and all deletions."""
+    return batch.map(lambda w: sorted({key := skeleton(w), *_deletions(key)}))
+
+
+_PAIRED = set(CONFUSIONS)
+
+
+def _apart(a: str, b: str) -> tuple[str, str]:
+    """What is left of two words without their common beginning and end."""
+    n, least = 0, min(len(a), len(b))
+    while n < least and a[n] == b[n]:
+        n += 1
+    m = 0
+    while m < least - n and a[-1 - m] == b[-1 - m]:
+        m += 1
+    return a[n : len(a) - m], b[n : len(b) - m]
+
+
+def _cost(form: str, word: str) -> float:
+    """``_costs``, or 9 at once for what is no confusion at sight (the most candidates)."""
+    a, b = _apart(form, word)
+    if (a, b) in _PAIRED:
+        return 0.2
+    if len(b) == 1 and b.isdigit() and len(a) == 1:
+        return 0.5
+    x, y = skeleton(form), skeleton(word)
+    if x != y:
+        u, v = _apart(x, y)
+        if (u, v) not in _PAIRED and not (v.isdigit() and len(v) == 1 and len(u) <= 2) and not (u and v and len(u) + len(v) <= 5 and len(a) == len(b) and any(c.isdigit() for c in b)):
+            return 9.0
+    return _costs(form, word)
 
 
 def _judge(words_: pd.Series, candidates: pd.Series) -> pd.DataFrame:
@@ -157,17 +204,14 @@ def _judge(words_: pd.Series, candidates: pd.Series) -> pd.DataFrame:
         if word in forms:
             out.append((0.0, True, word))
             continue
-        # Only forms on the same key can differ by confusions alone; a digit may hide any letter.
-        key, digit = skeleton(word), any(c.isdigit() for c in word)
-        near = [f for f in forms if skeleton(f) == key or digit and abs(len(f) - len(word)) <= 2]
-        cost, form = min(((_costs(f, word), f) for f in near), default=(9.0, base))
+        cost, form = min((_cost(f, word), f) for f in forms if abs(len(f) - len(word)) <= 4) if abs(len(base) - len(word)) <= 4 else (9.0, base)
         out.append((cost, False, form))
     return pd.DataFrame(out, columns=["cost", "known", "form"])
 
 
-def misreadings(counts: DataFrame, names: DataFrame, ratio: int = 3, every: bool = False) -> DataFrame:
+def misreadings(counts: DataFrame, names: DataFrame, ratio: int = 3) -> DataFrame:
     """(word, repair, cost, n_repair): words that are misread forms of lexicon words, with
-    the best repair, or with ``every`` accepted one.
+    every accepted repair.
 
     ``counts``: in how many distinct texts a word stands, so that repeated rows have no
     weight. ``names``: (word) known to be right whatever their frequency. Any other word
@@ -176,40 +220,42 @@ def misreadings(counts: DataFrame, names: DataFrame, ratio: int = 3, every: bool
     """
     keys, lexicon_keys = F.pandas_udf("array<string>")(_keys), F.pandas_udf("array<string>")(_lexicon_keys)  # type: ignore[call-overload]
     judge = F.pandas_udf("cost double, known boolean, form string")(_judge).asNondeterministic()  # type: ignore[call-overload]
+    cores = counts.sparkSession.sparkContext.defaultParallelism
     known = names.select("word", F.lit(True).alias("named")).distinct()
     all_ = counts.join(known, "word", "full").select("word", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("named", F.lit(False)).alias("named"))
-    all_ = all_.where(F.col("word").rlike("^[0-9A-Za-zÄÖÜäöüß]{4,40}$") & F.col("word").rlike("[A-Za-zÄÖÜäöüß]{2}"))
+    all_ = all_.where(F.col("word").rlike("^[0-9A-Za-zÄÖÜäöüß]{4,40}$") & F.col("word").rlike("[A-Za-zÄÖÜäöüß][0-9]*[A-Za-zÄÖÜäöüß]"))
+    # Few bytes but much work in Python: as many tasks as cores, whatever the size.
+    all_ = cut(all_.repartition(cores), counts.sparkSession)
     digits = F.col("word").rlike("[0-9]")
     # What is misread stands in one text at least, so rarer words pass no comparison.
     lexicon = all_.where(~digits & (F.col("named") | (F.col("n") >= ratio)))
-    indexed = lexicon.select(F.explode(lexicon_keys(F.col("word"))).alias("key"), F.col("word").alias("repair"), F.col("n").alias("n_repair"), F.col("named").alias("named_repair"))
-    unknown = all_.where(~F.col("named")).select(F.explode(keys(F.col("word"))).alias("key"), "word", "n")
+    coded = lambda f, w: F.explode(F.transform(f(F.col(w)), lambda k: F.xxhash64(k))).alias("key")
+    indexed = lexicon.select(coded(lexicon_keys, "word"), F.col("word").alias("repair"), F.col("n").alias("n_repair"), F.col("named").alias("named_repair"))
+    unknown = all_.where(~F.col("named")).select(coded(keys, "word"), "word", "n")
     pairs = (
         unknown.join(indexed, "key")
-        .where((F.col("word") != F.col("repair")) & (F.col("named_repair") | (F.col("n_repair") >= F.col("n") * ratio)))
+        .where((F.col("word") != F.col("repair")) & (F.col("named_repair") | (F.col("n_repair") >= F.col("n") * ratio)) & (F.abs(F.length("word") - F.length("repair")) <= 4))
         .select("word", "repair", "n_repair")
         .distinct()
+        .repartition(cores, "word", "repair")
         .withColumn("j", judge(F.col("word"), F.col("repair")))
     )
     allowed = F.greatest(0.2 * F.floor(F.length("word") / 3), F.when(F.col("word").rlike("[0-9]"), 0.5).otherwise(0.0))
     confused = F.col("j.cost") <= allowed + 0.01
     close = F.when(F.col("j.known"), 0.0).when((F.col("j.cost") < 1.0) & confused, F.col("j.cost"))
     judged = pairs.withColumn("c", close).where(F.col("c").isNotNull()).select("word", F.col("repair").alias("base"), F.col("j.form").alias("repair"), "c", "n_repair")
+    judged = cut(judged, counts.sparkSession)
     # A form of a word that is misread itself is not known by it.
     misread = judged.groupBy("word").agg(F.min("c").alias("least")).where(F.col("least") > 0).select(F.col("word").alias("base"))
     forms = judged.where(F.col("c") == 0).join(misread, "base", "left_anti").select("word").distinct()
-    accepted = judged.where(F.col("c") > 0).join(forms, "word", "left_anti").groupBy("word", "repair").agg(F.min("c").alias("cost"), F.max("n_repair").alias("n_repair"))
-    if every:
-        return accepted
-    best = accepted.groupBy("word").agg(F.min(F.struct("cost", (-F.col("n_repair")).alias("rank"), "repair")).alias("b"))
-    return best.select("word", "b.repair", "b.cost", (-F.col("b.rank")).alias("n_repair"))
+    return judged.where(F.col("c") > 0).join(forms, "word", "left_anti").groupBy("word", "repair").agg(F.min("c").alias("cost"), F.max("n_repair").alias("n_repair"))
 
 
 def usual_words(counts: DataFrame, noise: DataFrame, spark: SparkSession):  # noqa: ANN201
     """The head of the word list without misread words, broadcast: at most 1 / HEAD_SHARE
     words. A word of letters and digits is never usual, whatever its frequency."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    head = counts.where(F.col("n") >= max(2.0, total * HEAD_SHARE)).where(~F.col("word").rlike(r"[0-9]") | F.col("word").rlike("^[0-9]+$")).join(noise, "word", "left_anti").select("word")
+    head = counts.where(F.col("n") >= max(2.0, total * HEAD_SHARE)).where(~F.col("word").rlike(r"[0-9]") | F.col("word").rlike("^[0-9]+$")).join(noise.select("word"), "word", "left_anti").select("word")
     return spark.sparkContext.broadcast(frozenset(r.word for r in head.collect()))
 
 
@@ -230,17 +276,21 @@ def text_cases(frame: DataFrame, key: str, text: str, counts: DataFrame, noise:
                     ids.append(id_), rare.append(None)
                     continue
                 for w in other:
-                    if PLAIN.fullmatch(w) and len(w) >= 4:
+                    if PLAIN.fullmatch(w):
                         ids.append(id_), rare.append(w)
             yield pd.DataFrame({"id": ids, "word": rare}, dtype=object)
 
     rows = frame.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).where(F.length("text") > 0)
-    seen = rows.mapInPandas(read, "id string, word string")
-    return seen.where(F.col("word").isNull()).select("id").unionByName(seen.where(F.col("word").isNotNull()).join(noise.select("word"), "word", "left_semi").select("id")).distinct()
+    seen = cut(rows.mapInPandas(read, "id string, word string"), spark)  # the texts are read once
+    odd = seen.where(F.col("word").isNotNull())
+    counted = odd.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
+    # Copies of one text may make a misread word hot.
+    misread = join_by_value(odd, noise.select("word").distinct(), "word", heavy_values(counted, "word", "_n")).select("id")
+    return seen.where(F.col("word").isNull()).select("id").unionByName(misread).distinct()
 
 
 def value_noise(value: Column, context: Column) -> Column:
-    """Short values: cut at a line end, or letters and digits mixed in a word.
+    """Short values: cut at a line end, or with a digit between small letters of a word.
 
     ``context`` is the value as it stands in the sentence; a hyphen before "und" and the
     like is a suspended one, a bare hyphen without context decides nothing.
@@ -249,7 +299,7 @@ def value_noise(value: Column, context: Column) -> Column:
     suspended = context.rlike(r"(?s)^[^\s]*[-‐]\s+(?:" + SUSPENDED + r")\b")
     hyphen = value.rlike(r"\p{L}[-‐]$") & context.rlike(r"(?s)^[^\s]*[-‐]\s+\p{L}") & ~suspended
     inside = value.rlike(r"\p{Ll}[-‐¬\x{AD}]\s+(?!(?:" + SUSPENDED + r")\b)\p{Ll}{2,}")
-    mixed = value.rlike(r"(?U)(?<!\w)(?=\w*\p{L}\w*\p{L})(?=\w*\d)[\p{L}\d]+(?!\w)")
+    mixed = value.rlike(r"(?U)(?<!\w)\p{L}*\p{Ll}\d{1,2}\p{Ll}[\p{L}\d]*(?!\w)")
     return F.coalesce(cut_ | hyphen | inside | mixed, cut_ | inside | mixed)
 
 
@@ -257,7 +307,7 @@ def value_cases(rows: DataFrame, value: str, context: str, noise: DataFrame) ->
     """Rows whose short value holds noise; heavy values are judged once and broadcast."""
     counted = rows.where(F.length(value) > 0).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     token = F.explode(F.regexp_extract_all(F.col(value), F.lit(r"([\p{L}\d]+)"), F.lit(1)))
-    misread = counted.select(value, token.alias("word")).join(noise.select("word"), "word", "left_semi").select(value).distinct()
+    misread = counted.select(value, token.alias("word")).join(noise.select("word").distinct(), "word", "left_semi").select(value).distinct()
     direct = rows.where(value_noise(F.col(value), F.col(context)))
     return direct.unionByName(join_by_value(rows, misread, value, heavy_values(counted, value, "_n")))
 
@@ -265,28 +315,48 @@ def value_cases(rows: DataFrame, value: str, context: str, noise: DataFrame) ->
 # --- repair ---------------------------------------------------------------------------
 
 
+PAGE = re.compile(rf"(?:{NUMBER_LINE}|{HEAD_LINE})$")
+NUMBER = re.compile(rf"{NUMBER_LINE}$")
+BROKEN = re.compile(rf"({_LETTER}){HYPHEN}$")
+SUSPENDED_NEXT = re.compile(rf"(?:{SUSPENDED})\b")
+INSIDE = re.compile(rf"([a-zäöüß])[-‐¬][ \t]+(?!(?:{SUSPENDED})\b)(?=[a-zäöüß]{{2,}})")
+LIST = re.compile(r"[-*#|=+]|\d+\.")
+
+
 def continuous(text: str, repairs: dict[str, str] | None = None) -> str:
     """Readable paragraphs: page lines dropped, breaks healed, lines joined, words repaired.
 
     ``repairs``: by a word, or by the word before it, a blank and the word, which goes first.
     """
-    lines = [x for x in text.split("\n")]
-    page = re.compile(rf"^(?:{NUMBER_LINE}|{HEAD_LINE})$")
-    kept: list[str] = []
+    lines = text.split("\n")
+    # (line, what stood before it: nothing, a page change, an empty line)
+    kept: list[tuple[str, str]] = []
+    gap = ""
     for i, line in enumerate(lines):
-        if line.strip() and page.match(line) and len(lines) > 1:
+        bare = line.strip()
+        if bare and PAGE.match(line) and len(lines) > 1:
             # A title line right above a page number is a running head as well.
-            if kept and re.fullmatch(NUMBER_LINE, line) and kept[-1].strip() and len(kept[-1].split()) <= 3 and not re.search(r"[.!?:;,\-‐¬]\s*$|^[a-zäöüß]", kept[-1]) and i > 1:
-                kept.pop()
-            kept.append("")
+            if kept and not gap and NUMBER.match(line) and len(kept[-1][0].split()) <= 3 and not re.search(r"[.!?:;,\-‐¬]$|^[a-zäöüß]", kept[-1][0]) and i > 1:
+                gap = kept.pop()[1]
+            gap = "page"
+        elif not bare:
+            gap = gap or "empty"
+        else:
+            kept.append((line.rstrip() if kept else bare, gap))
+            gap = ""
+    out: list[str] = []
+    for line, before_ in kept:
+        lead = line.lstrip()
+        if not out:
+            out.append(line)
+        elif BROKEN.search(out[-1]) and lead[:1].islower() and not SUSPENDED_NEXT.match(lead):
+            out[-1] = BROKEN.sub(r"\1", out[-1])
+            out.append(lead)
+        elif before_ == "empty" or before_ == "page" and out[-1][-1:] in ".!?:":
+            out += ["\n\n", line]
         else:
-            kept.append(line)
-    joined = re.sub(r"(?:\s*\n)*\s*(?:\s*\n\s*)*(?:\s*\n)*\s*", "", "\n".join(kept))
-    # A page change inside a sentence or word is no paragraph end.
-    joined = re.sub(r"(?<=[.!?:])", "\n\n", joined).replace("", "\n")
-    joined = re.sub(rf"({_LETTER}){HYPHEN}[ \t]*\n\s*(?!(?:{SUSPENDED})\b)(?=[a-zäöüß])", r"\1", joined)
-    joined = re.sub(rf"([a-zäöüß])[-‐¬][ \t]+(?!(?:{SUSPENDED})\b)(?=[a-zäöüß]{{2,}})", r"\1", joined)
-    joined = re.sub(r"(?<!\n)[ \t]*\n[ \t]*(?!\n)(?![-*#|=+]|\d+\.)", " ", joined)
+            out += ["\n" if LIST.match(lead) else " ", line if LIST.match(lead) else lead]
+    joined = INSIDE.sub(r"\1", "".join(out))
     if repairs:
         before = ""
 

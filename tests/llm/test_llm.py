@@ -188,7 +188,43 @@ def test_repairs_by_context(spark):
     maps = {r.id: r.fixes for r in scan_noise.choices(scan_noise.repairs(frame, "id", "text", counts, noise, spark)).collect()}
     assert scan_noise.continuous(texts[9][1], maps["b"]).split() == "Das neue Gassi ruht. Die alte Gasse ruht.".split()
     two = spark.createDataFrame([("Wor7en", 1), ("Worten", 9), ("Worden", 8)], "word string, n long")
-    assert {r.repair for r in scan_noise.misreadings(two, spark.createDataFrame([], "word string"), every=True).collect()} == {"Worten", "Worden"}
+    assert {r.repair for r in scan_noise.misreadings(two, spark.createDataFrame([], "word string")).collect()} == {"Worten", "Worden"}
+
+
+def test_context_changes_the_repair(spark):
+    """The same misread word becomes another word behind another one, found by the index."""
+    rows = [(f"a{i}", f"Wir achten den Worten nach, Satz {i}.") for i in range(9)] + [(f"b{i}", f"Es ist besser geworden und Worden folgt, Satz {i}.") for i in range(9)]
+    rows += [("x", "Sie liest den Wor7en nach. Sie ist und Wor7en hier.")]
+    frame = spark.createDataFrame(rows, "id string, text string")
+    counts = scan_noise.count_words(frame.select("text"))
+    noise = scan_noise.misreadings(counts, spark.createDataFrame([], "word string"))
+    maps = {r.id: r.fixes for r in scan_noise.choices(scan_noise.repairs(frame, "id", "text", counts, noise, spark)).collect()}
+    assert scan_noise.continuous(rows[-1][1], maps["x"]) == "Sie liest den Worten nach. Sie ist und Worden hier."
+
+
+def test_deletions_meet_what_folding_does_not(spark):
+    assert scan_noise.skeleton("Spannung") != scan_noise.skeleton("Spanriung")
+    counts = spark.createDataFrame([("Spannung", 40), ("Spanriung", 1), ("Spanung", 1), ("Spannnung", 1), ("Nation", 40), ("Natiori", 1), ("Notion", 1), ("Satz", 40), ("5atz", 1), ("Satz2", 1)], "word string, n long")
+    got = {r.word: r.repair for r in scan_noise.misreadings(counts, spark.createDataFrame([], "word string")).collect()}
+    assert got == {"Spanriung": "Spannung", "Natiori": "Nation", "5atz": "Satz"}
+
+
+def test_letters_and_digits_that_are_words(spark):
+    frame = spark.createDataFrame([(str(i), f"Das CO2 und {w} stehen hier.") for i, w in enumerate(["ISO9001", "WW2", "2nd", "3fach", "H2SO4", "B2B"])] + [("n", "Die Or9nung steht.")], "id string, text string")
+    counts = scan_noise.count_words(frame.select("text"))
+    noise = scan_noise.misreadings(counts, spark.createDataFrame([], "word string"))
+    assert [r.id for r in scan_noise.text_cases(frame, "id", "text", counts, noise, spark).collect()] == ["n"]
+    values = spark.createDataFrame([("a", i, v, None) for i, v in enumerate(["CO2", "ISO9001", "2nd", "3fach", "Or9nung"])], "e string, o int, v string, c string")
+    assert [r.o for r in scan_noise.value_cases(values, "v", "c", noise).collect()] == [4]
+
+
+@pytest.mark.parametrize("text", ["Eins" + "\n" * 10_000 + "zwei.", "Eins" + " \n \t" * 10_000 + "zwei.", "Eins" + " " * 20_000 + "zwei.", "Ver-" + "\n" * 10_000 + "deckt.", "- 1 -\n" * 5_000 + "Ende."])
+def test_paragraphs_of_blank_pages(text):
+    import time
+
+    began = time.time()
+    assert scan_noise.continuous(text).replace("\n\n", " ").split() in (["Eins", "zwei."], ["Verdeckt."], ["Ende."])
+    assert time.time() - began < 2
 
 
 def test_paragraphs():
