@@ -15,11 +15,16 @@ words, hence three neighbouring terms, hence a seed; the alignment from this run
 every match that holds it, however short the stretches between its edits are.
 
 Normalised words have no case, punctuation, line-end hyphens, footnote marks or
-difference of umlaut spelling. Lines that several passages share are instructions and no
-part of a passage.
+difference of umlaut spelling. Lines that several passages share, counted over all of
+them, are instructions and no part of a passage, unless too few words would be left; then
+the shared lines that are long enough for a match and shared by the fewest stay. Items with the same text are matched
+once.
 
-The passages are a stated query set: they are taken in blocks of ``BLOCK`` passages and
-the words of a block are what is broadcast, so its size does not grow with either table.
+The passages are a stated query set: they are taken in blocks of at most about ``BLOCK``
+passages and ``CHARS`` characters, whose words are what is broadcast, so its size does not
+grow with either table. Which block a passage is in has no influence on the result. Terms
+are numbered by their words; should two numbers coincide in a huge vocabulary, the
+alignment of the words themselves refuses the match.
 
 Defined results: null or empty texts and passages match nothing; passages shorter than
 ``least`` words match nothing; repeated documents are each reported; repeated rows count
@@ -29,17 +34,18 @@ once.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lemmaweave.operators.skew import heavy_values, join_by_value, sized
 from lemmaweave.sources import cut
 
-WIDTH, SEEDS, LEAST, RATE, BLOCK = 4, 3, 20, 0.1, 2000
+WIDTH, SEEDS, LEAST, RATE, BLOCK, CHARS = 4, 3, 20, 0.1, 2000, 8_000_000
 WORD = re.compile(r"[^\W_]+")
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐¬\xad][ \t]*\n\s*(?=[a-zäöüß])")
 _MARK = re.compile(r"\[\d{1,3}\]|\(\d{1,2}\)(?=[\s.,;])|[¹²³⁰-⁹]+|\^\d+|<sup>.*?</sup>")
@@ -64,15 +70,25 @@ def raw_words(text: str) -> list[str]:
     return WORD.findall(text)
 
 
-def passages(rows: list[tuple[int, str]]) -> dict[int, list[str]]:
-    """item -> normalised words of its passage, without the lines that items share."""
-    shared = Counter(line.strip() for _, text in rows for line in {x.strip() for x in text.split("\n")} if line.strip())
-    out = {}
-    for item, text in rows:
-        lines = [x for x in text.split("\n") if x.strip()]
-        own = [x for x in lines if shared[x.strip()] == 1] if len(lines) > 1 else lines
-        out[item] = [normal(w) for w in raw_words("\n".join(own))]
-    return out
+def passages(items: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """((rep, text) of the passages without instructions, (rep, item_id) of their items)."""
+    rows = items.where(F.length("text") > 0).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    texts = rows.groupBy("text").agg(F.min("item_id").alias("rep"))
+    numbered = cut(texts, items.sparkSession)
+    lines = numbered.select("rep", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("line", F.trim("line")).where("line <> ''")
+    lines = cut(lines, items.sparkSession)
+    counts = lines.select("rep", "line").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    shared = counts.where("n > 1")
+    # An instruction may stand in a third of all items.
+    marked = join_by_value(lines, shared, "line", heavy_values(counts, "line", "n"), "left")
+    whole = marked.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("pos", "line", F.col("n").isNotNull().alias("shared"), "n"))).alias("s"))
+    n_words = lambda line: F.size(F.split(line, r"\s+"))
+    own = F.filter("s", lambda x: ~x["shared"])
+    held = F.aggregate(own, F.lit(0), lambda n, x: n + n_words(x["line"]))
+    rarest = F.array_min(F.transform(F.filter("s", lambda x: x["shared"] & (n_words(x["line"]) >= least)), lambda x: x["n"]))
+    kept = F.when((F.size("s") == 1) | (F.size(own) == F.size("s")), F.col("s")).when(held >= least, own).otherwise(F.filter("s", lambda x: ~x["shared"] | (n_words(x["line"]) >= least) & (x["n"] == rarest)))
+    own_text = whole.select("rep", F.array_join(F.transform(kept, lambda x: x["line"]), "\n").alias("text"))
+    return own_text, rows.join(numbered, "text").select("rep", "item_id")
 
 
 class Terms:
@@ -232,9 +248,8 @@ def _match(documents: DataFrame, terms: Terms, spark: SparkSession, key: str, te
     if not seeds:
         seeds = {(item, at, term) for item, at, term in terms.postings}
     seed_terms = spark.createDataFrame(pd.DataFrame(sorted(seeds), columns=["item_id", "at", "term"]).astype({"item_id": "int64", "at": "int32", "term": "int32"}))
-    # A block's terms are at most BLOCK passages long, which is the bound of both broadcasts.
-    met = index.join(F.broadcast(seed_terms), "term").select(key, "item_id").distinct()
-    lists = index.join(F.broadcast(item_terms), "term").groupBy(key, "item_id").agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct(F.col("pos").alias("d"), F.col("at").alias("p"))).alias("hits"))
+    met = index.join(sized(seed_terms, 2_000_000), "term").select(key, "item_id").distinct()
+    lists = index.join(sized(item_terms, 2_000_000), "term").groupBy(key, "item_id").agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct(F.col("pos").alias("d"), F.col("at").alias("p"))).alias("hits"))
     # 20 words with two edits leave at least 20 - 3 (WIDTH - 1) - 2 terms.
     fewest = max(1, int(least - 3 * (WIDTH - 1) - 2 - least * RATE + 1))
     lists = lists.where(F.col("n") >= fewest).join(met, [key, "item_id"], "left_semi")
@@ -251,16 +266,17 @@ def _match(documents: DataFrame, terms: Terms, spark: SparkSession, key: str, te
     return judged.select(key, "item_id", "m.*").where(F.col("words").isNotNull())
 
 
-def leaks(documents: DataFrame, items: DataFrame, spark: SparkSession, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, spark: SparkSession, key: str = "doc_id", text: str = "text", least: int = LEAST, block: int = BLOCK) -> DataFrame:
     """(key, item_id, start, words, edits): documents that hold at least ``least`` words
     of an item's passage, where the match starts, how long it is and its edits."""
-    numbered = items.where(F.length("text") > 0).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    n = numbered.count()
+    own, members = passages(items, least)
+    own = cut(own, spark)
+    size = own.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    blocks = max(1, -(-size.n // block), -(-size.chars // CHARS))
     parts = []
-    for block in range(max(1, -(-n // BLOCK))):
-        rows = numbered.where(F.pmod(F.xxhash64("item_id"), F.lit(max(1, -(-n // BLOCK)))) == block).collect()
-        parts.append(_match(documents, Terms(passages([(r.item_id, r.text) for r in rows])), spark, key, text, least))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    for i in range(blocks):
+        rows = own.where(F.pmod(F.xxhash64("rep"), F.lit(blocks)) == i).collect()
+        words = {r.rep: [normal(w) for w in raw_words(r.text)] for r in rows}
+        parts.append(_match(documents, Terms(words), spark, key, text, least))
+    found = reduce(DataFrame.unionByName, parts).withColumnRenamed("item_id", "rep")
+    return found.join(sized(cut(members, spark)), "rep").select(key, "item_id", "start", "words", "edits")

@@ -356,6 +356,20 @@ def test_leaks_with_edits_near_ends_and_close_together(spark):
     assert got == {1: (2, 20, 1), 2: (2, 20, 2), 3: (2, 30, 3), 4: (2, 20, 1), 5: (2, 30, 3), 8: (2, 21, 2)}
 
 
+def test_leaks_do_not_depend_on_blocks(spark):
+    random.seed(9)
+    words = [f"wort{i}" for i in range(400)]
+    shared = "Erklären Sie den folgenden Gedanken so genau wie möglich und nennen Sie dabei auch jeden Einwand gegen ihn in eigenen Worten."
+    passages = [(i, " ".join(random.choice(words) for _ in range(40))) for i in range(30)]
+    items = [(i, f"{shared}\n{t}") for i, t in passages] + [(100, f"{shared}\n{passages[0][1]}"), (101, f"Andere Aufgabe.\n{passages[1][1]}")]
+    texts = [(d, f"vor {passages[d][1]} nach") for d in range(30)] + [(200, shared), (201, f"{shared} {passages[3][1]}")]
+    frame, tests = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    read = lambda **k: {(r.doc_id, r.item_id, r.words) for r in leakage.leaks(frame, tests, spark, **k).collect()}
+    whole = read()
+    assert whole == {(d, d, 40) for d in range(30)} | {(0, 100, 40), (1, 101, 40), (201, 3, 40)}
+    assert read(block=11) == whole
+
+
 # --- p10 ------------------------------------------------------------------------------
 
 
