@@ -8,6 +8,9 @@ JavaScript‹, der ...") holds none. Site navigation and a bare title are neithe
 nor content. A document is a case if residue covers it, or if at most one real sentence
 stands beside the residue.
 
+Exit: placeholders, tracebacks, gibberish and keyboard filler have no fixed phrases; there
+the patterns decide alone (README gives the figures).
+
 Defined results: null, empty and blank texts are no cases (they hold no residue); texts
 are scanned whole; repeated rows count once; an empty table gives no rows.
 """
@@ -17,30 +20,56 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-# Phrases of pages without content, by kind, and site navigation.
-SCRIPTS = [
-    "you need to enable javascript to run this app", "javascript is disabled", "please enable javascript", "this site requires javascript", "enable javascript",
-    "allow scripts for this site", "reload the page", "your browser does not support javascript", "this page requires scripts", "javascript must be enabled", "to view the entry",
-    "diese seite benötigt javascript", "ihr browser unterstützt keine skripte", "sie sind abgeschaltet", "bitte aktivieren sie javascript", "in ihrem browser, um diesen artikel anzuzeigen",
-    "javascript ist deaktiviert", "ihr browser ist veraltet", "läßt sich ohne skripte nicht laden", "lässt sich ohne skripte nicht laden", "ohne skripte kann die prüfung nicht fortgesetzt werden", "schalten sie skripte und cookies ein",
-    "inhalt wird geladen", "sollte der text zu", "nicht erscheinen", "laden …", "wird geladen", "der inhalt", "oder sie sind", "loading …", "loading...", "chargement",
-    "veuillez activer javascript", "pour afficher cette notice", "javascript est désactivé", "votre navigateur ne prend pas en charge", "activez javascript",
-]
-ERRORS = [
-    "seite nicht gefunden", "die angeforderte seite", "existiert nicht oder wurde verschoben", "zurück zur startseite", "interner fehler", "der vorgang wurde abgebrochen", "wenden sie sich an die verwaltung dieser seite",
-    "zugriff verweigert", "sie haben keine berechtigung", "diesen eintrag zu sehen", "bitte melden sie sich an", "die verbindung zur datenquelle ist derzeit nicht möglich", "versuchen sie es in einigen minuten erneut", "versuchen sie es später erneut",
-    "sitzung abgelaufen", "bitte erneut anmelden", "zu viele anfragen", "warten sie einige sekunden", "diese seite wird gerade gewartet", "wartungsarbeiten", "kein inhalt verfügbar", "prüfung läuft", "bestätigen sie, daß sie kein automat sind", "bestätigen sie, dass sie kein roboter sind",
-    "einen augenblick", "ihre anfrage wird geprüft", "page not found", "the server could not complete your request", "please try again later", "access denied", "internal server error", "service unavailable", "bad gateway", "too many requests", "session expired", "please log in", "checking your browser", "verify you are human", "under maintenance", "the requested page", "could not be found", "you do not have permission",
-    "la page demandée est introuvable", "retour à l'accueil", "accès refusé", "erreur interne", "page introuvable", "veuillez réessayer plus tard", "trop de requêtes", "session expirée", "traceback (most recent call last)", "fatal: query failed", "does not exist",
-]
-FILLER = [
-    "dies ist ein blindtext", "platz für ihren text", "mustertext ohne inhalt", "blindtext bis zur freigabe", "der text folgt in kürze", "hier steht später der artikel", "text einfügen", "absatz ergänzen", "beispieltext", "… folgt …", "inhalt folgt", "text folgt", "in vorbereitung",
-    "this is sample text", "sample text for", "lorem ipsum", "placeholder text", "insert text here", "content coming soon", "to be done", "texte d'exemple", "ceci est un texte", "texte à venir", "to be determined",
+# The parts that messages are made of, by language and kind. A message is a
+# part of each list of a row, in this order, with blanks between them.
+MESSAGES: list[tuple[list[str], ...]] = [
+    # scripts are required
+    (["you need to", "you must", "please"], ["enable", "activate", "turn on"], ["javascript", "scripts", "cookies"]),
+    (["to run this app", "to view this page", "to use this site", "to continue", "um fortzufahren", "pour continuer"],),
+    (["enable", "activate", "turn on", "switch on", "allow"], ["javascript", "scripts", "cookies", "javascript and cookies", "scripts for this site"]),
+    (["javascript", "scripts", "cookies"], ["is", "are", "must be"], ["disabled", "required", "not enabled", "enabled", "turned off", "switched off"]),
+    (["this"], ["page", "site", "app", "application", "website"], ["requires", "needs"], ["javascript", "scripts", "cookies"]),
+    (["your browser does not support"], ["javascript", "scripts"]),
+    (["aktivieren sie", "erlauben sie", "benötigt", "erfordert", "unterstützt kein", "unterstützt keine", "läßt sich nicht ohne", "läßt sich ohne", "lässt sich ohne"], ["javascript", "skripte", "skripten", "cookies", "skripte nicht laden"]),
+    (["schalten sie"], ["javascript", "skripte", "cookies", "skripte und cookies", "javascript und cookies"], ["ein", "an"]),
+    (["javascript", "skripte", "cookies", "skripte und cookies"], ["ist", "sind", "muß", "muss", "müssen"], ["deaktiviert", "abgeschaltet", "ausgeschaltet", "erforderlich", "aktiviert sein", "eingeschaltet sein"]),
+    (["ohne skripte kann die prüfung nicht fortgesetzt werden", "diese seite benötigt javascript", "ihr browser ist veraltet", "ihr browser unterstützt keine skripte", "in ihrem browser, um diesen artikel anzuzeigen"],),
+    (["activez", "activer", "autorisez", "nécessite", "ne prend pas en charge"], ["javascript", "les scripts", "le javascript"]),
+    (["javascript est désactivé", "javascript est requis", "javascript doit être activé", "pour afficher cette notice"],),
+    (["active", "habilite", "activar", "habilitar", "requiere", "attiva", "abilita", "attivare", "abilitare", "richiede", "ative o", "habilite o", "requer"], ["javascript"]),
+    (["javascript está"], ["desactivado", "deshabilitado", "desativado"]),
+    (["javascript è disabilitato", "schakel javascript in", "javascript is uitgeschakeld", "deze pagina vereist javascript"],),
+    (["content is", "page is", "inhalt wird", "seite wird", "artikel wird"], ["loading", "being loaded", "geladen"]),
+    (["loading …", "loading...", "laden …", "chargement", "cargando", "caricamento in corso", "reload the page", "laden sie die seite neu"],),
+    # errors, access, checks
+    (["page", "file", "document", "article", "resource", "url"], ["not found", "cannot be found", "could not be found", "was not found", "does not exist", "no longer exists", "is unavailable", "has been moved"]),
+    (["seite", "datei", "dokument", "artikel", "eintrag"], ["nicht gefunden", "wurde nicht gefunden", "konnte nicht gefunden werden", "existiert nicht", "existiert nicht oder wurde verschoben", "nicht verfügbar", "ist nicht erreichbar", "wird gerade gewartet"]),
+    (["page", "fichier", "document", "article"], ["introuvable", "non trouvée", "non trouvé", "demandée est introuvable", "demandé est introuvable", "n'existe pas"]),
+    (["página no encontrada", "la página solicitada no existe", "pagina non trovata", "la pagina richiesta non esiste", "pagina niet gevonden", "página não encontrada"],),
+    (["access", "zugriff", "accès", "acceso", "accesso", "toegang"], ["denied", "forbidden", "verweigert", "nicht erlaubt", "refusé", "interdit", "denegado", "negato", "geweigerd"]),
+    (["internal", "interner", "internal server", "erreur", "server"], ["error", "fehler", "interne", "serverfehler", "interne du serveur"]),
+    (["service", "dienst", "site", "server"], ["unavailable", "temporarily unavailable", "temporairement indisponible", "vorübergehend nicht verfügbar", "under maintenance", "en maintenance"]),
+    (["too many requests", "zu viele anfragen", "trop de requêtes", "demasiadas solicitudes", "troppe richieste", "bad gateway", "gateway timeout", "gateway time-out", "request timed out", "zeitüberschreitung"],),
+    (["session", "sitzung", "your session", "ihre sitzung"], ["expired", "has expired", "abgelaufen", "ist abgelaufen", "expirée"]),
+    (["please", "bitte"], ["log in", "sign in", "try again later", "melden sie sich an", "erneut anmelden", "wait", "warten sie"]),
+    (["veuillez"], ["vous connecter", "réessayer plus tard", "patienter"]),
+    (["you do not have permission", "sie haben keine berechtigung", "vous n'avez pas l'autorisation", "diesen eintrag zu sehen", "the server could not complete your request", "something went wrong", "an error occurred", "ein fehler ist aufgetreten", "une erreur est survenue"],),
+    (["der vorgang wurde abgebrochen", "wenden sie sich an die verwaltung dieser seite", "die verbindung zur datenquelle ist derzeit nicht möglich", "warten sie einige sekunden", "wartungsarbeiten", "under maintenance", "kein inhalt verfügbar", "no content available"],),
+    (["versuchen sie es"], ["in einigen minuten erneut", "später erneut", "noch einmal"]),
+    (["prüfung läuft", "ihre anfrage wird geprüft", "einen augenblick", "checking your browser", "verify you are human", "confirm you are not a robot", "vérification en cours", "zurück zur startseite", "back to home page", "retour à l'accueil"],),
+    (["bestätigen sie, daß sie", "bestätigen sie, dass sie"], ["kein automat sind", "kein roboter sind", "ein mensch sind"]),
+    (["traceback (most recent call last)", "fatal: query failed"],),
+    # filler
+    (["lorem ipsum", "dies ist ein blindtext", "platz für ihren text", "mustertext ohne inhalt", "blindtext bis zur freigabe", "hier steht später der artikel", "text einfügen", "absatz ergänzen", "beispieltext", "… folgt …", "in vorbereitung"],),
+    (["der text", "text", "inhalt", "der inhalt", "der artikel"], ["folgt", "folgt in kürze", "wird ergänzt"]),
+    (["this is sample text", "sample text for", "placeholder text", "insert text here", "to be done", "to be determined", "texte d'exemple", "ceci est un texte d'exemple", "texto de ejemplo", "testo di esempio"],),
+    (["content", "text", "article", "contenu", "texte"], ["coming soon", "to follow", "à venir", "goes here"]),
 ]
 KEYBOARD = {"qwertz", "qwerty", "azerty", "asdf", "asdfgh", "jklö", "jkl", "xxx", "bla", "blah", "test", "yxcv", "foo", "bar"}
 NAVIGATION = re.compile(
@@ -50,9 +79,7 @@ PLACEHOLDER = re.compile(
     r"\{\{\s*[\w.]+\s*\}\}|\{%=?\s*[\w.]+\s*%\}|<%=?\s*[\w.]+\s*%>|<<\s*\w+\s*>>|\$\{\s*\w+\s*\}|@@\w+@@|%[A-Za-z]\w+%|__[A-Za-z]\w*?__(?!\w)|\{[A-Za-z]\w{2,}\}|\[[A-Za-zäöüß_]\w{2,}\]|##\w+##|\[\[\w+\]\]|#\{\w+\}"
 )
 MARKS = re.compile(r"^(?:TBD|TODO\b.*|FIXME\b.*|N\. ?N\.|\?{2,}|\[[^\]\n]{2,40}\]|(?:…|\.\.\.) ?\w+ ?(?:…|\.\.\.)|-{3,}|\.{3,}|…)$")
-TECHNICAL = re.compile(r"^(?:\s*File \".*|\s+\w+ = .*|\w*(?:Error|Exception)\b.*|Fatal: .*|(?:Error|Erreur|Fehler|HTTP)\s*\d{3}\b.*|\d{3} [–-] .*|(?:Request id|Vorgang|Code)\b.*)$")
-#: The status line of an error page, which is no title.
-STATUS = re.compile(r"[45]\d{2} [–-] ")
+TECHNICAL = re.compile(r"^(?:\s*File \".*|\s+\w+ = .*|\w*(?:Error|Exception)\b.*|Fatal: .*|(?:Error|Erreur|Fehler|HTTP)\s*\d{3}\b.*|[1-5]\d{2} [–-] .*|[45]\d{2}(?: [A-Z][a-z]+){1,4}|(?:Request id|Vorgang|Code)\b.*)$")
 SENTENCE = re.compile(r"[^.!?…\n]*(?:[.!?…](?![.!?…]*\s)[^.!?…\n]*)*[.!?…]+(?=\s|$)|[^\n]+")
 TAIL = re.compile(r"(?:Vorgang|Request id:?|Code:?)\s*[0-9a-f]+", re.I)
 QUOTED = re.compile(r"›[^›‹]*‹|„[^„“]*“|\"[^\"]*\"|«[^«»]*»|»[^«»]*«")
@@ -67,18 +94,24 @@ def automaton() -> Any:
     import ahocorasick
 
     out = ahocorasick.Automaton()
-    for phrase in (*SCRIPTS, *ERRORS, *FILLER):
-        out.add_word(phrase, len(phrase))
+    for row in MESSAGES:
+        for parts in product(*row):
+            out.add_word(phrase := " ".join(parts), len(phrase))
     out.make_automaton()
     return out
 
 
+def lowered(text: str) -> str:
+    """Lower case of the same length: what would become longer stays as it is."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def _covered(text: str, low: str) -> int:
     """Characters of a sentence under phrases, placeholders and technical patterns."""
     marked = bytearray(len(text))
-    if len(low) == len(text):
-        for end, n in automaton().iter(low):
-            marked[end - n + 1 : end + 1] = b"\1" * n
+    for end, n in automaton().iter(low):
+        marked[end - n + 1 : end + 1] = b"\1" * n
     for pattern in (PLACEHOLDER, TAIL):
         for hit in pattern.finditer(text):
             marked[hit.start() : hit.end()] = b"\1" * (hit.end() - hit.start())
@@ -92,7 +125,7 @@ def is_residue(sentence: str) -> bool:
         return False
     if MARKS.match(s) or TECHNICAL.match(sentence.rstrip()):
         return True
-    low = s.lower()
+    low = lowered(s)
     if low.startswith("lorem ipsum"):
         return True
     words = re.findall(r"\w+", low)
@@ -102,7 +135,7 @@ def is_residue(sentence: str) -> bool:
     if len(places) >= 2 or places and sum(map(len, places)) >= 0.12 * len(s):
         return True
     bare = QUOTED.sub(" ", s)
-    return _covered(bare, bare.lower()) >= 0.45 * max(1, len(re.sub(r"\s+", " ", bare).strip(" .!?")))
+    return _covered(bare, lowered(bare)) >= 0.45 * max(1, len(re.sub(r"\s+", " ", bare).strip(" .!?")))
 
 
 def _marked(text: str) -> bool:
@@ -119,18 +152,17 @@ def judge(text: str | None) -> bool:
     """Is the document residue in the place of an article?"""
     if not text or not text.strip():
         return False
-    low = text.lower()
+    low = lowered(text)
     # One pass over the whole text decides whether to look closer: anything that
     # ``is_residue`` accepts holds a phrase, a placeholder, a mark or a keyboard word.
     if next(automaton().iter(low), None) is None and not PLACEHOLDER.search(text) and not KEYS.search(low) and not _marked(text):
         return False
     residue = real = sentences = 0
-    lines = text.split("\n")
-    for i, line in enumerate(lines):
+    for line in text.split("\n"):
         s = line.strip()
         if not s or NAVIGATION.match(s):
             continue
-        if not MARKS.match(s) and not STATUS.match(s) and not re.search(r"[.!?:…\d\]\}>%@_]$", s) and len(s) < 70 and len(s.split()) <= 4 and not any(w in KEYBOARD for w in s.lower().split()):
+        if not re.search(r"[.!?:…\d\]\}>%@_]$", s) and len(s) < 70 and len(s.split()) <= 4 and not is_residue(line):
             continue  # a title
         for part in [line] if TECHNICAL.match(line) else SENTENCE.findall(line):
             if not part.strip():

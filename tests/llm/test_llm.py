@@ -393,12 +393,18 @@ def test_no_residue(text):
 
 @pytest.mark.parametrize(
     "text",
-    ["Start | Register | Hilfe\n" * 12 + "Die " + "sehr " * 90 + "lange Norm klärt das Ganze.\nasdf jkl asdf qwertz", "Fehler 503", "Erreur 404", "HTTP 500", "502 - Gateway", "N.N.", "FIXME", "[Platz für später]", "Titel\n... folgt ..."],
+    ["Start | Register | Hilfe\n" * 12 + "Die " + "sehr " * 90 + "lange Norm klärt das Ganze.\nasdf jkl asdf qwertz", "Fehler 503", "Erreur 404", "HTTP 500", "502 - Gateway", "N.N.", "FIXME", "[Platz für später]", "Titel\n... folgt ...", "Seite nicht gefunden", "Titel\n\nSeite nicht gefunden", "503 Service Temporarily Unavailable", "Please turn on JavaScript to continue.", "İ page not found", "Página no encontrada", "La pagina richiesta non esiste.", "Accès refusé"],
 )
 def test_residue_anywhere_and_of_every_pattern(text):
     assert residue.judge(text)
 
 
+@pytest.mark.parametrize("at", [300, 5_000, 50_000])
+def test_filler_behind_a_long_head(at):
+    head = "Start | Register | Hilfe\n" * (at // 25)
+    assert residue.judge(head + "asdf jkl asdf qwertz") and not residue.judge(head + "Die Norm klärt das Ganze.")
+
+
 def test_residue_frame(spark):
     rows = spark.createDataFrame([(1, "You need to enable JavaScript to run this app."), (1, "You need to enable JavaScript to run this app."), (2, None), (3, "Ein Artikel mit Inhalt. " * 5000)], "doc_id long, text string")
     assert [r.doc_id for r in residue.found(rows).collect()] == [1]
