@@ -1,12 +1,12 @@
 """Visually identical text with different characters: find it and bring it to one form.
 
-Per token the script sets of its letters are intersected (common and inherited characters
-match any script). A Latin token whose intersection is empty because of letters that all
-have a Latin look-alike is a mixed-script confusable; a token wholly of such letters
-beside Latin tokens is a whole-script confusable. The script in which the whole token can
-be spelled is selected, here by mapping the foreign letters to their Latin look-alikes,
-and the remaining forms are normalised: width and styled forms, ligatures, decomposed
-accents, invisible characters, special spaces.
+Per token the script sets of its letters (Unicode script extensions) are intersected;
+common and inherited characters match any script. A token whose resolved set is empty is
+mixed; if all its letters of other scripts look like letters of one script, it is a
+mixed-script confusable. A token of one other script all of whose letters look Latin is a
+whole-script confusable where Latin stands beside it. Either takes the spelling of the
+consistent script, and the remaining forms are normalised: width and styled forms,
+ligatures, decomposed accents, invisible characters, special spaces.
 
 Not look-alikes: words wholly in another script, letters no Latin reader would mistake
 (garbled encodings leave such letters inside Latin words), ordinary blanks at the ends.
@@ -20,42 +20,64 @@ from __future__ import annotations
 import re
 import unicodedata
 from functools import lru_cache
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Letters of other scripts and the Latin letters they look like.
-CONFUSABLE = dict(
-    zip(
-        "АВЕЅІЈКМНОРСТУХЗаеѕіјорсухԁһԛԝкмнтвгь" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορτυχϲϳ" + "ԌҮӀѵ",
-        "ABESIJKMHOPCTYX3aesijopcyxdhqwkmhтbrb" + "ABEZHIKMNOPTYXaiknoptuxcj" + "GYlv",
-        strict=True,
-    )
-)
-for _garbled in "ьгт":
-    CONFUSABLE.pop(_garbled, None)
-CONFUSABLE["т"] = "t"
+# Letters of other scripts, or other letters of the same, and the Latin ones
+# they look like (the small hard sign and the small ge are not mistaken by a reader).
+ALIKE = {
+    "Cyrillic": ("АВЕЅІЈКМНОРСТУХЗаеѕіјорсухһԁԛԝкмнтвԌҮӀѵ", "ABESIJKMHOPCTYX3aesijopcyxhdqwkmhтвGYlv"),
+    "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορτυχϲϳ", "ABEZHIKMNOPTYXaiknoptuxcj"),
+    "Armenian": ("ՕՏՍԼօսհոզյց", "OSULouhnqjg"),
+    "Cherokee": ("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎿᏀᏃᏎᏏᏒᏔᏙᏚᏞᏟᏢᏦᏴ", "DRTiAJEWMHOGZ4bRWVSLCPKB"),
+    "Coptic": ("ⲀⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲌⲟⲥⲣ", "ABEHIKMNOPCTYXZocp"),
+    "Lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "Latin": ("ɡɑᴏᴄᴠᴡᴢꜱɩ", "gaocvwzsi"),
+}
+# The scripts that letters are tested for, and the systems that write several.
+SCRIPTS = (
+    "Latin Greek Cyrillic Armenian Hebrew Arabic Syriac Thaana Devanagari Bengali Gurmukhi Gujarati Oriya Tamil Telugu Kannada Malayalam Sinhala Thai Lao "
+    "Tibetan Myanmar Georgian Hangul Ethiopic Cherokee Canadian_Aboriginal Ogham Runic Khmer Mongolian Hiragana Katakana Bopomofo Han Yi Gothic Coptic "
+    "Glagolitic Tifinagh Lisu Vai Deseret Old_Italic Phoenician Nko Bamum Javanese Balinese"
+).split()
+SYSTEMS = {"Han": {"Japanese", "Korean", "Chinese"}, "Hiragana": {"Japanese"}, "Katakana": {"Japanese"}, "Hangul": {"Korean"}, "Bopomofo": {"Chinese"}}
+ALL = frozenset(SCRIPTS) | {"Japanese", "Korean", "Chinese"}
+CONFUSABLE = {a: b for xs, ys in ALIKE.values() for a, b in zip(xs, ys, strict=True) if b.isascii()}
 INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿]")
 SPACES = re.compile("[   -     　]")
-LIGATURES = re.compile("[ﬀ-ﬆĲĳǄ-ǌǱ-ǳ]")
+LIGATURES = re.compile("[ﬀ-ﬆĲĳǄ-ǌǱ-ǳ\u2160-\u217f]")
 #: Anything outside ordinary Latin text and its punctuation (Java syntax).
-SUSPECT = r"[^\x{00}-\x{7E}\x{A1}-\x{AC}\x{AE}-\x{2FF}\x{1E00}-\x{1EFF}–—›‹»«„“”‘’‚•…†↑]"
+SUSPECT = r"[^\x{00}-\x{7E}\x{A1}-\x{AC}\x{AE}-\x{24F}\x{2B0}-\x{2FF}\x{1E00}-\x{1EFF}–—›‹»«„“”‘’‚•…†↑]"
 WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
 #: Signs that multi-byte text leaves when it is decoded wrongly; a special space after
 #: one of them is a byte of that text.
+GARBLE_SIGN = "[ÃÂâ€ÐÑ├┬ÔΓ√‰¸ˆ]"
 GARBLE = re.compile("[ÃÂâ€ÐÑ├┬ÔΓ√‰¸ˆ][ ­]?")
 
 
+@lru_cache(1)
+def _tests() -> list[tuple[str, Any]]:
+    import regex
+
+    return [(name, regex.compile(rf"\p{{Script_Extensions={name}}}")) for name in SCRIPTS]
+
+
 @lru_cache(65536)
-def script(char: str) -> str:
-    """The script of a letter; '' for characters that match any script."""
-    if not char.isalpha():
-        return ""
-    name = unicodedata.name(char, "")
-    if name.startswith(("FULLWIDTH", "MATHEMATICAL", "MODIFIER", "CIRCLED")):
-        return ""
-    return name.split(" ")[0].split("-")[0]
+def scripts(char: str) -> frozenset[str]:
+    """The script set of a character (its Unicode script extensions, with the systems that
+    write several scripts together); all scripts for common and inherited ones."""
+    if not char.isalpha() or compat(char) != char:
+        return ALL
+    own = {name for name, test in _tests() if test.match(char)}
+    return frozenset(own.union(*(SYSTEMS.get(n, set()) for n in own))) or ALL
+
+
+def resolved(word: str) -> frozenset[str]:
+    """The resolved script set of a word: the scripts in which all of it is written."""
+    return ALL.intersection(*map(scripts, word)) if word else ALL
 
 
 @lru_cache(65536)
@@ -67,17 +89,34 @@ def compat(char: str) -> str:
     return unicodedata.normalize("NFKC", char) if tag in ("<wide>", "<narrow>", "<font>", "<circle>") else char
 
 
+#: Per script the letter of it that looks like a Latin one.
+INVERSE = {name: {y: x for x, y in zip(*pair, strict=True)} for name, pair in ALIKE.items() if name != "Latin"}
+
+
 def resolve(word: str, latin_around: bool) -> str:
-    """The consistent spelling of a word: its Latin look-alike if it is confusable."""
-    scripts = [script(c) for c in word]
-    foreign = [c for c, s in zip(word, scripts, strict=True) if s in ("GREEK", "CYRILLIC")]
-    if not foreign or not all(c in CONFUSABLE for c in foreign):
-        return word
-    latin = any(s == "LATIN" for s in scripts) or any(c != compat(c) for c in word)
-    # Mixed-script, or whole-script beside Latin words.
-    if not latin and not (latin_around and len(foreign) == sum(c.isalpha() for c in word)):
+    """The spelling of a word in one script, if it is confusable with such a word.
+
+    A word of several scripts takes the Latin spelling if all letters of others look Latin,
+    else that of the one script that most of its letters are of, if the rest look like
+    letters of it; else it stays (garbled or a mixture that nobody would mistake). A word
+    of one other script stays, unless all of it looks Latin and Latin words stand beside it.
+    """
+    common = resolved(word)
+    other = [c for c in word if c in CONFUSABLE or "Latin" not in scripts(c)]
+    if not other:
         return word
-    return "".join(CONFUSABLE.get(c, c) if s in ("GREEK", "CYRILLIC") else c for c, s in zip(word, scripts, strict=True))
+    latin = "".join(CONFUSABLE.get(c, c) for c in word) if all(c in CONFUSABLE for c in other) else None
+    if common and "Latin" not in common:
+        letters = sum(c.isalpha() for c in word)
+        return latin if latin is not None and latin_around and len(other) == letters and len(common) == 1 else word
+    if latin is not None:
+        return latin
+    for name, letters_ in INVERSE.items():
+        own = [c for c in word if name in scripts(c) and scripts(c) != ALL]
+        rest = [c for c in word if name not in scripts(c)]
+        if not common and len(own) > len(rest) and all(c in letters_ for c in rest):
+            return "".join(letters_[c] if c in rest else c for c in word)
+    return word
 
 
 def unify(text: str | None) -> tuple[str | None, bool]:
@@ -87,10 +126,11 @@ def unify(text: str | None) -> tuple[str | None, bool]:
     changed = False
     out = text
     garbled = GARBLE.search(out) is not None
-    if INVISIBLE.search(out) and not garbled:
-        out, changed = INVISIBLE.sub("", out), True
-    if SPACES.search(out) and not garbled:
-        out, changed = SPACES.sub(" ", out).strip(" "), True
+    # A sign right behind one of garbled text is a byte of it; others count.
+    for pattern, to in ((INVISIBLE, ""), (SPACES, " ")):
+        swapped = re.sub(rf"(?<!{GARBLE_SIGN}){pattern.pattern}", to, out)
+        if swapped != out:
+            out, changed = swapped.strip(" ") if to else swapped, True
     plain = "".join(map(compat, out))
     if plain != out and not (garbled and set(out) & set("ﬂﬁ")):
         out, changed = plain, True
@@ -99,10 +139,10 @@ def unify(text: str | None) -> tuple[str | None, bool]:
         changed = True
     out = composed
     if not out.isascii():
-        latin = any(script(c) == "LATIN" for c in out)
-        resolved = WORD.sub(lambda m: resolve(m.group(), latin), out)
-        changed |= resolved != out
-        out = resolved
+        latin = any("Latin" in scripts(c) and scripts(c) != ALL for c in out)
+        consistent = WORD.sub(lambda m: resolve(m.group(), latin), out)
+        changed |= consistent != out
+        out = consistent
     return out, changed
 
 

@@ -242,7 +242,7 @@ def test_value_cases(spark):
 # --- p7 -------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(("text", "plain"), [("Geѕсhichte", "Geschichte"), ("Ｔａｌ", "Tal"), ("Ta​l", "Tal"), ("Tal\xa0", "Tal"), ("a b", "a b"), ("Skál", "Skál"), ("Pﬂicht", "Pflicht"), ("Netz𝗀lied", "Netzglied"), ("Κеhrοrt", "Kehrort"), ("Νοο​γραφη", "Νοογραφη")])
+@pytest.mark.parametrize(("text", "plain"), [("Geѕсhichte", "Geschichte"), ("Ｔａｌ", "Tal"), ("Ta​l", "Tal"), ("Tal\xa0", "Tal"), ("a b", "a b"), ("Skál", "Skál"), ("Pﬂicht", "Pflicht"), ("Netz𝗀lied", "Netzglied"), ("Κеhrοrt", "Kehrort"), ("ꓗehrort", "Kehrort"), ("Տatz", "Satz"), ("Ꮪatz", "Satz"), ("Ⲧal", "Tal"), ("Taɡ", "Tag"), ("Λόγoς", "Λόγος"), ("Zahl ᎳᎪᎡ", "Zahl WAR"), ("Ch\u200bâteau", "Château"), ("Νοο​γραφη", "Νοογραφη")])
 def test_lookalikes(text, plain):
     assert lookalikes.unify(text) == (plain, True)
     assert lookalikes.unify(plain) == (plain, False)
@@ -253,10 +253,15 @@ def test_no_lookalikes(text):
     assert lookalikes.unify(text) == (text, False)
 
 
+def test_script_sets():
+    assert lookalikes.resolved("Satz") == {"Latin"} and not lookalikes.resolved("Ѕatz") and lookalikes.resolved("12,") == lookalikes.ALL
+    assert {"Han", "Japanese"} <= lookalikes.resolved("漢") and lookalikes.resolved("漢ひ") == {"Japanese"} and "Greek" in lookalikes.resolved("λόγος")
+
+
 def test_lookalike_frame(spark):
-    rows = spark.createDataFrame([("1", "Ta​l"), ("1", "Ta​l"), ("2", None), (None, "Ｔ"), ("3", "Tal")], "id string, v string")
+    rows = spark.createDataFrame([("4", "Taɡ"), ("1", "Ta​l"), ("1", "Ta​l"), ("2", None), (None, "Ｔ"), ("3", "Tal")], "id string, v string")
     got = {tuple(r) for r in lookalikes.found([(rows, "v", F.col("id"), F.lit(""), F.col("v"))]).collect()}
-    assert got == {("v", "1", ""), ("v", None, "")}
+    assert got == {("v", "1", ""), ("v", None, ""), ("v", "4", "")}
 
 
 # --- p8 -------------------------------------------------------------------------------
