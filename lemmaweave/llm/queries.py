@@ -44,18 +44,18 @@ def p1_classes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
-    entries = table(spark, root, "entries", "id", "headword", *TEXTS, "unreadable_chars")
-    model = encoding.train(spread(entries.select("headword", "body_text"), spark), ["body_text", "headword"])
-    texts = encoding.found(spread(entries, spark), "id", ["body_text", "headword"], model, spark)
+    entries = spread(table(spark, root, "entries", "id", "headword", *TEXTS, "unreadable_chars"), spark)
+    surveyed = cut(encoding.survey(entries, "id", ["body_text", "headword"]), spark)
+    texts = encoding.found(surveyed, "id", encoding.model_of(surveyed), spark)
     counts = encoding.miscounted(entries, "id", "unreadable_chars", TEXTS).select("id", F.lit("unreadable_chars").alias("field"))
     return texts.unionByName(counts).select(F.col("id").alias("entry_id"), "field")
 
 
 def p2_restored(spark: SparkSession, root: str) -> DataFrame:
     entries = spread(table(spark, root, "entries", "id", "headword", "body_text"), spark)
-    model = encoding.train(entries, ["body_text", "headword"])
-    fixed = encoding.restored(encoding.restored(entries.distinct(), "body_text", model, spark), "headword", model, spark)
-    return fixed.select(F.col("id").alias("entry_id"), "headword_fixed", "headword_chain", "body_text_fixed", "body_text_chain")
+    surveyed = cut(encoding.survey(entries, "id", ["body_text", "headword"]), spark)
+    fixed = encoding.restored(entries, ["body_text", "headword"], encoding.model_of(surveyed), spark)
+    return fixed.select(F.col("id").alias("entry_id"), "headword_fixed", "headword_chain", "body_text_fixed", "body_text_chain").distinct()
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:

@@ -108,10 +108,25 @@ def test_encoding_leaves(model, text):
     assert model.fix(text) == (text, None)
 
 
+def test_margin_is_validated_on_every_chain(model):
+    chains = {c for w in ("größte", "Überlegung", "äußere") for c, _ in encoding.garbled(w)}
+    assert {c for c in chains if c.endswith("twice")} and {c for c in chains if c.startswith("utf-8>")} and len(chains) >= 25
+    assert encoding.fewest_mistakes([5.0, 6.0, 7.0], [1.0, 2.0], 4.0) == 3.5 and encoding.fewest_mistakes([], [1.0], 4.0) == 4.0
+    assert 0 < model.margin < 15
+    words = "größte Überlegung mögliche".split()
+    assert all(model.restore(encoding.accented(w))[1] is None for w in words) and encoding.accented("größte") != "größte"
+
+
+def test_lost_letters_need_a_margin(model):
+    assert model.fix("gr\ufffd\ufffdte m\ufffdgliche") == ("größte mögliche", "lost")
+    sure = encoding.Model(model.logs, model.margin, 50.0)
+    assert sure.fix("m\ufffdgliche")[0] == "m\ufffdgliche" and sure.fix("m\ufffdgliche")[1] == "lost" and sure.fix("\ufffd") == ("\ufffd", None)
+
+
 def test_encoding_frames(spark, model):
     rows = spark.createDataFrame([("1", "die gröÃŸte Tür", 0), ("2", None, 0), ("3", "", 1), ("4", "klar", None), ("1", "die gröÃŸte Tür", 0)], "id string, body string, n int")
-    assert [tuple(r) for r in encoding.found(rows, "id", ["body"], model, spark).collect()] == [("1", "body")]
-    fixed = {r.id: r.body_fixed for r in encoding.restored(rows, "body", model, spark).collect()}
+    assert [tuple(r) for r in encoding.found(encoding.survey(rows, "id", ["body"]), "id", model, spark).collect()] == [("1", "body")]
+    fixed = {r.id: r.body_fixed for r in encoding.restored(rows, ["body"], model, spark).collect()}
     assert fixed == {"1": "die größte Tür", "2": None, "3": "", "4": "klar"}
     assert {r.id for r in encoding.miscounted(rows, "id", "n", ["body"]).collect()} == {"3", "4"}
     empty = encoding.train(rows.limit(0), ["body"])
