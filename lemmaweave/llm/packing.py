@@ -1,9 +1,9 @@
 """Filling containers of fixed capacity with texts, along a space-filling curve.
 
 Each document gets its size in tokens of a public tokenizer and a hashed vector: every
-word stands for a fixed pseudo-random direction, the mean over the words is the vector,
-projected to ``DIMS`` dimensions from the start (the direction of a word is already that
-short). The quantised vector is a cell of a grid, and its Hilbert key orders the cells so
+word adds, with a sign, to one of ``HASHED`` places. The vector is projected to ``DIMS``
+dimensions by a fixed random matrix; since that is linear, each word's part is projected
+and the parts are added. The quantised vector is a cell of a grid, and its Hilbert key orders the cells so
 that neighbours on the curve are neighbours in the grid. Documents are range-sorted by
 key (and id, so that equal keys do not end up in one range) and neighbours are packed
 together: along the curve, blocks of ``BLOCK`` items are taken and each block is filled
@@ -11,7 +11,8 @@ best-fit decreasing into the containers that are still open.
 
 A text longer than the capacity is cut into full containers and a rest; no other text is
 split. Containers never span ranges, and per range only the last few stay partly empty,
-so the unused space falls as ranges grow.
+so the unused space falls as ranges grow. ``OPEN`` containers of a capacity stay open at
+most, the emptiest ones; what is closed is nearly full, and no text is left out by it.
 
 Defined results: null and empty texts have 0 tokens, take no space and get a row in the
 first open container; repeated texts are packed as often as they come; an empty table
@@ -33,28 +34,38 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIMS, BITS, BLOCK = 3, 10, 4096
+from lemmaweave.operators.skew import sized
 
+DIMS, BITS, BLOCK, OPEN, HASHED = 3, 10, 4096, 2048, 256
+#: The projection: a fixed matrix from the hashed places to the few dimensions.
+PROJECTION = np.random.default_rng(8).normal(0, 0.58, (HASHED, DIMS)).astype(np.float32)
 
-@lru_cache(2)
-def encoder(path: str) -> Any:
-    """The tokenizer of a ``.tiktoken`` file."""
+
+def tokenizer(path: str) -> tuple[bytes, str]:
+    """Content of a ``.tiktoken`` file and the pattern of its pieces, read by the driver."""
     import public_tokenizers
+
+    with open(path, "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+@lru_cache(2)
+def encoder(content: bytes, pattern: str) -> Any:
+    """The tokenizer of such a content."""
     import tiktoken
 
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 class Counter_:
     """Token counts and vectors of texts; both are sums over pieces, which are cached."""
 
-    def __init__(self, path: str) -> None:
-        import public_tokenizers
+    def __init__(self, content: bytes, pattern: str) -> None:
         import regex
 
-        self.encode = encoder(path).encode_ordinary
-        self.pieces = regex.compile(public_tokenizers.PATTERN)
+        self.encode = encoder(content, pattern).encode_ordinary
+        self.pieces = regex.compile(pattern)
         self.known: dict[str, int] = {}
         self.at: dict[str, int] = {}
         self.directions = np.zeros((1024, DIMS), np.float32)
@@ -80,8 +91,7 @@ class Counter_:
                     if i >= len(self.directions):
                         self.directions = np.concatenate([self.directions, np.zeros_like(self.directions)])
                     seed = xxhash.xxh64_intdigest(word)
-                    bits = np.array([(seed >> (21 * k)) & 0x1FFFFF for k in range(DIMS)], np.float32)
-                    self.directions[i] = bits / 0xFFFFF - 1
+                    self.directions[i] = PROJECTION[seed % HASHED] * (1 if seed >> 63 else -1)
                 index.append(i)
                 weight.append(n)
         if not index:
@@ -119,10 +129,14 @@ def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def measured(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, place): size and Hilbert key of each document."""
+    """(key, n_tokens, place): size and Hilbert key of each document.
+
+    ``path`` is read by the driver; the vocabulary, of fixed size, is broadcast.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(tokenizer(path))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = Counter_(path)
+        counter = Counter_(*shared.value)
         for batch in batches:
             sizes, vectors = [], []
             for t in batch[text]:
@@ -156,7 +170,7 @@ class Shelf:
             bisect.insort(self.open, (free - size, number))
         return number
 
-    def close(self, most: int = 2048) -> None:
+    def close(self, most: int = OPEN) -> None:
         """Keep only the emptiest containers open: what is nearly full is done."""
         if len(self.open) > most:
             self.open = self.open[-most:]
@@ -215,4 +229,4 @@ def report(assignment: DataFrame, capacities: DataFrame) -> DataFrame:
     """Per capacity: containers, tokens, unused share and the fewest containers possible."""
     held = assignment.groupBy("size_id").agg(F.countDistinct("container_id").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
     space = F.col("n_containers") * F.col("capacity_tokens")
-    return held.join(F.broadcast(capacities.limit(1000)), "size_id").select("size_id", "n_containers", "n_tokens", (1 - F.col("n_tokens") / space).alias("unused_share"), F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"))
+    return held.join(sized(capacities.select("size_id", "capacity_tokens").distinct()), "size_id").select("size_id", "n_containers", "n_tokens", (1 - F.col("n_tokens") / space).alias("unused_share"), F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"))

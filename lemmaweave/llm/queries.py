@@ -138,7 +138,7 @@ def _packed(spark: SparkSession, root: str) -> DataFrame:
 
     documents = spread(table(spark, root, "documents", "doc_id", "text"), spark)
     sizes = cut(packing.measured(documents, public_tokenizers.path("byte_bpe_50k.tiktoken")), spark)
-    rows = table(spark, root, "container_sizes", "size_id", "capacity_tokens").distinct().limit(1000).collect()
+    rows = table(spark, root, "container_sizes", "size_id", "capacity_tokens").distinct().collect()  # the parameter of the operator
     return packing.packed(sizes, sorted((r.size_id, r.capacity_tokens) for r in rows))
 
 

@@ -301,7 +301,7 @@ def test_packing(spark):
     frame = spark.createDataFrame(texts, "doc_id long, text string")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     sizes = packing.measured(frame, path).cache()
-    encode = packing.encoder(path).encode_ordinary
+    encode = packing.encoder(*packing.tokenizer(path)).encode_ordinary
     assert {r.doc_id: r.n_tokens for r in sizes.collect()} == {i: len(encode(t)) if t else 0 for i, t in texts}
     got = packing.packed(sizes, [(1, 512), (2, 2048), (3, None)]).collect()
     held, by_doc = {}, {}
@@ -319,6 +319,8 @@ def test_packing(spark):
         total = sum(v for (a, _), v in held.items() if a == s)
         assert n <= 1.05 * total / capacity[s] + 8
     assert packing.packed(sizes.limit(0), [(1, 512)]).count() == 0
+    many = packing.packed(sizes.where("doc_id = 0"), [(i, 100_000) for i in range(1500)])
+    assert many.select("size_id").distinct().count() == 1500
 
 
 # --- p9 -------------------------------------------------------------------------------
