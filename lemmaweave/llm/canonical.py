@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from lemmaweave.llm.lookalikes import unify
 from lemmaweave.llm.scan_noise import SUSPENDED, skeleton
+from lemmaweave.operators.skew import sized
 from lemmaweave.sources import cut
 
 #: Lowest Jaccard of a match on bigrams, and the most edits of one.
@@ -174,7 +175,8 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESH
     sides = left.select(F.lit(0).alias("side"), F.col("id").cast("string").alias("id"), "tokens").unionByName(right.select(F.lit(1).alias("side"), F.col("id").cast("string").alias("id"), "tokens"))
     exploded = sides.select("side", "id", F.explode("tokens").alias("token"))
     exploded = cut(exploded, left.sparkSession)
-    rarity = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # Tokens are few and some are in most sets, so their rarity is broadcast where counted small.
+    rarity = sized(cut(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n")), left.sparkSession))
     ordered = exploded.join(rarity, "token").groupBy("side", "id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("s"))
     ordered = ordered.select("side", "id", F.transform("s", lambda t: t["token"]).alias("tokens"), F.size("s").alias("size"))
     ordered = cut(ordered, left.sparkSession)
@@ -184,7 +186,7 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float = THRESH
     b = prefixes.where("side = 1").select("token", F.col("id").alias("right_id"), F.col("tokens").alias("tb"), F.col("size").alias("nb"), F.col("pos").alias("pb"))
     needed = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9)
     reachable = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    met = a.join(b, "token").where((F.col("nb") >= F.col("na") * threshold) & (F.col("na") >= F.col("nb") * threshold))
+    met = a.join(sized(b), "token").where((F.col("nb") >= F.col("na") * threshold) & (F.col("na") >= F.col("nb") * threshold))
     # A pair that meets on several prefix tokens is kept at the first of them, where
     # nothing before it is shared: no exchange is needed to make pairs distinct.
     first = F.size(F.array_intersect(F.slice("ta", F.lit(1), F.col("pa")), F.slice("tb", F.lit(1), F.col("pb")))) == 0
@@ -230,7 +232,7 @@ def mapped(values: DataFrame, register: DataFrame, threshold: float = THRESHOLD,
     known = entries.select(F.col("register_id").cast("string").alias("right_id"), "register_id", "entry", "entry_adjective")
     # Few bytes but much work: as many tasks as cores, whatever the size of the exchange.
     pairs = pairs.repartition(spark.sparkContext.defaultParallelism, "left_id")
-    near = pairs.join(F.broadcast(known) if _small(entries) else known, "right_id").withColumn("d", distance.asNondeterministic()(F.col("left_id"), F.col("entry")))
+    near = pairs.join(sized(known), "right_id").withColumn("d", distance.asNondeterministic()(F.col("left_id"), F.col("entry")))
     # One edit in four letters at most: short words are not stretched to fit.
     near = near.where((F.col("d") <= most) & (F.col("d") * 4 <= F.length("entry")))
     best = near.groupBy(F.col("left_id").alias("noun")).agg(F.min(F.struct("d", (-F.col("jaccard")).alias("j"), "register_id")).alias("b")).select("noun", F.col("b.register_id").alias("by_form"))
@@ -242,7 +244,3 @@ def mapped(values: DataFrame, register: DataFrame, threshold: float = THRESHOLD,
     chosen = F.when(F.col("stem") != "", F.col("by_stem")).otherwise(F.col("by_form"))
     return joined.select("value", "context", F.coalesce(chosen, F.lit(-1)).cast("int").alias("register_id"))
 
-
-def _small(frame: DataFrame, rows: int = 20_000) -> bool:
-    """Is the canonical list small enough to be broadcast? Counted, not assumed."""
-    return frame.limit(rows + 1).count() <= rows

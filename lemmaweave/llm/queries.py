@@ -62,7 +62,7 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     resolved = table(spark, root, "resolved_cross_references", "entry_id", "ordinal", "raw_target", "status")
     open_ = resolved.where("status = 'unresolved'").select("entry_id", F.col("ordinal").cast("string").alias("sub_key"), F.col("raw_target").alias("value")).distinct()
     # Only words cut at a line end need their context, so only those rows are exchanged.
-    ends = r"(?s)\w[-‐¬\x{AD}]\s*$"
+    ends = r"(?sU)\w[-‐¬\x{AD}]\s*$"
     contexts = (
         table(spark, root, "cross_references", "entry_id", "ordinal", "raw_target", "raw_context")
         .where(F.col("raw_target").rlike(ends))
