@@ -104,6 +104,27 @@ def eras(dates: DataFrame) -> DataFrame:
     return every.join(counted, "era", "left").select("era", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def coverage(dates: DataFrame, group: str) -> DataFrame:
+    """(group, n, n_dated, share): how many of each group are dated."""
+    return dates.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("dated").cast("long")).alias("n_dated"), F.round(F.avg("dated"), 6).alias("share"))
+
+
+def _signed(dates: DataFrame) -> DataFrame:
+    sign = lambda who: F.when(F.col(f"{who}_bc") == 1, -F.col(f"{who}_year")).otherwise(F.col(f"{who}_year")).alias(who)
+    return dates.where("dated = 1").select("id", sign("birth"), sign("death"))
+
+
+def longest_life(dates: DataFrame) -> DataFrame:
+    """One row: the longest of the dated lives (ties by id)."""
+    return _signed(dates).withColumn("years", F.col("death") - F.col("birth")).orderBy(F.desc("years"), "id").limit(1)
+
+
+def era_regions(dates: DataFrame, regions: DataFrame) -> DataFrame:
+    """(era, region, n): dated lives by era and the region (id, region) of their entry."""
+    met = _signed(dates).join(regions, "id")
+    return met.groupBy(T.era("birth").alias("era"), "region").agg(F.count(F.lit(1)).alias("n"))
+
+
 def ambiguity(resolved: DataFrame, candidates: DataFrame) -> DataFrame:
     """(match_key, n, display, n_forms, n_candidates) of the terms left undecided."""
     open_ = resolved.where("status = 'ambiguous'")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lemmaweave.functions import text as T
 from lemmaweave.operators import checks, dates, display, graph, layout, lemmas, parse, resolve, search, story, votes
+from lemmaweave.operators import dates as D
 from lemmaweave.plans import sql as S
 from lemmaweave.sources import cut, shared_folder, sinks, table
 
@@ -285,48 +286,73 @@ def name_conflicts(spark: SparkSession, root: str) -> DataFrame:
 # --- life dates -----------------------------------------------------------------------
 
 
+def _years_sql(name: str, source: str) -> str:
+    """Years of ``source`` (id, t): rows (id, i, year, bc, refusal), stated over rows."""
+    return f"""{name}0 AS (SELECT id, regexp_extract_all(t, '{D.DIGITS}') AS d, string_split_regex(t, '{D.DIGITS}') AS g FROM ({source})),
+{name}1 AS (SELECT id, i, d[i] AS y, d[i + 1] AS alt, g[i] AS before, g[i + 1] AS g1, g[i + 2] AS g2, d[i + 2] AS d2, coalesce(length(d[i]) <= 4 AND regexp_matches(g[i + 1], '{D.EITHER}') AND length(d[i + 1]) <= 4 AND NOT starts_with(g[i + 2], '/'), false) AS paired
+  FROM (SELECT *, unnest(range(1, len(d) + 1)) AS i FROM {name}0)),
+{name}2 AS (SELECT *, coalesce(lag(paired) OVER w AND NOT coalesce(lag(paired, 2) OVER w, false), false) AS taken, CASE WHEN paired THEN g2 ELSE g1 END AS behind, CASE WHEN paired THEN d2 ELSE alt END AS follows FROM {name}1 WINDOW w AS (PARTITION BY id ORDER BY i)),
+{name}3 AS (SELECT *, paired AND abs(alt::INT - y::INT) <> 1 AS wide, regexp_extract(behind, '{D.ERA}', 1) AS era, regexp_matches(before, '{D.RANGE_BEFORE}') OR (regexp_matches(regexp_replace(behind, '{D.ERA}', ''), '{D.RANGE_AFTER}') AND follows IS NOT NULL) AS ranged FROM {name}2 WHERE length(y) <= 4 AND NOT taken AND NOT ends_with(before, '/') AND NOT starts_with(behind, '/') AND NOT (starts_with(behind, '.') AND length(y) < 3)),
+{name} AS (SELECT id, i, y::INT AS year, era = 'v' AND NOT wide AS bc, CASE WHEN wide THEN 'alternative wider than one year' WHEN ranged THEN 'part of a range' ELSE '' END AS refusal FROM {name}3 WHERE wide OR ranged OR y::INT >= 100 OR era <> '')"""
+
+
+_ABBREVIATED = ", ".join(f"'{a}'" for a in D.ABBREVIATIONS)
+_DATES = f"""WITH {S.ENTRIES}, h AS (SELECT id, entry_type, body_text, instr(left(coalesce(body_text, ''), {D.HEAD}), '{D.SIGN}') AS pos FROM e WHERE entry_type <> 'redirect'),
+l AS (SELECT *, left(body_text, pos - 1) AS lead, substr(body_text, pos + 1, {D.SPAN}) AS w, substr(body_text, pos + 1 + {D.SPAN}) AS more FROM h WHERE pos > 0),
+{_years_sql('yb', 'SELECT id, lead AS t FROM l')},
+{_years_sql('yd', f"SELECT id, w || CASE WHEN regexp_matches(w, '{D.DIGITS}$') THEN regexp_extract(more, '^({D.DIGITS})', 1) ELSE '' END AS t FROM l")},
+b AS (SELECT id, arg_max(year, i) AS year, arg_max(bc, i) AS bc, arg_max(refusal, i) AS refusal FROM yb GROUP BY id), d AS (SELECT id, arg_min(year, i) AS year, arg_min(bc, i) AS bc, arg_min(refusal, i) AS refusal FROM yd GROUP BY id),
+j AS (SELECT h.id, h.entry_type, h.pos, l.lead, b.year AS y1, d.year AS y2, b.refusal AS br, d.refusal AS dr, b.bc OR d.bc AS bbc, d.bc OR ((b.bc OR d.bc) AND b.year + d.year > {D.LONGEST}) AS dbc FROM h LEFT JOIN l USING (id) LEFT JOIN b USING (id) LEFT JOIN d USING (id)),
+s AS (SELECT *, CASE WHEN bbc THEN -y1 ELSE y1 END AS f, CASE WHEN dbc THEN -y2 ELSE y2 END AS t FROM j),
+q AS (SELECT *, CASE WHEN pos = 0 THEN 'no dagger in head' WHEN length(replace(lead, ')', '')) > length(replace(lead, '(', '')) THEN 'dagger inside parentheses'
+  WHEN len(list_filter(regexp_extract_all(lead, '{D.SENTENCE}', 1), lambda x: x NOT IN ({_ABBREVIATED}))) > 0 THEN 'sentence ends before dagger' WHEN y1 IS NULL THEN 'no birth year before dagger' WHEN y2 IS NULL THEN 'no death year after dagger'
+  WHEN br <> '' THEN 'birth: ' || br WHEN dr <> '' THEN 'death: ' || dr WHEN f >= t THEN 'birth not before death (era marker missing?)' WHEN t - f > {D.LONGEST} THEN 'implausible lifespan' ELSE '' END AS reason FROM s),
+ld AS (SELECT id, entry_type, CASE WHEN reason = '' THEN y1 END AS birth_year, CASE WHEN reason = '' THEN bbc::INT END AS birth_bc, CASE WHEN reason = '' THEN y2 END AS death_year, CASE WHEN reason = '' THEN dbc::INT END AS death_bc, reason, (reason = '')::INT AS dated FROM q)
+"""
+
+
 def _dates(spark: SparkSession, root: str) -> DataFrame:
-    return dates.extract(_entries(spark, root, "entry_type", "body_text"))
+    """The dates as a table: a few columns, read by what follows without the texts."""
+    return cut(life_dates(spark, root), spark)
 
 
-@query()
+@query(_DATES + "SELECT * FROM ld")
 def life_dates(spark: SparkSession, root: str) -> DataFrame:
-    return _dates(spark, root)
+    return dates.extract(_entries(spark, root, "entry_type", "body_text"))
 
 
-@query()
+@query(_DATES + "SELECT entry_type, reason, count(*) AS n FROM ld GROUP BY entry_type, reason")
 def life_date_reasons(spark: SparkSession, root: str) -> DataFrame:
     return _dates(spark, root).groupBy("entry_type", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-# The plainest form of a life, which an expression can read as well.
-_LIFE = r"^\*[^†(]{1,60} (\d{3,4}), †[^(.]{1,60} (\d{3,4}),"
-
+_BORN = "CASE WHEN birth_bc = 1 THEN -birth_year ELSE birth_year END"
+_ERA = f"CASE WHEN {_BORN} < 500 THEN 'antiquity' WHEN {_BORN} < 1450 THEN 'middle_ages' WHEN {_BORN} < 1800 THEN 'early_modern' WHEN {_BORN} < 1900 THEN 'nineteenth' ELSE 'modern' END"
 
-@query(
-    f"WITH {S.ENTRIES}, b AS (SELECT id, regexp_extract(body_text, '{_LIFE}', 1) AS b, regexp_extract(body_text, '{_LIFE}', 2) AS d FROM e WHERE entry_type <> 'redirect') "
-    "SELECT id, b::INT AS birth_year, d::INT AS death_year FROM b WHERE b <> '' AND b::INT < d::INT AND d::INT - b::INT <= 120"
-)
-def plain_lives(spark: SparkSession, root: str) -> DataFrame:
-    found = _dates(spark, root).where("dated = 1 AND birth_bc = 0").select("id", "birth_year", "death_year")
-    plain = _entries(spark, root, "body_text").where(F.col("body_text").rlike(_LIFE)).select("id")
-    return found.join(plain, "id", "left_semi")
 
-
-@query()
+@query(f"{_DATES}, c AS (SELECT {_ERA} AS era FROM ld WHERE dated = 1) SELECT v.era, (SELECT count(*) FROM c WHERE c.era = v.era) AS n FROM (VALUES ('antiquity'), ('middle_ages'), ('early_modern'), ('nineteenth'), ('modern')) AS v(era)")
 def life_eras(spark: SparkSession, root: str) -> DataFrame:
     return story.eras(_dates(spark, root).where("dated = 1").select(dates.signed(F.col("birth_year"), F.col("birth_bc")).alias("birth")))
 
 
-@query(
-    f"WITH {S.ENTRIES}, c AS (SELECT CASE WHEN pdf_page_start * 40 < 500 THEN 'antiquity' WHEN pdf_page_start * 40 < 1450 THEN 'middle_ages' WHEN pdf_page_start * 40 < 1800 THEN 'early_modern' WHEN pdf_page_start * 40 < 1900 THEN 'nineteenth' ELSE 'modern' END AS era FROM e WHERE pdf_page_start IS NOT NULL) "
-    "SELECT v.era, (SELECT count(*) FROM c WHERE c.era = v.era) AS n FROM (VALUES ('antiquity'), ('middle_ages'), ('early_modern'), ('nineteenth'), ('modern')) AS v(era)"
-)
-def page_eras(spark: SparkSession, root: str) -> DataFrame:
-    return story.eras(_entries(spark, root, "pdf_page_start").select((F.col("pdf_page_start") * 40).alias("birth")))
+@query(_DATES + "SELECT entry_type, count(*) AS n, sum(dated)::BIGINT AS n_dated, round(avg(dated), 6)::DOUBLE AS share FROM ld GROUP BY entry_type")
+def life_coverage(spark: SparkSession, root: str) -> DataFrame:
+    """How many entries of each type are dated."""
+    return story.coverage(_dates(spark, root), "entry_type")
 
 
-@query()
+@query(f"{_DATES} SELECT id, {_BORN} AS birth, CASE WHEN death_bc = 1 THEN -death_year ELSE death_year END AS death, CASE WHEN death_bc = 1 THEN -death_year ELSE death_year END - {_BORN} AS years FROM ld WHERE dated = 1 ORDER BY years DESC, id LIMIT 1")
+def longest_life(spark: SparkSession, root: str) -> DataFrame:
+    return story.longest_life(_dates(spark, root))
+
+
+@query(f"{_DATES}, v AS (SELECT id, volume FROM e) SELECT {_ERA} AS era, volume AS region, count(*) AS n FROM ld JOIN v USING (id) WHERE dated = 1 GROUP BY 1, 2")
+def lives_by_era_and_volume(spark: SparkSession, root: str) -> DataFrame:
+    """Dated lives by era and region of the map, here the volume."""
+    return story.era_regions(_dates(spark, root), _entries(spark, root, "volume").select("id", F.col("volume").alias("region")))
+
+
+@query(_DATES + "SELECT DISTINCT id FROM (SELECT id FROM ld WHERE dated = 1 UNION ALL SELECT id FROM e WHERE entry_type = 'biography' AND contains(left(body_text, 500), '†'))")
 def persons(spark: SparkSession, root: str) -> DataFrame:
     return story.persons(_entries(spark, root, "entry_type", "body_text"), _dates(spark, root))
 

@@ -81,16 +81,20 @@ def test_resolver_branches(spark):
     assert ("algebraische logik", "V1:0001:0002", "comma_inverted") in names and ("ens", "V2:0001:0005", "redirect_alias") in names and ("objektivitat", "V2:0001:0004", "slash_half") in names
 
 
-@pytest.mark.parametrize(
-    ("body", "expected"),
-    [
+LIVES = [
         ("*Altau 1701, †Sandau 1777, Gelehrte", (1701, 0, 1777, 0, "")), ("*428/427 v. Chr., †348/347 v. Chr.", (428, 1, 348, 1, "")), ("*Altau 384 v. Chr., †322", (384, 1, 322, 1, "")), ("*Altau 106 v. Chr., †43", (None,) * 4 + ("no death year after dagger",)), ("*63 v. Chr., †14 n. Chr.", (63, 1, 14, 0, "")), ("Ohne Jahre", (None, None, None, None, "no dagger in head")),
         ("*3. Jan. 1701, †7. Dez. 1777", (1701, 0, 1777, 0, "")), ("(*1701 †1777)", (None,) * 4 + ("dagger inside parentheses",)), ("*1701/1705, †1777", (None,) * 4 + ("birth: alternative wider than one year",)), ("*zwischen 1701, †1777", (None,) * 4 + ("birth: part of a range",)),
         ("Ein kurzer Satz. Dann *1701, †1777", (None,) * 4 + ("sentence ends before dagger",)), ("*1777, †1701", (None,) * 4 + ("birth not before death (era marker missing?)",)), ("*1501, †1777", (None,) * 4 + ("implausible lifespan",)), (None, (None,) * 4 + ("no dagger in head",)),
-    ],
-)
-def test_life_dates(body, expected):
-    assert dates.read(body) == expected
+    ("um 560, †ebendort um 480 v. Chr.", (560, 1, 480, 1, "")), ("1265 oder 1266, †Köln 8. Nov. 1308", (1265, 0, 1308, 0, "")), ("um 1214 oder 1219, †1292", (None,) * 4 + ("birth: alternative wider than one year",)), ("*1701, †zwischen 1747 und 1749", (None,) * 4 + ("death: part of a range",)),
+    ("*1889, †" + "x" * 117 + " 1941 in", (1889, 0, 1941, 0, "")), ("*1701, †" + "x" * 130 + "1777", (None,) * 4 + ("no death year after dagger",)), ("", (None,) * 4 + ("no dagger in head",)), ("x" * 600 + "*1701 †1777", (None,) * 4 + ("no dagger in head",)),
+    ("Prof. Abel, *1701/02/03, †9. 1777.", (None,) * 4 + ("no birth year before dagger",)), ("*1701–1705, †1777", (None,) * 4 + ("birth: part of a range",)),
+]
+
+
+def test_life_dates(spark):
+    frame = spark.createDataFrame([(i, body) for i, (body, _) in enumerate(LIVES)], "i int, body string")
+    got = {r.i: (*(r[c] for c in dates.DATES), r.reason) for r in dates.lives(frame, "body").collect()}
+    assert got == {i: expected for i, (_, expected) in enumerate(LIVES)}
 
 
 def test_life_dates_frame(spark):
