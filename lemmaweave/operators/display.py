@@ -1,128 +1,72 @@
 """Display transforms: line breaks of the print undone, references carried across.
 
-Both need character offsets that follow each change, hence Arrow functions per entry.
+Every break is of a class that the signs on both sides of it tell: a broken word, a
+suspended hyphen, a compound, the end of a sentence, the edge of the text, or none of
+these. Each class is one replacement, so a text is reflowed by a chain of expressions. A
+reference is put between two private signs before, which the replacements let pass; where
+they stand afterwards are its offsets.
 
 Defined results: null stays null, an empty text stays empty; an entry whose references do
-not agree with the stored ones gets null marks, never wrong ones.
+not agree with the stored ones gets null marks, never wrong ones; private signs that a
+text holds itself are dropped where marks are made.
 """
 
 from __future__ import annotations
 
-import re
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lemmaweave.functions import text as T
-from lemmaweave.operators.parse import references
-
-REFLOW = "text string, segments array<struct<origin:int,length:int,start:int>>"
-_BREAK = re.compile(r"[^\S\n]*\n\s*")
-
-
-def reflow(text: str | None, paragraphs: bool = True) -> tuple[str | None, list[tuple[int, int, int]]]:
-    """(text, kept stretches as (origin, length, new start)).
-
-    A break stays a paragraph break only between the end of one sentence and the start of
-    the next; a hyphen at a break is a broken word (dropped), a suspended hyphen (a blank
-    follows) or part of a compound (kept).
-    """
-    if not text:
-        return text, []
-    kept: list[list[int]] = []
-    pieces: list[str] = []
-    size = 0
-    ends = [(m.start(), m.end()) for m in _BREAK.finditer(text)] + [(len(text), len(text))]
-    begin = 0
-    for stop, go in ends:
-        piece = text[begin:stop]
-        if piece:
-            kept.append([begin, len(piece), size])
-            pieces.append(piece)
-            size += len(piece)
-        if stop == len(text):
-            break
-        before, head = "".join(pieces[-4:]), text[go : go + 1]
-        begin = go
-        closing = before.rstrip("»«\"'›‹)]}")
-        if not before or not head:
-            joint = "\n\n"
-        elif before.endswith("-"):
-            word = re.match(r"[^\W\d_]+", text[go:])
-            if head.isupper():
-                joint = ""
-            elif word and word[0] in T.SUSPENDED:
-                joint = " "
-            else:
-                joint = ""
-                pieces[-1] = pieces[-1][:-1]
-                kept[-1][1] -= 1
-                size -= 1
-        elif paragraphs and closing and closing[-1] in ".!?:;" and (head.isupper() or head.isdigit() or head in "(["):
-            joint = "\n\n"
-        else:
-            joint = " "
-        if joint:
-            pieces.append(joint)
-            size += len(joint)
-    return "".join(pieces), [(a, b, c) for a, b, c in kept]
-
-
-def moved(segments: list[tuple[int, int, int]], offset: int) -> int | None:
-    """Where an offset of the old text is in the new one."""
-    for origin, length, start in segments:
-        if origin <= offset <= origin + length:
-            return start + offset - origin
-    return None
-
-
-def reflowed(column: Column, paragraphs: bool = True) -> Column:
-    @F.pandas_udf(REFLOW)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = [reflow(t, paragraphs) for t in texts]
-        return pd.DataFrame({"text": [t for t, _ in rows], "segments": [[{"origin": a, "length": b, "start": c} for a, b, c in s] for _, s in rows]})
-
-    return run(column)
-
-
-def _key(word: str) -> str:
-    table = str.maketrans(T.FOLDED_FROM + "()", T.FOLDED_TO + "  ")
-    return " ".join(word.translate(table).replace("ß", "ss").split()).casefold()
-
-
-def marks(text: str | None, stored: list[str], arrow: str = "↑") -> list[list[int]] | None:
-    """[start, end, number] of each reference in the reflowed text, or None.
-
-    The references found in the text must be the beginning of the stored list.
-    """
-    found = references(text, arrow)
-    if not text or len(found) > len(stored) or any(_key(w) != _key(stored[i]) for i, (w, *_) in enumerate(found)):
-        return None
-    _, segments = reflow(text)
-    out = []
-    for i, (_, _, start, end) in enumerate(found):
-        a, b = moved(segments, start), moved(segments, end)
-        if a is None or b is None or b <= a:
-            return None
-        out.append([a, b, i])
-    return out
+from lemmaweave.operators.parse import WORD, reference_words
+from lemmaweave.operators.skew import join_nullable
+
+#: Private signs: around a reference, and for a paragraph break that is decided.
+OPEN, CLOSE, PARAGRAPH = "\ue000", "\ue001", "\ue002"
+_SIGNS = f"([{OPEN}{CLOSE}]*)"
+BREAK = rf"{_SIGNS}[^\S\n]*\n\s*{_SIGNS}"
+# (pattern, replacement) of each class, the first that fits decides.
+HYPHENS = [
+    (rf"(?U)-{BREAK}(?=\p{{Lu}})", "-$1$2"),
+    (rf"(?U)-{BREAK}(?=(?:{'|'.join(T.SUSPENDED)})(?!\p{{L}}))", "-$1 $2"),
+    (rf"(?U)-{BREAK}(?=\S)", "$1$2"),
+]
+EDGES = [(rf"(?U)\A{BREAK}", f"$1{PARAGRAPH}$2"), (rf"(?U){BREAK}\z", f"$1{PARAGRAPH}$2")]
+SENTENCES = (rf"(?U)([.!?:;][»«\"'›‹)\]}}{OPEN}{CLOSE}]*)[^\S\n]*\n\s*{_SIGNS}(?=[\p{{Lu}}\p{{Nd}}(\[])", f"$1{PARAGRAPH}$2")
+OTHERS = (rf"(?U){BREAK}", "$1 $2")
+
+
+def reflowed(text: Column, paragraphs: bool = True) -> Column:
+    """A text without the line breaks of the print; with ``paragraphs`` a break stays one
+    between the end of one sentence and the start of the next."""
+    for pattern, to in [*EDGES, *HYPHENS, *([SENTENCES] if paragraphs else []), OTHERS]:
+        text = F.regexp_replace(text, pattern, to)
+    return F.replace(text, F.lit(PARAGRAPH), F.lit("\n\n"))
+
+
+def with_marks(frame: DataFrame, text: str, stored: str, arrow: str = "↑") -> DataFrame:
+    """Adds ``body``, the reflowed ``text``, and ``marks``: [start, end, number] of each of
+    its references there, null if they are not the beginning of the ``stored`` words."""
+    plain = F.translate(text, OPEN + CLOSE + PARAGRAPH, "")
+    signed = F.regexp_replace(plain, f"({arrow}›?{WORD})", f"{OPEN}$1{CLOSE}")
+    said, known = F.transform("_found", lambda w: T.key(w)), F.transform(F.slice(F.col(stored), F.lit(1), F.greatest(F.size("_found"), F.lit(0))), lambda w: T.key(w))
+    # Between the signs lie text and references by turns; lengths add up to offsets.
+    steps = lambda done, part: F.array_append(done, F.element_at(done, -1) + F.length(part))
+    frame = frame.withColumns({"_found": reference_words(plain, arrow), "_parts": F.split(reflowed(signed), f"[{OPEN}{CLOSE}]", -1)})
+    frame = frame.withColumn("_at", F.aggregate("_parts", F.array(F.lit(0)), steps))
+    numbers = F.when(F.size("_found") > 0, F.sequence(F.lit(0), F.size("_found") - 1)).otherwise(F.array().cast("array<int>"))
+    made = F.transform(numbers, lambda k: F.array(F.get("_at", 2 * k + 1), F.get("_at", 2 * k + 2), k))
+    agree = (F.length(text) > 0) & F.col(stored).isNotNull() & (said == known)
+    frame = frame.withColumns({"marks": F.when(agree, made), "body": F.when(F.col(text).isNotNull(), F.array_join("_parts", ""))})
+    return frame.drop("_found", "_parts", "_at")
 
 
 def payloads(entries: DataFrame, resolved: DataFrame, nodes: DataFrame) -> DataFrame:
     """Per entry on the map: reflowed text, reference list and marks."""
 
-    @F.pandas_udf("array<array<int>>")
-    def mark(texts: pd.Series, stored: pd.Series) -> pd.Series:
-        def one(t: Any, s: Any) -> Any:
-            return marks(t, list(s)) if t is not None and s is not None else None
-
-        return pd.Series([one(t, s) for t, s in zip(texts, stored, strict=True)], dtype=object)
-
     on_map = nodes.select(F.col("id").alias("resolved_entry_id"), F.lit(True).alias("on_map"))
-    listed = resolved.select("entry_id", "ordinal", "raw_target", "status", "resolved_entry_id").join(on_map, "resolved_entry_id", "left")
+    listed = resolved.select("entry_id", "ordinal", "raw_target", "status", "resolved_entry_id")
+    listed = join_nullable(listed, on_map, "resolved_entry_id")
     refs = listed.groupBy(F.col("entry_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("ordinal", "raw_target", "status", F.when(F.col("on_map"), F.col("resolved_entry_id")).alias("node")))).alias("refs"))
     joined = entries.select("id", "headword", "volume", "entry_type", "author_sigil", "printed_page_start", "body_text", (F.col("werke_raw").isNotNull() | F.col("literatur_raw").isNotNull()).alias("has_bib")).join(refs, "id", "left")
     words = F.transform("refs", lambda r: r["raw_target"])
-    return joined.withColumn("marks", mark(F.col("body_text"), words)).withColumn("body", reflowed(F.col("body_text"))["text"]).drop("body_text")
+    return with_marks(joined.withColumn("_words", words), "body_text", "_words").drop("_words", "body_text")

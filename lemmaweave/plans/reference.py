@@ -157,7 +157,25 @@ def escaped_texts(spark: SparkSession, root: str) -> DataFrame:
 # --- parsing --------------------------------------------------------------------------
 
 
-@query()
+_T = parse.TARGET
+_SUSPENDED = ", ".join(f"'{w}'" for w in T.SUSPENDED)
+
+
+def _references_sql(text: str) -> str:
+    """List of (w, c) of the references of a text: each stretch between arrows is read alone."""
+    whole = f"{_T}+(?:[/,]{_T}+)?"
+    first, more = f"regexp_extract(p, '^({whole})', 1)", f"regexp_extract(p, '^{whole}{S.WS}+({whole})', 1)"
+    joined = f"suffix({first}, '-') AND regexp_matches({more}, '^\\p{{Ll}}') AND regexp_extract({more}, '^({_T}+)', 1) NOT IN ({_SUSPENDED})"
+    word = f"CASE WHEN {joined} THEN left({first}, length({first}) - 1) || {more} ELSE {first} END"
+    rest = f"CASE WHEN {joined} THEN regexp_extract(p, '^{whole}{S.WS}+{whole}({parse.REST})', 1) ELSE regexp_extract(p, '^{whole}({parse.REST})', 1) END"
+    pieces = f"list_filter(regexp_extract_all({text}, '↑›?([^↑]*)', 1), lambda p: {first} <> '')"
+    return f"list_transform({pieces}, lambda p: {{'w': {word}, 'c': {S.strip(f'({word}) || ({rest})')}}})"
+
+
+@query(
+    f"WITH {S.ENTRIES}, l AS (SELECT id, {_references_sql('body_text')} AS refs FROM e WHERE body_text IS NOT NULL) "
+    "SELECT id AS entry_id, i - 1 AS ordinal, refs[i].w AS raw_target, refs[i].c AS raw_context FROM (SELECT *, unnest(range(1, len(refs) + 1)) AS i FROM l)"
+)
 def references_in_texts(spark: SparkSession, root: str) -> DataFrame:
     return parse.text_references(_entries(spark, root, "body_text"))
 
@@ -578,11 +596,19 @@ def article_menu(spark: SparkSession, root: str) -> DataFrame:
 
 # --- display --------------------------------------------------------------------------
 
+# The next sign is taken into the match and put back, since this engine looks not ahead.
+_LINE = S.WS.replace("\\s", "\\t\\r\\x{0C} ") + "*\\n" + S.WS + "*"
+_FLOW = [
+    (f"^{_LINE}", "¶"), (f"{_LINE}$", "¶"), (f"-{_LINE}(\\p{{Lu}})", "-\\1"), (f"-{_LINE}({'|'.join(T.SUSPENDED)})([^\\p{{L}}]|$)", "- \\1\\2"), (f"-{_LINE}({S.NOT_WS})", "\\1"),
+    (f"([.!?:;][»«\"''›‹)\\]}}]*){_LINE}([\\p{{Lu}}\\p{{Nd}}(\\[])", "\\1¶\\2"), (_LINE, " "),
+]
+_REFLOW = reduce(lambda x, p: f"regexp_replace({x}, '{p[0]}', '{p[1]}', 'g')", _FLOW, "replace(body_text, '¶', chr(57346))")
 
-@query()
+
+@query(f"WITH {S.ENTRIES} SELECT id, replace(replace({_REFLOW}, '¶', chr(10) || chr(10)), chr(57346), '¶') AS text FROM e")
 def reflowed_texts(spark: SparkSession, root: str) -> DataFrame:
     rows = _entries(spark, root, "body_text")
-    return rows.select("id", display.reflowed(F.col("body_text"))["text"].alias("text"))
+    return rows.select("id", display.reflowed(F.col("body_text")).alias("text"))
 
 
 @query()

@@ -131,12 +131,16 @@ def test_parser(spark):
     assert got["ens"].entry_type == "redirect" and len(got) == 3
 
 
-def test_reflow_and_marks():
-    text, segments = display.reflow("Der Mensch ver-\nlangt nach\nSinn. Leib-\nSeele, Vor-\nund Nachteil.\nNeu hier ↑Logik.")
-    assert text == "Der Mensch verlangt nach Sinn. Leib-Seele, Vor- und Nachteil.\n\nNeu hier ↑Logik."
-    assert all(text[c : c + b] == "Der Mensch ver-\nlangt nach\nSinn. Leib-\nSeele, Vor-\nund Nachteil.\nNeu hier ↑Logik."[a : a + b] for a, b, c in segments)
-    assert display.marks("Neu\nhier ↑Logik.", ["Logik", "x"]) == [[9, 15, 0]]
-    assert display.marks("Neu ↑Logik.", ["Ethik"]) is None and display.reflow(None) == (None, []) and display.reflow("") == ("", [])
+def test_reflow_and_marks(spark):
+    source = "Der Mensch ver-\nlangt nach\nSinn. Leib-\nSeele, Vor-\nund Nachteil.\nNeu hier ↑Logik."
+    cases = [(source, ["Logik"]), ("Neu\nhier ↑Logik.", ["Logik", "x"]), ("Neu ↑Logik.", ["Ethik"]), (None, ["x"]), ("", ["x"]), ("Siehe ↑Philo-\nsophie und ↑Vor-\nund ↑Ende-\n", ["Philosophie", "Vor-", "Ende-"]), ("Ein „Wort.“\n(Neu)\n\nund so", [])]
+    frame = spark.createDataFrame([(i, t, w) for i, (t, w) in enumerate(cases)], "i int, t string, w array<string>")
+    got = {r.i: (r.body, r.marks) for r in display.with_marks(frame, "t", "w").collect()}
+    assert got[0][0] == "Der Mensch verlangt nach Sinn. Leib-Seele, Vor- und Nachteil.\n\nNeu hier ↑Logik." and got[0][0][got[0][1][0][0] : got[0][1][0][1]] == "↑Logik"
+    assert got[1] == ("Neu hier ↑Logik.", [[9, 15, 0]]) and got[2] == ("Neu ↑Logik.", None) and got[3] == (None, None) and got[4] == ("", None)
+    body, marks = got[5]
+    assert body == "Siehe ↑Philosophie und ↑Vor- und ↑Ende-\n\n" and [body[a:b] for a, b, _ in marks] == ["↑Philosophie", "↑Vor-", "↑Ende-"]
+    assert got[6] == ("Ein „Wort.“ (Neu) und so", [])
 
 
 def test_graph_against_brute_force(spark):
