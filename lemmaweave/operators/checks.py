@@ -68,13 +68,15 @@ def unpaired(references: DataFrame, resolved: DataFrame) -> DataFrame:
     return _named("reference not resolved", a.join(b, keys, "left_anti")).unionByName(_named("resolution without reference", b.join(a, keys, "left_anti")))
 
 
-def recomputed_degrees(edges: DataFrame, degrees: DataFrame) -> DataFrame:
-    """Nodes whose stored in-degree is not the sum of their edges."""
-    sums = edges.groupBy(F.col("target").alias("id")).agg(F.sum("weight").alias("_s"))
-    return _named("in-degree differs", degrees.join(sums, "id", "left").where(F.coalesce("_s", F.lit(0)) != F.col("in_degree")))
+def recomputed(stored: DataFrame, again: DataFrame) -> DataFrame:
+    """Stored resolutions by status, and how many of them resolving ``again`` does not give."""
+    keys = ["entry_id", "ordinal"]
+    rows = stored.select(*keys, "status", "resolved_entry_id").distinct().join(again.select(*keys, F.col("status").alias("_s"), F.col("resolved_entry_id").alias("_r")), keys)
+    differs = (F.col("status") != F.col("_s")) | ~F.col("resolved_entry_id").eqNullSafe(F.col("_r"))
+    return rows.groupBy(F.concat(F.lit("stored "), "status").alias("check")).agg(F.count_if(differs).alias("violations"))
 
 
 def not_idempotent(texts: DataFrame, column: str) -> DataFrame:
     """Texts that cleaning once more would change."""
-    once = texts.where(F.col(column).isNotNull()).select(T.tidy(column).alias("_a"))
-    return _named("cleaning not idempotent", once.where(F.col("_a") != T.tidy("_a")))
+    once = texts.where(F.col(column).isNotNull()).select(T.clean(column).alias("_a"))
+    return _named("cleaning not idempotent", once.where(F.col("_a") != T.clean("_a")))

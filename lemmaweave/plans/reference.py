@@ -128,13 +128,15 @@ def plain_markup(spark: SparkSession, root: str) -> DataFrame:
     return _entries(spark, root, "body_text", "werke_raw", "literatur_raw").select("id", F.regexp_replace(bold, r"[ \t]+", " ").alias("text"), signs.cast("long").alias("unreadable"))
 
 
-@query()
+@query(
+    f"WITH {S.ENTRIES} SELECT id, {S.clean('headword')} AS headword_clean, {S.clean('body_text')} AS body_clean, {S.clean('werke_raw')} AS werke_clean, {S.clean('literatur_raw')} AS literatur_clean, {S.key('(' + S.clean('headword') + ')')} AS lemma_key FROM e"
+)
 def cleaned_entries(spark: SparkSession, root: str) -> DataFrame:
     rows = _entries(spark, root, "body_text", "werke_raw", "literatur_raw")
     return rows.select("id", T.clean("headword").alias("headword_clean"), *[T.clean(c).alias(n) for c, n in (("body_text", "body_clean"), ("werke_raw", "werke_clean"), ("literatur_raw", "literatur_clean"))], T.key(T.clean("headword")).alias("lemma_key"))
 
 
-@query()
+@query(f"WITH {S.ENTRIES} SELECT id, {S.healed('body_text')} AS text FROM e")
 def healed_hyphens(spark: SparkSession, root: str) -> DataFrame:
     return _entries(spark, root, "body_text").select("id", T.heal_hyphens("body_text").alias("text"))
 
@@ -611,7 +613,11 @@ def reflowed_texts(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("id", display.reflowed(F.col("body_text")).alias("text"))
 
 
-@query()
+@query(
+    f"""{S.GRAPH}, rf AS (SELECT entry_id AS id, list(raw_target ORDER BY ordinal, raw_target, status) AS ws, count(*) AS n FROM r GROUP BY 1), fd AS (SELECT id, body_text, list_transform({_references_sql('body_text')}, lambda x: x.w) AS found FROM e),
+mk AS (SELECT fd.id, found, coalesce(length(body_text) > 0 AND n IS NOT NULL AND list_transform(found, lambda w: {S.key('w')}) = list_transform(ws[1:len(found)], lambda w: {S.key('w')}), false) AS ok, n FROM fd LEFT JOIN rf USING (id))
+SELECT e.id, headword, volume, entry_type, werke_raw IS NOT NULL OR literatur_raw IS NOT NULL AS has_bib, replace(replace({_REFLOW}, '¶', chr(10) || chr(10)), chr(57346), '¶') AS body, coalesce(n, 0)::INT AS n_refs, CASE WHEN ok THEN len(found) ELSE 0 END::INT AS n_marks, NOT ok AS plain FROM e JOIN mk USING (id)"""
+)
 def entry_payloads(spark: SparkSession, root: str) -> DataFrame:
     entries = _entries(spark, root, "volume", "ordinal", "entry_type", "author_sigil", "printed_page_start", "body_text", "werke_raw", "literatur_raw")
     out = display.payloads(entries, _resolved(spark, root), graph.nodes(entries))
@@ -795,15 +801,17 @@ def pairing_checks(spark: SparkSession, root: str) -> DataFrame:
     return checks.unpaired(table(spark, root, "cross_references"), table(spark, root, "resolved_cross_references"))
 
 
-@query("SELECT 'in-degree differs' AS \"check\", 0::BIGINT AS violations")
-def degree_check(spark: SparkSession, root: str) -> DataFrame:
-    nodes, edges = (cut(f, spark) for f in _graph(spark, root))
-    return checks.recomputed_degrees(edges, graph.degrees(edges, nodes))
+@query(
+    _RESOLVE + "SELECT 'stored ' || r.status AS \"check\", count(*) FILTER (r.status <> d.status OR r.resolved_entry_id IS DISTINCT FROM d.resolved_entry_id) AS violations FROM (SELECT DISTINCT entry_id, ordinal, status, resolved_entry_id FROM resolved_cross_references) r JOIN done d USING (entry_id, ordinal) GROUP BY r.status"
+)
+def recompute_check(spark: SparkSession, root: str) -> DataFrame:
+    """Stored resolutions that resolving again does not give, by stored status."""
+    return checks.recomputed(_resolved(spark, root), _run(spark, root)[0])
 
 
-@query("SELECT 'cleaning not idempotent' AS \"check\", 0::BIGINT AS violations")
+@query(f"WITH {S.ENTRIES}, c AS (SELECT {S.clean('body_text')} AS t FROM e) SELECT 'cleaning not idempotent' AS \"check\", count(*) FILTER ({S.clean('t')} <> t) AS violations FROM c")
 def idempotence_check(spark: SparkSession, root: str) -> DataFrame:
-    return checks.not_idempotent(_entries(spark, root, "headword"), "headword")
+    return checks.not_idempotent(_entries(spark, root, "body_text"), "body_text")
 
 
 # --- streaming ------------------------------------------------------------------------

@@ -48,6 +48,43 @@ def count_sign(x: str) -> str:
     return f"coalesce(length({x}) - length(replace({x}, '�', '')), 0)"
 
 
+def composed(x: str) -> str:
+    """Letters composed with a spacing accent behind them."""
+    steps = x
+    for sign, mark in T.MARKS.items():
+        for form in (f"<sup>{sign}</sup>", sign):
+            steps = f"regexp_replace(regexp_replace({steps}, 'ı{form}', 'i{mark}', 'g'), '(\\p{{L}}){form}', '\\1{mark}', 'g')"
+    return f"CASE WHEN regexp_matches({x}, '[{''.join(T.MARKS)}]') THEN nfc_normalize({steps}) ELSE {x} END"
+
+
+def without_italics(x: str) -> str:
+    """Single underscores taken out of lines that hold an even number of them."""
+    runs = "regexp_extract_all(z, '_+|[^_]+')"
+    line = f"CASE WHEN len(list_filter({runs}, lambda q: q = '_')) % 2 = 0 THEN array_to_string(list_transform({runs}, lambda q: CASE WHEN q = '_' THEN '\ue003' ELSE q END), '') ELSE z END"
+    paired = f"replace(regexp_replace({line}, '\ue003([^\ue003]{{1,200}})\ue003', '\\1', 'g'), '\ue003', '_')"
+    return f"array_to_string(list_transform(string_split({x}, chr(10)), lambda z: {paired}), chr(10))"
+
+
+def tidy(x: str) -> str:
+    out = f"regexp_replace(regexp_replace({x}, '(?s)<sup>(.*?)</sup>', '^\\1', 'g'), '(?s)\\*\\*(.+?)\\*\\*', '\\1', 'g')"
+    out = f"regexp_replace({without_italics(out)}, '\\*{{1,2}}', '', 'g')"
+    out = f"regexp_replace(regexp_replace({out}, '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    blank = WS.replace("\\s", "\\t\\r\\x{0C} ") + "*"
+    return strip(f"regexp_replace({out}, '{blank}\\n{blank}', chr(10), 'g')")
+
+
+def clean(x: str) -> str:
+    joined = f"regexp_replace(regexp_replace({composed(x)}, '↦{WS}*→', '↦', 'g'), '⇋{WS}*⇋', '⇋', 'g')"
+    moved = f"regexp_replace(regexp_replace({joined}, '^̸{WS}*({NOT_WS})', '\\1̸'), '({WS})̸{WS}*({NOT_WS})', '\\1\\2̸', 'g')"
+    return tidy(moved)
+
+
+def healed(x: str) -> str:
+    """Broken words joined; suspended hyphens are kept by a sign of their own meanwhile."""
+    kept = f"regexp_replace({x}, '(\\p{{L}})-({WS}+)({'|'.join(T.SUSPENDED)})([^\\p{{L}}\\p{{N}}_]|$)', '\\1\ue004\\2\\3\\4', 'g')"
+    return f"replace(regexp_replace(replace({kept}, '\ue004-', '\ue004'), '(\\p{{L}})-{WS}+(\\p{{Ll}})', '\\1\\2', 'g'), '\ue004', '-')"
+
+
 #: Current entries: the latest delivery of each id.
 ENTRIES = """e AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id
   ORDER BY coalesce(loaded_at, TIMESTAMP '1970-01-01') DESC, coalesce(headword, '') DESC) AS rn FROM entries) WHERE rn = 1)"""
