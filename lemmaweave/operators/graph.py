@@ -1,7 +1,7 @@
 """The citation graph: nodes, weighted edges, degrees, communities, layout, centrality.
 
-Edges are frames (source, target, weight). Iterative algorithms (components, label
-propagation) are DataFrame loops whose state is checkpointed each round, with messages
+Edges are frames (source, target, weight). Iterative algorithms (components,
+communities) are DataFrame loops whose state is checkpointed each round, with messages
 combined map-side, so a hub's neighbours are never gathered in one task. Betweenness
 spreads its sources over the cluster, each task holding the whole edge list as arrays; it
 and the force layout are for graphs of display size and check that before they collect.
@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lemmaweave.sources import cut
+from lemmaweave.operators.skew import heavy_values, join_by_value, sized
+from lemmaweave.sources import cut, stored
 
 RESOLVED = ["same_volume", "cross_volume", "deinflected", "slash_half"]
 #: Edges that betweenness and layout may hold in one process (about 100 MB of arrays).
@@ -75,43 +76,102 @@ def radii(in_degrees: DataFrame, least: float = 1.6, most: float = 11.0) -> Data
     return in_degrees.crossJoin(F.broadcast(top)).withColumn("radius", F.lit(least) + (most - least) * F.sqrt(F.col("in_degree") / F.col("_top"))).drop("_top")
 
 
+def _ends(pairs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """((a, b, weight) in both directions, (a) of the hubs), materialised."""
+    both = stored(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight")), spark)
+    return both, stored(heavy_values(both.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "a", "n"), spark)
+
+
+def _told(both: DataFrame, labels: DataFrame, hubs_: DataFrame, small: bool) -> DataFrame:
+    """``both`` with what ``labels`` (id, ...) say of the end ``a``; hubs meet by broadcast."""
+    said = labels.withColumnRenamed("id", "a")
+    return both.join(F.broadcast(said), "a") if small else join_by_value(both, said, "a", hubs_)
+
+
 def components(edges_: DataFrame, nodes_: DataFrame, spark: SparkSession, rounds: int = 64) -> DataFrame:
     """(id, component): the least id that each node is connected with.
 
     Labels spread along edges and are then shortened by pointer jumping (a label takes
-    its own label), so the rounds grow with the logarithm of the longest path.
+    its own label), so the rounds grow with the logarithm of the longest path. The label
+    of a giant component is that of nearly all nodes: pointers are jumped once per
+    distinct label, and go back to the nodes by broadcast where a label is heavy.
     """
-    both = undirected(edges_).select("a", "b")
-    both = cut(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), spark)
-    labels = cut(nodes_.select("id", F.col("id").alias("component")), spark)
+    both, hubs_ = _ends(undirected(edges_), spark)
+    labels = stored(nodes_.select("id", F.col("id").alias("component")), spark)
+    small = labels.count() <= 100_000
     for _ in range(rounds):
-        said = both.join(labels, both["a"] == labels["id"]).groupBy(F.col("b").alias("id")).agg(F.min("component").alias("_m"))
-        spread = labels.join(said, "id", "left").select("id", F.least("component", F.coalesce("_m", "component")).alias("component"))
-        own = spread.select(F.col("id").alias("component"), F.col("component").alias("_j"))
-        after = cut(spread.join(own, "component", "left").select("id", F.least("component", F.coalesce("_j", "component")).alias("component")), spark)
-        changed = after.join(labels.withColumnRenamed("component", "_old"), "id").where("component <> _old").limit(1).count()
-        labels = after
+        said = _told(both, labels, hubs_, small).groupBy(F.col("b").alias("id")).agg(F.min("component").alias("_m"))
+        spread_ = stored(labels.join(said, "id", "left").select("id", F.col("component").alias("_old"), F.least("component", F.coalesce("_m", "component")).alias("component")), spark)
+        counts = spread_.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
+        own = spread_.select(F.col("id").alias("component"), F.col("component").alias("_j"))
+        jump = counts.select("component").join(own, "component").where("_j < component")
+        after = join_by_value(spread_, jump, "component", heavy_values(counts, "component", "_n"), "left")
+        after = stored(after.select("id", "_old", F.coalesce("_j", "component").alias("component")), spark)
+        changed = after.where("component <> _old").limit(1).count()
+        labels = after.drop("_old")
         if not changed:
             break
     return labels
 
 
-def label_propagation(edges_: DataFrame, nodes_: DataFrame, spark: SparkSession, rounds: int = 12) -> DataFrame:
-    """(id, label): communities at any scale, by weighted majority of the neighbours.
+def communities(edges_: DataFrame, nodes_: DataFrame, spark: SparkSession, resolution: float = 2.0, rounds: int = 6, levels: int = 5) -> DataFrame:
+    """(id, label): communities of high modularity at ``resolution``, each connected.
 
-    Deterministic: ties go to the smaller label; every other round only half of the nodes
-    (by hash) may move, which stops labels from swapping for ever.
+    Local moving and aggregation (Louvain), in rounds over frames: every node sees the
+    weight it has to each community beside it and moves to the one with most gain. Half of
+    the nodes move in a round, and of two that stand alone only the one with the larger
+    label, so no pair swaps for ever; a level ends when fewer than one node in fifty
+    moves. Communities become nodes of the next level until none moves. At the end each
+    is split into its connected parts, as Leiden's refinement promises. Ties go to the
+    smaller label, so the result is the same for every partitioning.
     """
-    both = undirected(edges_)
-    both = cut(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight")), spark)
-    labels = cut(nodes_.select("id", F.col("id").alias("label")), spark)
-    for turn in range(rounds):
-        votes = both.join(labels, both["a"] == labels["id"]).groupBy(F.col("b").alias("id"), "label").agg(F.sum("weight").alias("w"))
-        best = votes.groupBy("id").agg(F.min(F.struct((-F.col("w")).alias("w"), F.col("label"))).alias("v")).select("id", F.col("v.label").alias("_new"))
-        mover = F.lit(True) if turn == 0 else F.pmod(F.xxhash64("id"), F.lit(2)) == turn % 2
-        after = cut(labels.join(best, "id", "left").select("id", F.when(mover, F.coalesce("_new", "label")).otherwise(F.col("label")).alias("label")), spark)
-        labels = after
-    return labels
+    pairs = stored(undirected(edges_), spark)
+    total = 2.0 * (pairs.agg(F.sum("weight").alias("m")).first()["m"] or 0)
+    member = stored(nodes_.select("id", F.col("id").alias("label")), spark)
+    if not total:
+        return member
+    level = pairs.select("a", "b", F.col("weight").cast("double").alias("weight"))
+    for _ in range(levels):
+        both, hubs_ = _ends(level, spark)
+        sizes = stored(both.groupBy(F.col("a").alias("id")).agg(F.sum("weight").alias("_w")), spark)
+        if _ == 0:
+            degree = sizes.withColumnRenamed("_w", "k")
+        labels, moved_any = stored(degree.select("id", "k", F.col("id").alias("label")), spark), False
+        n = labels.count()
+        small, calm = n <= 100_000, 0
+        for turn in range(rounds):
+            groups = labels.groupBy("label").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))
+            known = labels.join(F.broadcast(groups) if small else groups, "label").select("id", "label", "k", "tot", "size")
+            heard = _told(both, known, hubs_, small).groupBy(F.col("b").alias("id"), "label").agg(F.sum("weight").alias("w"), F.first("tot").alias("tot"), F.first("size").alias("size"))
+            mine = known.select("id", F.col("label").alias("own"), F.col("k").alias("own_k"), F.col("tot").alias("own_tot"), F.col("size").alias("own_size"))
+            met = heard.join(F.broadcast(mine) if small else mine, "id")
+            here = F.col("label") == F.col("own")
+            gain = F.round(F.col("w") - resolution * F.col("own_k") * (F.col("tot") - F.when(here, F.col("own_k")).otherwise(0.0)) / total, 9)
+            # Ties go to the smaller label.
+            option = F.struct((-gain).alias("g"), "label", "size")
+            lone = F.round(-resolution * F.col("own_k") * (F.col("own_tot") - F.col("own_k")) / total, 9)
+            best = met.groupBy("id").agg(F.min(F.when(~here, option)).alias("to"), F.coalesce(F.max(F.when(here, gain)), F.first(lone)).alias("stay"), F.first("own").alias("own"), F.first("own_size").alias("own_size"))
+            alone = (F.col("own_size") == 1) & (F.col("to.size") == 1)
+            mover = F.pmod(F.xxhash64("id", F.lit(turn // 2)), F.lit(2)) == turn % 2
+            goes = best.where(mover & (-F.col("to.g") > F.col("stay")) & (~alone | (F.col("to.label") < F.col("own")))).select("id", F.col("to.label").alias("_to"))
+            after = stored(labels.join(goes, "id", "left").select("id", "k", F.coalesce("_to", "label").alias("label"), F.col("_to").isNotNull().alias("_go")), spark)
+            moved = after.where("_go").count()
+            moved_any |= moved > 0
+            labels, calm = after.drop("_go"), calm + 1 if moved * 50 <= n else 0
+            if calm >= 2:
+                break
+        if not moved_any:
+            break
+        to = stored(labels.select(F.col("id").alias("label"), F.col("label").alias("_to")), spark)
+        to = F.broadcast(to) if small else to
+        member = stored(member.join(to, "label", "left").select("id", F.coalesce("_to", "label").alias("label")), spark)
+        a, b = to.select(F.col("label").alias("a"), F.col("_to").alias("_a")), to.select(F.col("label").alias("b"), F.col("_to").alias("_b"))
+        level = level.join(F.broadcast(a) if small else a, "a").join(F.broadcast(b) if small else b, "b").where("_a <> _b")
+        level = stored(level.groupBy(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).agg(F.sum("weight").alias("weight")), spark)
+        degree = stored(labels.groupBy(F.col("label").alias("id")).agg(F.sum("k").alias("k")), spark)
+    inner = pairs.join(sized(member.select(F.col("id").alias("a"), F.col("label").alias("_a"))), "a").join(sized(member.select(F.col("id").alias("b"), F.col("label").alias("_b"))), "b").where("_a = _b")
+    parts = components(inner.select(F.col("a").alias("source"), F.col("b").alias("target"), "weight"), member.select("id"), spark)
+    return parts.select("id", F.col("component").alias("label"))
 
 
 def ranked_communities(labels: DataFrame, least: int = 12) -> DataFrame:

@@ -12,7 +12,7 @@ from lemmaweave.functions import text as T
 from lemmaweave.operators import checks, dates, display, graph, layout, lemmas, parse, resolve, search, story, votes
 from lemmaweave.operators import dates as D
 from lemmaweave.plans import sql as S
-from lemmaweave.sources import cut, shared_folder, sinks, table
+from lemmaweave.sources import cut, shared_folder, sinks, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +54,23 @@ def _graph(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return nodes, graph.edges(_resolved(spark, root), nodes)
 
 
+_MADE: dict[tuple[object, ...], DataFrame] = {}
+
+
+def _once(spark: SparkSession, root: str, name: str, tables: list[str], make: Callable[[], DataFrame]) -> DataFrame:
+    """What several queries read, made once per session and state of its tables."""
+    assert spark._jvm is not None
+    state = []
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{t}.parquet")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        state += [files.getFileStatus(path).getModificationTime(), files.getContentSummary(path).getLength()]
+    key = (spark.sparkContext.applicationId, root, name, *state)
+    if key not in _MADE:
+        _MADE[key] = stored(make(), spark)
+    return _MADE[key]
+
+
 # --- the documented questions ---------------------------------------------------------
 
 
@@ -257,7 +274,8 @@ done AS (SELECT f.entry_id, f.ordinal, f.raw_target, f.status, coalesce(w.at1, f
 
 def _run(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     entries = table(spark, root, "entries", "id", "headword", "volume", "entry_type", "loaded_at")
-    resolved = cut(resolve.run(entries, table(spark, root, "cross_references", "entry_id", "ordinal", "raw_target", "raw_context", "loaded_at")), spark)
+    references = table(spark, root, "cross_references", "entry_id", "ordinal", "raw_target", "raw_context", "loaded_at")
+    resolved = _once(spark, root, "resolved", ["entries", "cross_references"], lambda: resolve.run(entries, references))
     return resolved, resolve.index(resolve.latest(entries))
 
 
@@ -431,17 +449,64 @@ def graph_components(spark: SparkSession, root: str) -> DataFrame:
     return graph.components(cut(edges, spark), cut(nodes, spark), spark)
 
 
+def _communities(spark: SparkSession, root: str) -> DataFrame:
+    """(id, community) of all nodes."""
+
+    def make() -> DataFrame:
+        nodes, edges = (stored(f, spark) for f in _graph(spark, root))
+        return graph.ranked_communities(graph.communities(edges, nodes, spark))
+
+    return _once(spark, root, "communities", ["entries", "resolved_cross_references"], make)
+
+
 @query()
 def graph_communities(spark: SparkSession, root: str) -> DataFrame:
-    nodes, edges = _graph(spark, root)
-    return graph.ranked_communities(graph.label_propagation(cut(edges, spark), cut(nodes, spark), spark))
+    return _communities(spark, root)
 
 
 @query()
 def graph_community_names(spark: SparkSession, root: str) -> DataFrame:
     nodes, edges = (cut(f, spark) for f in _graph(spark, root))
-    communities = cut(graph.ranked_communities(graph.label_propagation(edges, nodes, spark)), spark)
-    return graph.described(communities, nodes, graph.degrees(edges, nodes)).withColumn("color", T.palette_color("community"))
+    return graph.described(_communities(spark, root), nodes, graph.degrees(edges, nodes)).withColumn("color", T.palette_color("community"))
+
+
+@query()
+def community_matrix(spark: SparkSession, root: str) -> DataFrame:
+    """Weights between communities; what has none comes in the buckets in, out, internal."""
+    return story.group_matrix(_graph(spark, root)[1], _communities(spark, root), "community")
+
+
+@query(f"{S.GRAPH} SELECT (SELECT count(*) FROM n) AS n_nodes, (SELECT sum(weight) FROM g)::BIGINT AS weight, (SELECT sum(weight) FROM g)::BIGINT AS matrix_weight")
+def community_conservation(spark: SparkSession, root: str) -> DataFrame:
+    """Nodes with a community and the weight of edges and of the matrix: nothing is lost."""
+    one = lambda frame, value, name: frame.agg(value.alias(name))
+    counted = one(_communities(spark, root), F.countDistinct("id"), "n_nodes")
+    return counted.crossJoin(one(_graph(spark, root)[1], F.sum("weight"), "weight")).crossJoin(one(community_matrix(spark, root), F.sum("weight"), "matrix_weight"))
+
+
+@query()
+def volume_communities(spark: SparkSession, root: str) -> DataFrame:
+    """(volume, community, n, row_share): how the communities lie over the volumes."""
+    joined = _nodes(spark, root).select("id", "volume").join(_communities(spark, root), "id")
+    return story.contingency(joined.where("community >= 0"), "volume", "community")
+
+
+@query()
+def volume_community_association(spark: SparkSession, root: str) -> DataFrame:
+    joined = _nodes(spark, root).select("id", "volume").join(_communities(spark, root), "id")
+    return story.chi_square(joined.where("community >= 0"), "volume", "community")
+
+
+_BUCKETS = f"""{S.GRAPH}, k AS (SELECT id, CASE WHEN entry_type = 'unknown' THEN '-1' ELSE entry_type END AS c FROM n)
+SELECT CASE WHEN a.c = '-1' AND b.c = '-1' THEN 'internal' WHEN a.c = '-1' THEN 'out' WHEN b.c = '-1' THEN 'in' ELSE a.c END AS from_group, CASE WHEN a.c = '-1' AND b.c = '-1' THEN 'internal' WHEN a.c = '-1' THEN 'out' WHEN b.c = '-1' THEN 'in' ELSE b.c END AS to_group, sum(weight)::BIGINT AS weight
+FROM g JOIN k a ON a.id = g.source JOIN k b ON b.id = g.target GROUP BY 1, 2"""
+
+
+@query(_BUCKETS)
+def type_matrix(spark: SparkSession, root: str) -> DataFrame:
+    """The matrix of groups with buckets, over entry types, 'unknown' being no group."""
+    nodes, edges = _graph(spark, root)
+    return story.group_matrix(edges, nodes.select("id", F.when(F.col("entry_type") == "unknown", "-1").otherwise(F.col("entry_type")).alias("grp")), "grp")
 
 
 @query(
@@ -468,8 +533,7 @@ def graph_bridges(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def graph_layout(spark: SparkSession, root: str) -> DataFrame:
     nodes, edges = (cut(f, spark) for f in _graph(spark, root))
-    communities = graph.ranked_communities(graph.label_propagation(edges, nodes, spark))
-    return graph.normalised(graph.layout(graph.boosted(edges, communities), spark))
+    return graph.normalised(graph.layout(graph.boosted(edges, _communities(spark, root)), spark))
 
 
 # --- analytics ------------------------------------------------------------------------

@@ -101,7 +101,7 @@ STAGES: dict[str, Stage] = {
     "dates": lambda r: dates.extract(r.read("entries")),
     "nodes": lambda r: graph.nodes(r.read("entries")),
     "edges": lambda r: graph.edges(r.read("resolved"), r.read("nodes"), list(r.config.statuses)),
-    "communities": lambda r: graph.ranked_communities(graph.label_propagation(r.read("edges"), r.read("nodes"), r.spark), r.config.least_community),
+    "communities": lambda r: graph.ranked_communities(graph.communities(r.read("edges"), r.read("nodes"), r.spark), r.config.least_community),
     "named": lambda r: graph.described(r.read("communities"), r.read("nodes"), graph.degrees(r.read("edges"), r.read("nodes"))),
     "placed": _placed,
     "search": lambda r: search.index(r.read("lemmas"), r.read("nodes")),

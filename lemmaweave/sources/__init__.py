@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import io
 import os
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -37,9 +38,12 @@ def spread(frame: DataFrame, spark: SparkSession, key: str | None = None) -> Dat
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach; set here only if the session has none."""
+    """The folder all executors can reach; a cluster must name it, one machine may leave it open."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
         folder = os.path.join(os.getcwd(), "spark-warehouse", "checkpoints")
         spark.sparkContext.setCheckpointDir(folder)
     elif not spark.sparkContext.getCheckpointDir():
@@ -53,6 +57,18 @@ def cut(frame: DataFrame, spark: SparkSession) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def stored(frame: DataFrame, spark: SparkSession) -> DataFrame:
+    """``frame`` as a table in the shared folder, read back: for loops, since a checkpoint
+    hands on what the optimizer infers of its rows, which grows with every round. The
+    table goes when the session ends.
+    """
+    assert spark._jvm is not None
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/table-{uuid.uuid4().hex}")
+    frame.write.parquet(path.toString())
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(frame.schema).parquet(path.toString())
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable by all Python workers of the session, once.
 

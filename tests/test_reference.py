@@ -173,14 +173,38 @@ def test_graph_against_brute_force(spark):
                 score[v] += 1 / len(level)
     got = {r.id: r.betweenness for r in graph.betweenness(edges, spark).collect()}
     assert all(abs(got.get(i, 0) - score[i]) < 2e-3 for i in ids)
-    communities = graph.ranked_communities(graph.label_propagation(edges, nodes, spark), 2)
-    assert communities.count() == 30
     assert graph.layout(graph.undirected(edges), spark, 5).count() == len({x for p in pairs for x in p})
     box = graph.normalised(graph.layout(graph.undirected(edges), spark, 5)).agg(F.max(F.abs("x")), F.max(F.abs("y"))).first()
     assert abs(max(box) - 1000) < 1e-6
     assert graph.components(edges.limit(0), nodes, spark).where("id <> component").count() == 0
 
 
+def test_communities_of_a_planted_partition(spark):
+    random.seed(5)
+    ids = [f"n{i:02d}" for i in range(36)]
+    pairs = [(a, b, 3) for i, a in enumerate(ids) for j, b in enumerate(ids) if i < j and random.random() < (0.8 if i // 12 == j // 12 else 0.03)]
+    nodes = spark.createDataFrame([(i, i) for i in [*ids, "lone"]], "id string, headword string")
+    edges = spark.createDataFrame(pairs, "source string, target string, weight long")
+    got = graph.communities(edges, nodes, spark, 1.0)
+    found = {r.id: r.label for r in got.collect()}
+    assert len(found) == 37 and len({found[i] for i in ids}) == 3
+    assert all(len({found[i] for i in ids[k * 12 : k * 12 + 12]}) == 1 for k in range(3))
+    planted = nodes.where("id <> 'lone'").select("id", F.floor(F.substr("id", F.lit(2)).cast("int") / 12).alias("label"))
+    q = lambda f: graph.modularity(edges, f, "label").first().modularity
+    assert q(got) == q(planted) > 0.4
+    # Ranked by size, ties by label; below the floor there is none.
+    assert {r.community for r in graph.ranked_communities(got).collect()} == {0, 1, 2, -1}
+    assert graph.communities(edges.limit(0), nodes, spark).where("id <> label").count() == 0
+
+
+def test_components_with_a_hub_and_a_giant(spark):
+    pairs = [("hub", f"a{i:03d}") for i in range(300)] + [(f"b{i:03d}", f"b{i + 1:03d}") for i in range(60)]
+    edges = spark.createDataFrame([(a, b, 1) for a, b in pairs], "source string, target string, weight long")
+    nodes = spark.createDataFrame([(i,) for i in sorted({x for p in pairs for x in p})], "id string")
+    found = {r.id: r.component for r in graph.components(edges, nodes, spark).collect()}
+    assert set(found.values()) == {"a000", "b000"} and all((found[i] == "b000") == (i[0] == "b" ) for i in found)
+
+
 def test_numbering_is_dense(spark):
     nodes = spark.range(0, 500, 1, 7).select(F.concat(F.lit("x"), F.lpad("id", 4, "0")).alias("id"), F.lit("V").alias("volume"), (F.col("id") % 10).cast("int").alias("ordinal"))
     got = graph.numbered(nodes).orderBy("node").collect()
