@@ -39,12 +39,18 @@ def numbered(nodes_: DataFrame) -> DataFrame:
 
     Ranges are sorted side by side; a range's offset is the count of those before it.
     """
-    ordered = nodes_.repartitionByRange("volume", "ordinal", "id").sortWithinPartitions("volume", "ordinal", "id").withColumn("_m", F.monotonically_increasing_id())
+    return _placed_in_order(nodes_, ["volume", "ordinal", "id"]).withColumnRenamed("_at", "node")
+
+
+def _placed_in_order(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``_at``: the place of each row, from 0, in the order of ``by``."""
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_m", F.monotonically_increasing_id())
     # Made once: the ranges must be the same for the counts and for the rows.
-    local = cut(ordered.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") % F.lit(1 << 33)), nodes_.sparkSession)
+    local = cut(ordered.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m") % F.lit(1 << 33)), rows.sparkSession)
     sizes = local.groupBy("_p").agg((F.max("_i") + 1).alias("_n"))
+    # One row per range, so this window is over few rows.
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return local.join(F.broadcast(offsets.select("_p", "_before")), "_p").withColumn("node", F.col("_before") + F.col("_i")).drop("_m", "_p", "_i", "_before")
+    return local.join(F.broadcast(offsets.select("_p", "_before")), "_p").withColumn("_at", F.col("_before") + F.col("_i")).drop("_m", "_p", "_i", "_before")
 
 
 def edges(resolved: DataFrame, nodes_: DataFrame, statuses: list[str] = RESOLVED) -> DataFrame:
@@ -186,7 +192,7 @@ def modularity(edges_: DataFrame, assignment: DataFrame, label: str = "community
     """One row: modularity of an assignment on the undirected projection."""
     pairs = undirected(edges_)
     a, b = assignment.select(F.col("id").alias("a"), F.col(label).alias("ca")), assignment.select(F.col("id").alias("b"), F.col(label).alias("cb"))
-    met = pairs.join(a, "a").join(b, "b")
+    met = pairs.join(sized(a), "a").join(sized(b), "b")
     inside = met.groupBy(F.col("ca").alias("c")).agg(F.sum(F.when(F.col("ca") == F.col("cb"), F.col("weight")).otherwise(0)).alias("inner"))
     ends = met.select(F.col("ca").alias("c"), "weight").unionByName(met.select(F.col("cb").alias("c"), "weight")).groupBy("c").agg(F.sum("weight").alias("deg"))
     total = pairs.agg(F.sum("weight").alias("m"))
@@ -208,7 +214,7 @@ def boosted(edges_: DataFrame, communities: DataFrame, factor: float = 8.0) -> D
     a = communities.select(F.col("id").alias("a"), F.col("community").alias("ca"))
     b = communities.select(F.col("id").alias("b"), F.col("community").alias("cb"))
     same = (F.col("ca") == F.col("cb")) & (F.col("ca") >= 0)
-    return undirected(edges_).join(a, "a").join(b, "b").select("a", "b", (F.col("weight") * F.when(same, factor).otherwise(1.0)).alias("weight"))
+    return undirected(edges_).join(sized(a), "a").join(sized(b), "b").select("a", "b", (F.col("weight") * F.when(same, factor).otherwise(1.0)).alias("weight"))
 
 
 def _arrays(edges_: DataFrame, most: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -310,8 +316,7 @@ def normalised(points: DataFrame, extent: float = 1000.0) -> DataFrame:
 
 def outsider_ring(outside: DataFrame, radius: float = 1280.0) -> DataFrame:
     """Nodes off the giant component, evenly on a ring by (component, id)."""
-    order = Window.orderBy("component", "id")
     total = outside.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("_n"))
-    turned = outside.withColumn("_i", F.row_number().over(order) - 1).crossJoin(F.broadcast(total))
+    turned = _placed_in_order(outside, ["component", "id"]).withColumnRenamed("_at", "_i").crossJoin(F.broadcast(total))
     angle = F.col("_i") * (2 * math.pi) / F.col("_n")
     return turned.select("id", (F.cos(angle) * radius).alias("x"), (F.sin(angle) * radius).alias("y"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lemmaweave.functions import text as T
+from lemmaweave.operators.skew import sized
 
 # How many lines at each end of a page may be furniture.
 EDGE = 6
@@ -151,7 +152,8 @@ def in_body(pages: DataFrame, starts: DataFrame) -> DataFrame:
     """Pages from the first body page of their volume on: (volume, first_page); volumes
     without an entry start at their first letter heading, if they have one."""
     heading = pages.where(F.col("text").rlike(r"(?m)^#{1,6} \*{0,2}[A-ZÄÖÜ]{1,3}\*{0,2}\s*$")).groupBy("volume").agg(F.min("page").alias("_h"))
-    gate = pages.join(F.broadcast(starts.select("volume", F.col("first_page").alias("_f")).limit(100_000)), "volume", "left").join(heading, "volume", "left")
+    known = starts.groupBy("volume").agg(F.min("first_page").alias("_f"))
+    gate = pages.join(sized(known.join(heading, "volume", "full")), "volume", "left")
     return gate.where(F.col("page") >= F.coalesce("_f", "_h", F.lit(0))).drop("_f", "_h")
 
 
@@ -185,4 +187,4 @@ def code_page(spark: SparkSession, encoding: str) -> DataFrame:
 def decoded_names(glyphs: DataFrame, table: DataFrame) -> DataFrame:
     """Glyph names ``/C<n>`` with the letter of the code page (null if it has none)."""
     code = F.try_to_number(F.nullif(F.regexp_extract("name", r"\A/?C(\d{1,3})\z", 1), F.lit("")), F.lit("999")).cast("int")
-    return glyphs.withColumn("code", code).join(F.broadcast(table.limit(256)), "code", "left")
+    return glyphs.withColumn("code", code).join(sized(table), "code", "left")

@@ -174,7 +174,14 @@ def candidates(resolved: DataFrame, indexed: DataFrame) -> DataFrame:
     """(entry_id, ordinal, candidate_entry_id): what each ambiguous reference could mean."""
     open_ = resolved.where("status = 'ambiguous'").select("entry_id", "ordinal", F.col("match_key").alias("key"), "scope")
     words_ = indexed.where("ix = 'W'").select("key", F.col("entry_id").alias("candidate_entry_id"), "volume")
-    return open_.join(words_, "key").where((F.col("scope") == "*") | (F.col("scope") == F.col("volume"))).select("entry_id", "ordinal", "candidate_entry_id").distinct()
+    # A term that most ambiguous references name has one list of candidates, which goes to
+    # its references; keys and scopes meet once, not once per reference.
+    asked = open_.groupBy("key", "scope").agg(F.count(F.lit(1)).alias("_n"))
+    listed = asked.join(words_, "key").where((F.col("scope") == "*") | (F.col("scope") == F.col("volume")))
+    listed = listed.groupBy("key", "scope").agg(F.collect_set("candidate_entry_id").alias("c"))
+    form = F.to_json(F.struct("key", "scope"))
+    met = join_by_value(open_.withColumn("form", form).drop("key", "scope"), listed.select(form.alias("form"), "c"), "form", heavy_values(asked.withColumn("form", form), "form", "_n"))
+    return met.select("entry_id", "ordinal", F.explode("c").alias("candidate_entry_id")).distinct()
 
 
 def status_report(resolved: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lemmaweave.functions import text as T
+from lemmaweave.operators.skew import sized
 
 
 def corpus_counts(entries: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def group_matrix(edges: DataFrame, groups: DataFrame, group: str) -> DataFrame:
     """
     a = groups.select(F.col("id").alias("source"), F.col(group).cast("string").alias("from_group"))
     b = groups.select(F.col("id").alias("target"), F.col(group).cast("string").alias("to_group"))
-    met = edges.join(a, "source").join(b, "target")
+    met = edges.join(sized(a), "source").join(sized(b), "target")
     bucket = F.when((F.col("from_group") == "-1") & (F.col("to_group") == "-1"), "internal").when(F.col("from_group") == "-1", "out").when(F.col("to_group") == "-1", "in")
     named = met.select(F.coalesce(bucket, "from_group").alias("from_group"), F.coalesce(bucket, "to_group").alias("to_group"), "weight")
     return named.groupBy("from_group", "to_group").agg(F.sum("weight").alias("weight"))
@@ -148,13 +149,13 @@ def persons(entries: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def bridges(degrees: DataFrame, centrality: DataFrame, top: int = 40, from_rank: int = 30) -> DataFrame:
-    """Nodes high in betweenness but not in degree, with both ranks (from 0)."""
+    """The first 8 nodes high in betweenness but not in degree, with both ranks (from 0)."""
     high = centrality.orderBy(F.desc("betweenness"), "id").limit(top).withColumn("b_rank", F.row_number().over(Window.orderBy(F.desc("betweenness"), "id")) - 1)
     # Rank of a node = nodes before it; counted for the few high ones only.
     few = high.join(degrees.select("id", "in_degree"), "id")
     other = degrees.select(F.col("id").alias("_o"), F.col("in_degree").alias("_d"))
     before = other.join(F.broadcast(few), (F.col("_d") > F.col("in_degree")) | ((F.col("_d") == F.col("in_degree")) & (F.col("_o") < F.col("id")))).groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
-    return few.join(before, "id", "left").withColumn("d_rank", F.coalesce("_n", F.lit(0))).where(F.col("d_rank") >= from_rank).select("id", "betweenness", "b_rank", "in_degree", "d_rank")
+    return few.join(before, "id", "left").withColumn("d_rank", F.coalesce("_n", F.lit(0))).where(F.col("d_rank") >= from_rank).select("id", "betweenness", "b_rank", "in_degree", "d_rank").orderBy("b_rank").limit(8)
 
 
 def label_check(labels: DataFrame, described: DataFrame) -> DataFrame:

@@ -52,13 +52,22 @@ def islands(rows: DataFrame, part: list[str], order: list[str], same: str) -> Da
     return runs.groupBy(*part, "run").agg(F.first(same).alias(same), F.count(F.lit(1)).alias("n"), F.min(order[0]).alias("first"), F.max(order[0]).alias("last"))
 
 
-def as_of(events: DataFrame, marks: DataFrame, part: list[str], at: str, value: str) -> DataFrame:
+def as_of(events: DataFrame, marks: DataFrame, part: list[str], at: str, value: str, width: int = 1000) -> DataFrame:
     """Each event with the value of the last mark at or before it.
 
-    One window over the union of both streams; no pair of event and mark is built.
+    Time is taken in stretches of ``width``: a window per part and stretch over the union of
+    both streams finds the last mark within; the last mark of all stretches before is found
+    among one row per stretch. So no part, however large, is one task.
     """
+    stretch = F.floor(F.col(at) / width)
     both = events.withColumn("_m", F.lit(1)).withColumn(f"_{value}", F.lit(None).cast(dict(marks.dtypes)[value])).unionByName(
         marks.select(*part, at, F.lit(0).alias("_m"), F.col(value).alias(f"_{value}")), allowMissingColumns=True
     )
-    last = F.last(f"_{value}", ignorenulls=True).over(Window.partitionBy(*part).orderBy(at, "_m").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn(value, last).where("_m = 1").drop("_m", f"_{value}")
+    within = F.last(f"_{value}", ignorenulls=True).over(Window.partitionBy(*part, "_s").orderBy(at, "_m").rowsBetween(Window.unboundedPreceding, 0))
+    seen = both.withColumn("_s", stretch).withColumn("_w", within).where("_m = 1")
+    ends = marks.where(F.col(value).isNotNull()).groupBy(*part, stretch.alias("_s")).agg(F.max_by(value, at).alias("_e"))
+    asked = events.select(*part, stretch.alias("_s")).distinct().withColumn("_q", F.lit(True))
+    steps = asked.join(ends, [*part, "_s"], "full")
+    before = F.last("_e", ignorenulls=True).over(Window.partitionBy(*part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1))
+    carried = steps.withColumn("_c", before).where("_q").select(*part, "_s", "_c")
+    return seen.join(carried, [*part, "_s"], "left").withColumn(value, F.coalesce("_w", "_c")).drop("_m", "_s", "_w", "_c", f"_{value}")

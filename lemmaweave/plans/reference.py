@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lemmaweave.functions import text as T
 from lemmaweave.operators import checks, dates, display, graph, layout, lemmas, parse, resolve, search, story, votes
 from lemmaweave.operators import dates as D
+from lemmaweave.operators.skew import join_nullable
 from lemmaweave.plans import sql as S
 from lemmaweave.sources import cut, shared_folder, sinks, stored, table
 
@@ -103,7 +104,7 @@ def cited_entries(spark: SparkSession, root: str) -> DataFrame:
 @query(f"WITH {S.ENTRIES}, {S.RESOLVED} SELECT r.entry_id, r.ordinal, r.raw_target, r.status, e.headword AS target FROM r LEFT JOIN e ON e.id = r.resolved_entry_id")
 def outgoing_references(spark: SparkSession, root: str) -> DataFrame:
     targets = _entries(spark, root).select(F.col("id").alias("resolved_entry_id"), F.col("headword").alias("target"))
-    return _resolved(spark, root).join(targets, "resolved_entry_id", "left").select("entry_id", "ordinal", "raw_target", "status", "target")
+    return join_nullable(_resolved(spark, root), targets, "resolved_entry_id").select("entry_id", "ordinal", "raw_target", "status", "target")
 
 
 @query(f"WITH {S.RESOLVED} SELECT match_key, count(*) AS n FROM r WHERE status = 'ambiguous' GROUP BY match_key ORDER BY n DESC, match_key LIMIT 20")
@@ -296,7 +297,7 @@ def resolve_report(spark: SparkSession, root: str) -> DataFrame:
 
 # --- names ----------------------------------------------------------------------------
 
-_LEMMAS = f"""WITH {S.ENTRIES}, {S.RESOLVED}, b AS (SELECT id, volume, ordinal, entry_type, {S.lemma('headword')} AS l, {S.core('headword')} AS c FROM e WHERE NOT contains(headword, '*') AND NOT contains(headword, '_')),
+_LEMMAS = f"""WITH {S.ENTRIES}, {S.RESOLVED}, b0 AS (SELECT id, volume, ordinal, entry_type, {S.clean('headword')} AS headword FROM e), b AS (SELECT id, volume, ordinal, entry_type, {S.lemma('headword')} AS l, {S.core('headword')} AS c FROM b0),
 v AS (SELECT id, volume, ordinal, l AS lemma, 'primary' AS variant_type FROM b
 UNION ALL SELECT id, volume, ordinal, {S.strip(S.without_article('h'))}, 'slash_half' FROM (SELECT *, {S.strip('part')} AS h FROM (SELECT *, unnest(string_split(c, '/')) AS part FROM b WHERE contains(c, '/')))
 UNION ALL SELECT id, volume, ordinal, {S.inverted('l')}, 'comma_inverted' FROM b
@@ -307,8 +308,7 @@ lem AS (SELECT lemma_key, lemma, id AS entry_id, volume, variant_type FROM (SELE
 
 
 def _lemmas(spark: SparkSession, root: str) -> DataFrame:
-    entries = _entries(spark, root, "volume", "ordinal", "entry_type").where(~F.contains("headword", F.lit("*")) & ~F.contains("headword", F.lit("_")))
-    return lemmas.variants(entries, _resolved(spark, root))
+    return lemmas.variants(_entries(spark, root, "volume", "ordinal", "entry_type"), _resolved(spark, root))
 
 
 @query(_LEMMAS + "SELECT * FROM lem")
@@ -714,10 +714,18 @@ def letter_votes(spark: SparkSession, root: str) -> DataFrame:
     return votes.vote(*_vote_parts(spark, root))
 
 
-@query("SELECT code, arg_max(letter, rank) AS letter FROM (VALUES ('a', 'x', 0), ('b', 'y', 0), ('a', 'z', 1), ('c', 'u', 2), ('b', 'v', 2)) AS v(code, letter, rank) GROUP BY code")
-def layered_codes(spark: SparkSession, root: str) -> DataFrame:
-    layers = [[("a", "x"), ("b", "y")], [("a", "z")], [("c", "u"), ("b", "v")]]
-    return votes.layered([spark.createDataFrame(rows, "code string, letter string") for rows in layers])
+@query(
+    "SELECT lemma_key AS code, arg_max(entry_id, (CASE variant_type WHEN 'redirect_alias' THEN 0 WHEN 'slash_half' THEN 1 ELSE 2 END, entry_id)) AS letter FROM lemmas WHERE variant_type <> 'comma_inverted' AND entry_id IS NOT NULL GROUP BY lemma_key"
+)
+def layered_names(spark: SparkSession, root: str) -> DataFrame:
+    """What each name stands for, by layers of names of which later ones override earlier."""
+    rows = table(spark, root, "lemmas", F.col("lemma_key").alias("code"), F.col("entry_id").alias("letter"), "variant_type").where("letter IS NOT NULL")
+    return votes.layered([rows.where(F.col("variant_type") == v).select("code", "letter") for v in ("redirect_alias", "slash_half", "primary")])
+
+
+@query(f"WITH {S.ENTRIES} SELECT CASE WHEN regexp_extract({S.key('headword')}, '^([a-z])', 1) = '' THEN '_' ELSE regexp_extract({S.key('headword')}, '^([a-z])', 1) END AS shard, id, werke_raw AS werke, literatur_raw AS literatur FROM e WHERE werke_raw IS NOT NULL OR literatur_raw IS NOT NULL")
+def bibliography_shards(spark: SparkSession, root: str) -> DataFrame:
+    return sinks.bibliography_shards(_entries(spark, root, "werke_raw", "literatur_raw"))
 
 
 @query(
@@ -730,13 +738,13 @@ def status_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {S.ENTRIES}, p AS (SELECT volume, ordinal, min(printed_page_start) AS page FROM e WHERE printed_page_start IS NOT NULL AND ordinal % 5 = 0 GROUP BY 1, 2)
+    f"""WITH {S.ENTRIES}, p AS (SELECT volume, ordinal, min(printed_page_start) AS page FROM e WHERE printed_page_start IS NOT NULL GROUP BY 1, 2)
 SELECT e.id, (SELECT arg_max(p.page, p.ordinal) FROM p WHERE p.volume = e.volume AND p.ordinal <= e.ordinal) AS page FROM e"""
 )
 def pages_as_of(spark: SparkSession, root: str) -> DataFrame:
     rows = _entries(spark, root, "volume", "ordinal", "printed_page_start")
-    # Every fifth entry carries a page mark; the others take the last one before them.
-    marks = rows.where("printed_page_start IS NOT NULL AND ordinal % 5 = 0").groupBy("volume", "ordinal").agg(F.min("printed_page_start").alias("page"))
+    # Entries with a printed page are marks; the others take the last one before them.
+    marks = rows.where("printed_page_start IS NOT NULL").groupBy("volume", "ordinal").agg(F.min("printed_page_start").alias("page"))
     return votes.as_of(rows.select("id", "volume", "ordinal"), marks, ["volume"], "ordinal", "page").select("id", "page")
 
 
@@ -819,7 +827,7 @@ def export_ambiguous(spark: SparkSession, root: str) -> DataFrame:
     return sinks.ambiguous_export(_references(spark, root), table(spark, root, "resolved_cross_reference_candidates"), _entries(spark, root, "volume"))
 
 
-@query(f"WITH {S.ENTRIES}, fl AS (SELECT entry_id, array_to_string(list_sort(list(DISTINCT flag)), ',') AS flags FROM entry_flags GROUP BY entry_id) SELECT e.id, e.headword, e.volume, e.ordinal, e.entry_type, coalesce(fl.flags, '') AS flags FROM e LEFT JOIN fl ON fl.entry_id = e.id")
+@query(f"WITH {S.ENTRIES}, fl AS (SELECT entry_id, list_sort(list(DISTINCT flag)) AS flags FROM entry_flags GROUP BY entry_id) SELECT e.id, e.headword, e.volume, e.ordinal, e.entry_type, coalesce(fl.flags, []::VARCHAR[]) AS flags FROM e LEFT JOIN fl ON fl.entry_id = e.id")
 def export_entries(spark: SparkSession, root: str) -> DataFrame:
     return sinks.entries_export(_entries(spark, root, "volume", "ordinal", "entry_type").drop("loaded_at"), table(spark, root, "entry_flags"))
 

@@ -12,6 +12,9 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lemmaweave.functions import text as T
+from lemmaweave.operators.skew import join_nullable
+
 
 def jsonl(frame: DataFrame, path: str) -> None:
     """One object a line; null fields are kept."""
@@ -49,7 +52,7 @@ def edges_export(references: DataFrame, resolved: DataFrame, entries: DataFrame)
     source = entries.select(F.col("id").alias("entry_id"), F.col("headword").alias("source_headword"), F.col("volume").alias("source_volume"))
     target = entries.select(F.col("id").alias("resolved_entry_id"), F.col("headword").alias("target_headword"), F.col("volume").alias("target_volume"))
     keys = ["entry_id", "ordinal"]
-    rows = resolved.join(references.select(*keys, "raw_context"), keys).join(source, "entry_id").join(target, "resolved_entry_id", "left")
+    rows = join_nullable(resolved.join(references.select(*keys, "raw_context"), keys).join(source, "entry_id"), target, "resolved_entry_id")
     return rows.select(F.col("entry_id").alias("source_entry_id"), "source_headword", "source_volume", "ordinal", "raw_target", "raw_context", "status", F.col("resolved_entry_id").alias("target_entry_id"), "target_headword", "target_volume", "match_words", "redirect_hops", "suffix_stripped")
 
 
@@ -61,17 +64,26 @@ def ambiguous_export(references: DataFrame, candidates: DataFrame, entries: Data
 
 
 def entries_export(entries: DataFrame, flags: DataFrame) -> DataFrame:
-    """Entries with their flags as one text (empty if none)."""
-    listed = flags.select(F.col("entry_id").alias("id"), "flag").distinct().groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("flag")), ",").alias("flags"))
-    return entries.join(listed, "id", "left").withColumn("flags", F.coalesce("flags", F.lit("")))
+    """Entries with the list of their flags (empty if none)."""
+    listed = flags.select(F.col("entry_id").alias("id"), "flag").distinct().groupBy("id").agg(F.array_sort(F.collect_list("flag")).alias("flags"))
+    return entries.join(listed, "id", "left").withColumn("flags", F.coalesce("flags", F.array().cast("array<string>")))
+
+
+def bibliography_shards(entries: DataFrame) -> DataFrame:
+    """(shard, id, werke, literatur) of entries with a bibliography; the shard is the first
+    letter of the folded headword, ``_`` if it has none."""
+    letter = F.regexp_extract(T.key("headword"), "^([a-z])", 1)
+    rows = entries.where(F.col("werke_raw").isNotNull() | F.col("literatur_raw").isNotNull())
+    return rows.select(F.when(letter == "", "_").otherwise(letter).alias("shard"), "id", F.col("werke_raw").alias("werke"), F.col("literatur_raw").alias("literatur"))
 
 
 def manifest(counts: DataFrame, parameters: dict[str, Any], path: str | None = None) -> dict[str, Any]:
-    """Counts by measure and name (a bounded vocabulary) with the parameters of the run."""
+    """Counts by measure and name (a bounded vocabulary) with the parameters of the run;
+    ``path``: a folder that all executors reach, where it is written as one JSON line."""
     out: dict[str, Any] = {"parameters": parameters}
     for row in counts.collect():
         out.setdefault(row["measure"], {})[row["name"]] = row["n"]
     if path:
-        with open(path, "w", encoding="utf-8") as f:
-            json.dump(out, f, ensure_ascii=False, indent=1, sort_keys=True)
+        line = json.dumps(out, ensure_ascii=False, sort_keys=True)
+        counts.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return out
