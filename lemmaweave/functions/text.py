@@ -191,6 +191,27 @@ def fold_query(text: str) -> str:
     return plain.replace("(", "").replace(")", "").lower().strip()
 
 
+def german_number(c: Text, digits: int = 0) -> Column:
+    """A number with dots between thousands and a decimal comma."""
+    return F.translate(F.format_number(_col(c), digits), ",.", ".,")
+
+
+def percent(c: Text, digits: int = 1) -> Column:
+    return F.concat(german_number(_col(c) * 100, digits), F.lit(" %"))
+
+
+def year_text(c: Text) -> Column:
+    """A signed year as it is written: ``428 v. Chr.``, ``1724``."""
+    return F.when(_col(c) < 0, F.concat((-_col(c)).cast("string"), F.lit(" v. Chr."))).otherwise(_col(c).cast("string"))
+
+
+def life_text(birth: Text, death: Text) -> Column:
+    """A life of signed years; the era stands once if it holds for both."""
+    b, d = _col(birth), _col(death)
+    both = F.concat((-b).cast("string"), F.lit("–"), (-d).cast("string"), F.lit(" v. Chr."))
+    return F.when((b < 0) & (d < 0), both).otherwise(F.concat(year_text(b), F.lit("–"), year_text(d)))
+
+
 def palette_color(rank: Text, palette: int = 20) -> Column:
     """Colour of a community by rank: even hues, neutral beyond the palette."""
     hue = F.pmod(_col(rank) * F.lit(0.618033988749895), F.lit(1.0)) * 6

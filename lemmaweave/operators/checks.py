@@ -61,6 +61,52 @@ def dataset(entries: DataFrame, references: DataFrame, resolved: DataFrame, cand
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+def structure(entries: DataFrame, references: DataFrame, resolved: DataFrame, edges: DataFrame, nodes: DataFrame, most_hops: int = 3, most_words: int = 6, most_pages: int = 60) -> DataFrame:
+    """(check, violations): order, bounds, spans, reachability, exclusion and additivity.
+
+    ``entries`` and ``references`` are the current ones, ``edges`` and ``nodes`` the graph.
+    Neighbours in order meet by their numbers, so no volume is gathered for a window.
+    """
+    places = entries.select("volume", "ordinal", "pdf_page_start").where("ordinal IS NOT NULL AND pdf_page_start IS NOT NULL")
+    before = places.select("volume", (F.col("ordinal") + 1).alias("ordinal"), F.col("pdf_page_start").alias("_b"))
+    redirects = entries.where("entry_type = 'redirect'").select("id")
+    led = resolved.where("ordinal = 0 AND resolved_entry_id IS NOT NULL").select(F.col("entry_id").alias("id"))
+    ends = edges.select(F.col("source").alias("id")).unionByName(edges.select(F.col("target").alias("id"))).distinct()
+    cited = resolved.where(F.col("resolved_entry_id").isNotNull()).select(F.col("resolved_entry_id").alias("id")).distinct()
+    numbered = references.groupBy("entry_id").agg(F.count(F.lit(1)).alias("n"), F.max("ordinal").alias("top"))
+
+    def adds_up(rows: DataFrame, by: str, name: str) -> DataFrame:
+        parts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("parts"))
+        whole = rows.agg(F.count(F.lit(1)).alias("whole"))
+        return parts.crossJoin(whole).select(F.lit(name).alias("check"), F.abs(F.col("parts") - F.col("whole")).alias("violations"))
+
+    found = [
+        _named("page before that of the entry before", places.join(before, ["volume", "ordinal"]).where("pdf_page_start < _b")),
+        _named("page span reversed", entries.where("pdf_page_end < pdf_page_start")),
+        _named("page span too long", entries.where(F.col("pdf_page_end") - F.col("pdf_page_start") > most_pages)),
+        _named("ordinal below 1", entries.where("ordinal < 1 OR ordinal IS NULL")),
+        _named("hops out of bounds", resolved.where(~F.col("redirect_hops").between(0, most_hops))),
+        _named("match words out of bounds", resolved.where(~F.col("match_words").between(1, most_words))),
+        _named("redirect leads nowhere", redirects.join(led, "id", "left_anti")),
+        _named("reference ends at a redirect", cited.join(redirects, "id", "left_semi")),
+        _named("node without an edge", nodes.select("id").join(ends, "id", "left_anti")),
+        _named("edge end is no node", ends.join(nodes.select("id"), "id", "left_anti")),
+        _named("edge to itself", edges.where("source = target")),
+        _named("references not numbered through", numbered.where(F.col("n") != F.col("top") + 1)),
+        duplicates(entries, ["volume", "ordinal"], "place taken twice"),
+        adds_up(entries, "volume", "volumes do not add up"),
+        adds_up(resolved, "status", "statuses do not add up"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+def compared(before: DataFrame, now: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n_before, n_now) of the counts (by, n) that differ between two manifests."""
+    a, b = before.select(*by, F.col("n").alias("n_before")), now.select(*by, F.col("n").alias("n_now"))
+    joined = a.join(b, by, "full").select(*by, F.coalesce("n_before", F.lit(0)).alias("n_before"), F.coalesce("n_now", F.lit(0)).alias("n_now"))
+    return joined.where("n_before <> n_now")
+
+
 def unpaired(references: DataFrame, resolved: DataFrame) -> DataFrame:
     """References without a resolution and resolutions without a reference."""
     keys = ["entry_id", "ordinal"]

@@ -69,6 +69,32 @@ def undirected(edges_: DataFrame) -> DataFrame:
     return edges_.groupBy(F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b")).agg(F.sum("weight").alias("weight"))
 
 
+def adjacency(edges_: DataFrame, chunk: int = 1000) -> DataFrame:
+    """(id, direction, part, neighbours): sorted neighbour lists, ``out`` and ``in``.
+
+    The list of a hub comes in parts of about ``chunk`` neighbours, so none is gathered whole.
+    """
+    ends = edges_.select(F.col("source").alias("id"), F.lit("out").alias("direction"), F.col("target").alias("n")).unionByName(edges_.select(F.col("target").alias("id"), F.lit("in").alias("direction"), F.col("source").alias("n")))
+    counts = ends.groupBy("id", "direction").agg(F.count(F.lit(1)).alias("k"))
+    crowded = counts.where(F.col("k") > chunk).select("id", "direction", F.ceil(F.col("k") / chunk).alias("parts"))
+    # Crowded ends are at most one in ``chunk`` of the rows; if they are few they are broadcast.
+    parted = ends.join(sized(crowded), ["id", "direction"], "left")
+    part = F.pmod(F.xxhash64("n"), F.coalesce("parts", F.lit(1)))
+    return parted.groupBy("id", "direction", part.alias("part")).agg(F.array_sort(F.collect_list("n")).alias("neighbours"))
+
+
+def nearest(points: DataFrame, x: float, y: float, radius: float) -> DataFrame:
+    """The point (id, x, y) nearest to a place, within ``radius`` (ties by id): one row or none.
+
+    The square around the place is a filter that reaches the scan; of what is left one
+    aggregate keeps the nearest.
+    """
+    square = F.col("x").between(x - radius, x + radius) & F.col("y").between(y - radius, y + radius)
+    away = F.pow(F.col("x") - x, 2) + F.pow(F.col("y") - y, 2)
+    near = points.where(square).withColumn("d", away).where(F.col("d") <= radius * radius)
+    return near.agg(F.min(F.struct("d", "id")).alias("m")).where(F.col("m").isNotNull()).select("m.id", F.round(F.sqrt("m.d"), 6).alias("distance"))
+
+
 def degrees(edges_: DataFrame, nodes_: DataFrame) -> DataFrame:
     """(id, in_degree, out_degree) of all nodes, weighted and filled with 0."""
     ends = edges_.select(F.col("target").alias("id"), F.col("weight").alias("i"), F.lit(0).cast("long").alias("o")).unionByName(edges_.select(F.col("source").alias("id"), F.lit(0).cast("long").alias("i"), F.col("weight").alias("o")))
@@ -217,10 +243,14 @@ def boosted(edges_: DataFrame, communities: DataFrame, factor: float = 8.0) -> D
     return undirected(edges_).join(sized(a), "a").join(sized(b), "b").select("a", "b", (F.col("weight") * F.when(same, factor).otherwise(1.0)).alias("weight"))
 
 
+class TooLarge(ValueError):
+    """The graph is too large for a step that holds it in one process."""
+
+
 def _arrays(edges_: DataFrame, most: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Edge list as arrays, if it is of display size."""
     if edges_.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} edges: too large for one process")
+        raise TooLarge(f"more than {most} edges: too large for one process")
     pairs = edges_.toPandas()
     a, b = pairs.columns[:2]
     ids = sorted(set(pairs[a]) | set(pairs[b]))

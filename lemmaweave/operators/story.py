@@ -105,6 +105,27 @@ def eras(dates: DataFrame) -> DataFrame:
     return every.join(counted, "era", "left").select("era", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def graph_counts(entries: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(measure, n): entries, nodes, directed edges and their summed weight."""
+    one = lambda frame, name, value: frame.agg(value.alias("n")).select(F.lit(name).alias("measure"), "n")
+    rows = F.count(F.lit(1))
+    parts = [one(entries, "entries", rows), one(nodes, "nodes", rows), one(edges, "edges", rows), one(edges, "weight", F.coalesce(F.sum("weight"), F.lit(0)))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def homonyms(conflicts: DataFrame, entries: DataFrame) -> DataFrame:
+    """(lemma_key, entry_id, name): what tells the entries of one name apart."""
+    each = conflicts.select("lemma_key", F.explode(F.split("entry_ids", " \\| ")).alias("id"))
+    named = entries.select("id", T.display_name("headword", F.coalesce("body_text", F.lit(""))).alias("name"))
+    return each.join(named, "id").select("lemma_key", F.col("id").alias("entry_id"), "name")
+
+
+def alias_ranking(named: DataFrame, nodes: DataFrame, top: int = 20) -> DataFrame:
+    """Of the ``top`` entries with most aliases (entry_id, n, names) those on the map."""
+    ranked = named.orderBy(F.desc("n"), "entry_id").limit(top)
+    return ranked.join(nodes.select(F.col("id").alias("entry_id")), "entry_id", "left_semi")
+
+
 def coverage(dates: DataFrame, group: str) -> DataFrame:
     """(group, n, n_dated, share): how many of each group are dated."""
     return dates.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("dated").cast("long")).alias("n_dated"), F.round(F.avg("dated"), 6).alias("share"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +50,19 @@ class Run:
         return self.spark.read.parquet(f"{self.folder}/{stage}")
 
     def make(self, start_from: str | None = None) -> list[str]:
-        """Make all stages, or those from ``start_from`` on; returns the names made."""
+        """Make all stages, or those from ``start_from`` on; returns the names made.
+
+        A graph beyond display size gets no places; nothing else depends on them.
+        """
         names = list(STAGES)
         made = names[names.index(start_from) :] if start_from else names
+        skipped = []
         for name in made:
-            STAGES[name](self).write.mode("overwrite").parquet(f"{self.folder}/{name}")
-        return made
+            try:
+                STAGES[name](self).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+            except graph.TooLarge:
+                skipped.append(name)
+        return [n for n in made if n not in skipped]
 
     def export(self) -> dict:
         """Sinks for readers of files: records, graph, search rows, shards, manifest."""
@@ -64,7 +72,11 @@ class Run:
         sinks.csv(sinks.ambiguous_export(self.read("references"), self.read("candidates"), self.read("entries")), f"{out}/ambiguous", ["source_entry_id", "ordinal"])
         flags = table(self.spark, self.root, "entry_flags")
         sinks.jsonl(sinks.entries_export(self.read("entries"), flags), f"{out}/entries")
-        sinks.jsonl(self.read("placed").withColumn("x", F.round("x", 2)).withColumn("y", F.round("y", 2)), f"{out}/graph_nodes")
+        try:
+            nodes = self.read("placed").withColumn("x", F.round("x", 2)).withColumn("y", F.round("y", 2))
+        except AnalysisException:  # beyond display size
+            nodes = self.read("nodes").join(self.read("communities"), "id")
+        sinks.jsonl(nodes, f"{out}/graph_nodes")
         sinks.jsonl(self.read("edges"), f"{out}/graph_edges")
         sinks.jsonl(self.read("search"), f"{out}/search")
         sinks.shards(self.read("payloads"), f"{out}/shards")

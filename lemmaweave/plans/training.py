@@ -17,6 +17,13 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return rows.select(F.col("id").alias("entry_id"), "field", "pos", "item").distinct()
 
 
+def p3_flags(spark: SparkSession, root: str) -> DataFrame:
+    """Values that could not be told for sure, with the reason: open_quote or no_tail."""
+    entries = spread(table(spark, root, "entries", "id", "werke_raw", "literatur_raw"), spark)
+    rows = packed.split_rows(entries, ["id"], ["werke_raw", "literatur_raw"], least=1, strict=False)
+    return rows.where("error IS NOT NULL").select(F.col("id").alias("entry_id"), "field", "pos", "item", "error").distinct()
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     references = [("resolved_cross_references", "resolved_entry_id"), ("lemmas", "entry_id"), ("resolved_cross_reference_candidates", "candidate_entry_id")]
     sources = [(table(spark, root, name, key, "loaded_at"), name, key) for name, key in references]
@@ -41,7 +48,7 @@ found AS (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p4_found": p4_found, "p4_report": p4_report}
+    return {"p3_found": p3_found, "p3_flags": p3_flags, "p4_found": p4_found, "p4_report": p4_report}
 
 
 def oracle_sql() -> dict[str, str]:

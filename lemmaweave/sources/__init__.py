@@ -14,6 +14,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 
@@ -24,6 +25,22 @@ def table(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame
     return frame.select(*columns) if columns else frame
 
 
+def volumes(spark: SparkSession, pattern: str, only: str | None = None) -> DataFrame:
+    """(volume, text) of tagged text files, each read whole; the volume is the file's name.
+
+    ``pattern`` is a glob; ``only`` keeps the volumes whose name contains it, before any
+    file is opened.
+    """
+    read = spark.read.option("wholetext", True)
+    if only is not None:
+        read = read.option("pathGlobFilter", f"*{only}*")
+    # A folder that holds one volume (``file=NAME``) names it, else the file itself.
+    path = F.url_decode(F.col("_metadata.file_path"))
+    folder, file = F.regexp_extract(path, r"/file=([^/]*)/[^/]*$", 1), F.regexp_extract(path, r"([^/]*)$", 1)
+    name = F.regexp_replace(F.when(folder != "", folder).otherwise(file), r"\.[A-Za-z0-9]+$", "")
+    return read.text(pattern).select(name.alias("volume"), F.col("value").alias("text"))
+
+
 def spread(frame: DataFrame, spark: SparkSession, key: str | None = None) -> DataFrame:
     """Give CPU-heavy Python stages enough tasks when few, small files were read.
 

@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-CHECKED = ["entries_by_volume_and_type", "headword_forms", "context_phrases", "graph_degrees", "type_chi_square", "ambiguous_terms", "export_edges", "dataset_checks", "pages_as_of", "letter_votes", "p4_found", "streamed_deliveries"]
+CHECKED = ["entries_by_volume_and_type", "headword_forms", "context_phrases", "graph_degrees", "type_chi_square", "ambiguous_terms", "export_edges", "dataset_checks", "pages_as_of", "letter_votes", "unreadable_letters", "life_dates", "references_in_texts", "reflowed_texts", "cleaned_entries", "healed_hyphens", "entry_payloads", "structure_checks", "name_index", "p4_found", "streamed_deliveries"]
 
 
 def plain(value):

@@ -244,3 +244,73 @@ def test_layout(spark):
     starts = spark.createDataFrame([("V", 2)], "volume string, first_page int")
     assert [r.page for r in layout.in_body(pages, starts).collect()] == [2]
     assert layout.place("Abel\nAbel", "Abel") == ("ambiguous", None) and layout.place("x", " ") == ("empty_anchor", None)
+
+
+def test_as_of_over_stretches(spark):
+    random.seed(2)
+    events = [(v, i) for v in "ab" for i in range(0, 400, 3)]
+    marks = {(v, i): random.randint(1, 9) for v in "ab" for i in random.sample(range(5, 400), 25)}
+    rows = spark.createDataFrame(events, "v string, at int")
+    known = spark.createDataFrame([(v, i, x) for (v, i), x in marks.items()], "v string, at int, page int")
+    expected = {(v, i): next((marks[v, j] for j in range(i, -1, -1) if (v, j) in marks), None) for v, i in events}
+    for width in (7, 50, 10_000):
+        assert {(r.v, r["at"]): r.page for r in votes.as_of(rows, known, ["v"], "at", "page", width).collect()} == expected
+
+
+def test_joins_with_null_and_hot_keys(spark):
+    from lemmaweave.operators.skew import join_nullable, sized
+
+    rows = spark.createDataFrame([(i, None if i % 3 == 0 else "hot" if i % 3 == 1 else f"k{i}") for i in range(900)], "i int, k string")
+    other = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(0, 900, 2)]], "k string, v int")
+    expected = {i: {0: None, 1: 1}.get(i % 3, i if i % 2 == 0 else None) for i in range(900)}
+    got = join_nullable(rows, other, "k")
+    assert got.count() == 900 and {r.i: r.v for r in got.collect()} == expected
+    assert sized(other, 10).join(rows, "k").count() == sized(other).join(rows, "k").count() == 450
+
+
+def test_structure_checks(spark):
+    from lemmaweave.operators import checks
+
+    e = spark.createDataFrame([("a", "V", 1, 5, 6, "unknown"), ("b", "V", 2, 4, 3, "redirect"), ("c", "V", 2, 80, 180, "unknown"), ("d", None, None, None, None, "unknown")], "id string, volume string, ordinal int, pdf_page_start int, pdf_page_end int, entry_type string")
+    r = spark.createDataFrame([("a", 0, "b", "same_volume", 4, 1), ("c", 1, None, "unresolved", 0, 9)], "entry_id string, ordinal int, resolved_entry_id string, status string, redirect_hops int, match_words int")
+    x = r.select("entry_id", "ordinal")
+    nodes = e.where("entry_type <> 'redirect'").select("id")
+    edges = spark.createDataFrame([("a", "a"), ("a", "z")], "source string, target string")
+    got = {c.check: c.violations for c in checks.structure(e, x, r, edges, nodes).collect()}
+    assert got == {
+        "page before that of the entry before": 1, "page span reversed": 1, "page span too long": 1, "ordinal below 1": 1, "hops out of bounds": 1, "match words out of bounds": 1, "redirect leads nowhere": 1, "reference ends at a redirect": 1,
+        "node without an edge": 2, "edge end is no node": 1, "edge to itself": 1, "references not numbered through": 1, "place taken twice": 1, "volumes do not add up": 0, "statuses do not add up": 0,
+    }
+    a = spark.createDataFrame([("V", 3), ("W", 1)], "volume string, n long")
+    b = spark.createDataFrame([("V", 3), ("X", 2)], "volume string, n long")
+    assert {tuple(c) for c in checks.compared(a, b, ["volume"]).collect()} == {("W", 1, 0), ("X", 0, 2)}
+
+
+def test_no_row_limits_in_layout(spark):
+    volumes = spark.range(3).select(F.concat(F.lit("V"), "id").alias("volume"), F.lit(2).alias("first_page"))
+    pages = volumes.select("volume", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("page"), F.lit("x").alias("text"))
+    assert layout.in_body(pages, volumes).count() == 6
+    codes = spark.range(400).select(F.concat(F.lit("/C"), "id").alias("name"))
+    table_ = spark.range(400).select(F.col("id").cast("int").alias("code"), F.lit("x").alias("letter"))
+    assert layout.decoded_names(codes, table_).where("letter IS NULL").count() == 0
+
+
+def test_a_cluster_must_name_its_folder(monkeypatch):
+    from lemmaweave import sources
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError):
+        sources.shared_folder(Session())
