@@ -41,7 +41,7 @@ HEAD_SHARE = 5e-6
 # What printed letters are misread as, and words after a suspended hyphen.
 CONFUSIONS = [
     ("e", "c"), ("l", "1"), ("h", "li"), ("g", "9"), ("d", "cl"), ("o", "0"), ("O", "0"), ("m", "rn"), ("rn", "m"), ("ü", "ii"),
-    ("w", "vv"), ("ß", "B"), ("S", "5"), ("G", "6"), ("B", "8"), ("nn", "rm"), ("n", "ri"), ("u", "ii"), ("I", "l"), ("Z", "2"), ("i", "1"), ("W", "VV"),
+    ("w", "vv"), ("ß", "B"), ("S", "5"), ("G", "6"), ("B", "8"), ("nn", "rm"), ("n", "ri"), ("u", "ii"), ("I", "l"), ("Z", "2"), ("i", "1"), ("W", "VV"), ("h", "1i"),
 ]
 SUSPENDED = "und|oder|bzw|beziehungsweise|sowie|als|wie|noch|bis|aber|u"
 HYPHEN = "(?:[-‐¬­]|Â¬|Â­|┬¼|â€\x90|ÔÇÉ|ΓÇÉ|‚Äê)"
@@ -94,6 +94,12 @@ def skeleton(word: str) -> str:
     return s.replace("c", "e")
 
 
+@lru_cache(100_000)
+def skeletons(word: str) -> tuple[str, ...]:
+    """The keys of a word in question: ``lii`` may be a ``hi`` or ``lü``, ``cl`` an ``el`` or ``d``."""
+    return tuple(dict.fromkeys(map(skeleton, (word, word.replace("lii", "hi"), word.replace("cl", "el")))))
+
+
 def _costs(a: str, b: str) -> float:
     """Weighted edit distance: a confusion pair costs 0.2, a plain edit 1."""
     inf = 9.0
@@ -153,9 +159,10 @@ def _keys(batch: pd.Series) -> pd.Series:
     """Keys of words in question: folded, without an ending, and all deletions."""
 
     def keys(word: str) -> list[str]:
-        key = skeleton(word)
-        out = {key, *_deletions(key)}
-        out.update(key[: -len(s)] for s in SUFFIXES if key.endswith(s) and len(key) - len(s) > 3)
+        out: set[str] = set()
+        for key in skeletons(word):
+            out |= {key, *_deletions(key)}
+            out.update(key[: -len(s)] for s in SUFFIXES if key.endswith(s) and len(key) - len(s) > 3)
         return sorted(out)
 
     return batch.map(keys)
@@ -188,7 +195,7 @@ def _cost(form: str, word: str) -> float:
     if len(b) == 1 and b.isdigit() and len(a) == 1:
         return 0.5
     x, y = skeleton(form), skeleton(word)
-    if x != y:
+    if x not in skeletons(word):
         u, v = _apart(x, y)
         if (u, v) not in _PAIRED and not (v.isdigit() and len(v) == 1 and len(u) <= 2) and not (u and v and len(u) + len(v) <= 5 and len(a) == len(b) and any(c.isdigit() for c in b)):
             return 9.0

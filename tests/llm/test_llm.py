@@ -219,9 +219,9 @@ def test_context_changes_the_repair(spark):
 
 def test_deletions_meet_what_folding_does_not(spark):
     assert scan_noise.skeleton("Spannung") != scan_noise.skeleton("Spanriung")
-    counts = spark.createDataFrame([("Spannung", 40), ("Spanriung", 1), ("Spanung", 1), ("Spannnung", 1), ("Nation", 40), ("Natiori", 1), ("Notion", 1), ("Satz", 40), ("5atz", 1), ("Satz2", 1)], "word string, n long")
+    counts = spark.createDataFrame([("Spannung", 40), ("Spanriung", 1), ("Spanung", 1), ("Spannnung", 1), ("Nation", 40), ("Natiori", 1), ("Notion", 1), ("Satz", 40), ("5atz", 1), ("Satz2", 1), ("Geschichte", 40), ("6escliichte", 1), ("Schwelle", 40), ("Schwclle", 1), ("Thaumalehre", 40), ("T1iaumalehre", 1)], "word string, n long")
     got = {r.word: r.repair for r in scan_noise.misreadings(counts, spark.createDataFrame([], "word string")).collect()}
-    assert got == {"Spanriung": "Spannung", "Natiori": "Nation", "5atz": "Satz"}
+    assert got == {"Spanriung": "Spannung", "Natiori": "Nation", "5atz": "Satz", "6escliichte": "Geschichte", "Schwclle": "Schwelle", "T1iaumalehre": "Thaumalehre"}
 
 
 def test_letters_and_digits_that_are_words(spark):
