@@ -13,7 +13,6 @@ without edges have degree 0 and are components of their own; empty tables give n
 from __future__ import annotations
 
 import math
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -274,26 +273,28 @@ def betweenness(edges_: DataFrame, spark: SparkSession, most: int = DISPLAY_EDGE
         n, start, out = shared.value
         total = np.zeros(n)
         for batch in batches:
-            for s in batch["id"]:
-                paths, level, back = np.zeros(n), np.full(n, -1), [[] for _ in range(n)]
+            for s in batch["id"].to_numpy():
+                paths, level = np.zeros(n), np.full(n, -1)
                 paths[s], level[s] = 1, 0
-                queue, seen = deque([s]), []
-                while queue:
-                    v = queue.popleft()
-                    seen.append(v)
-                    for w in out[start[v] : start[v + 1]]:
-                        if level[w] < 0:
-                            level[w] = level[v] + 1
-                            queue.append(w)
-                        if level[w] == level[v] + 1:
-                            paths[w] += paths[v]
-                            back[w].append(v)
+                front, steps = np.array([s]), []
+                # One step a level, over all edges that leave it at once.
+                while len(front):
+                    counts = start[front + 1] - start[front]
+                    source = np.repeat(front, counts)
+                    target = out[np.arange(counts.sum()) + np.repeat(start[front] - np.cumsum(counts) + counts, counts)]
+                    on = level[source] + 1
+                    fresh = np.unique(target[level[target] < 0])
+                    level[fresh] = level[front[0]] + 1
+                    down = level[target] == on
+                    source, target = source[down], target[down]
+                    paths += np.bincount(target, paths[source], n)
+                    steps.append((source, target))
+                    front = fresh
                 share = np.zeros(n)
-                for w in reversed(seen):
-                    for v in back[w]:
-                        share[v] += paths[v] / paths[w] * (1 + share[w])
-                    if w != s:
-                        total[w] += share[w]
+                for source, target in reversed(steps):
+                    share += np.bincount(source, paths[source] / paths[target] * (1 + share[target]), n)
+                share[s] = 0
+                total += share
         yield pd.DataFrame({"node": np.arange(n), "part": total})
 
     cores = max(1, min(n, spark.sparkContext.defaultParallelism * 4))
