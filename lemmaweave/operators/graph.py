@@ -3,8 +3,8 @@
 Edges are frames (source, target, weight). Iterative algorithms (components,
 communities) are DataFrame loops whose state is checkpointed each round, with messages
 combined map-side, so a hub's neighbours are never gathered in one task. Betweenness
-spreads its sources over the cluster, each task holding the whole edge list as arrays; it
-and the force layout are for graphs of display size and check that before they collect.
+spreads its sources over the cluster, each task holding the whole edge list as numbers; the
+force layout is for graphs of display size and checks that before it collects.
 
 Defined results: edges with an end that is no node are dropped, self loops too; nodes
 without edges have degree 0 and are components of their own; empty tables give no rows.
@@ -13,20 +13,17 @@ without edges have degree 0 and are components of their own; empty tables give n
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lemmaweave.operators.paths import between
 from lemmaweave.operators.skew import heavy_values, join_by_value, sized
 from lemmaweave.sources import cut, stored
 
 RESOLVED = ["same_volume", "cross_volume", "deinflected", "slash_half"]
-#: Edges that betweenness and layout may hold in one process (about 100 MB of arrays).
-DISPLAY_EDGES = 5_000_000
-
 
 def nodes(entries: DataFrame) -> DataFrame:
     """Current entries but redirects: (id, volume, ordinal, headword, entry_type)."""
@@ -257,50 +254,24 @@ def _arrays(edges_: DataFrame, most: int) -> tuple[list[str], np.ndarray, np.nda
     return ids, pairs[a].map(at).to_numpy(np.int64), pairs[b].map(at).to_numpy(np.int64), pairs["weight"].to_numpy(float) if "weight" in pairs else np.ones(len(pairs))
 
 
-def betweenness(edges_: DataFrame, spark: SparkSession, most: int = DISPLAY_EDGES) -> DataFrame:
+def betweenness(edges_: DataFrame, spark: SparkSession) -> DataFrame:
     """(id, betweenness): directed, unweighted, over all shortest paths (Brandes 2001).
 
-    Sources are spread over the cluster; each task walks its sources on the shared edge
-    arrays and returns partial sums.
+    Sources are spread over the cluster; each task walks its sources on the whole edge
+    list, as numbers, and returns partial sums. Nothing is collected but that list.
     """
-    ids, source, target, _ = _arrays(edges_.select("source", "target").distinct(), most)
-    n = len(ids)
-    order = np.argsort(source, kind="stable")
-    start = np.searchsorted(source[order], np.arange(n + 1))
-    shared = spark.sparkContext.broadcast((n, start, target[order]))
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, start, out = shared.value
-        total = np.zeros(n)
-        for batch in batches:
-            for s in batch["id"].to_numpy():
-                paths, level = np.zeros(n), np.full(n, -1)
-                paths[s], level[s] = 1, 0
-                front, steps = np.array([s]), []
-                # One step a level, over all edges that leave it at once.
-                while len(front):
-                    counts = start[front + 1] - start[front]
-                    source = np.repeat(front, counts)
-                    target = out[np.arange(counts.sum()) + np.repeat(start[front] - np.cumsum(counts) + counts, counts)]
-                    on = level[source] + 1
-                    fresh = np.unique(target[level[target] < 0])
-                    level[fresh] = level[front[0]] + 1
-                    down = level[target] == on
-                    source, target = source[down], target[down]
-                    paths += np.bincount(target, paths[source], n)
-                    steps.append((source, target))
-                    front = fresh
-                share = np.zeros(n)
-                for source, target in reversed(steps):
-                    share += np.bincount(source, paths[source] / paths[target] * (1 + share[target]), n)
-                share[s] = 0
-                total += share
-        yield pd.DataFrame({"node": np.arange(n), "part": total})
-
-    cores = max(1, min(n, spark.sparkContext.defaultParallelism * 4))
-    sums = spark.range(0, n, 1, cores).mapInPandas(walk, "node long, part double").groupBy("node").agg(F.round(F.sum("part"), 3).alias("betweenness"))
-    names = spark.createDataFrame(pd.DataFrame({"node": np.arange(n), "id": ids})) if n else spark.createDataFrame([], "node long, id string")
-    return sums.join(names, "node").select("id", "betweenness")
+    pairs = stored(edges_.select("source", "target").distinct(), spark)
+    ends = pairs.select(F.col("target").alias("id"), F.lit(-1).alias("_d")).unionByName(pairs.select(F.col("source").alias("id"), F.lit(0).alias("_d")))
+    placed = stored(_placed_in_order(ends.groupBy("id").agg(F.sum("_d").alias("_d")), ["_d", "id"]).select("id", F.col("_at").alias("node")), spark)
+    n = placed.count()
+    a, b = placed.select(F.col("id").alias("source"), F.col("node").alias("_a")), placed.select(F.col("id").alias("target"), F.col("node").alias("_b"))
+    numbers = pairs.join(sized(a), "source").join(sized(b), "target").select((F.shiftleft("_a", 32) + F.col("_b")).alias("e"))
+    shared = numbers.agg(F.collect_list("e").alias("edges"))
+    tasks = max(1, min(n, spark.sparkContext.defaultParallelism * 4))
+    turns = spark.range(0, tasks, 1, tasks).select(F.col("id").alias("first"), F.lit(tasks).alias("step"), F.lit(n).alias("n"))
+    sums = turns.crossJoin(F.broadcast(shared)).select(F.posexplode(between(spark, "edges", "n", "first", "step")).alias("node", "part"))
+    total = sums.groupBy("node").agg(F.round(F.sum("part"), 3).alias("betweenness"))
+    return placed.join(total, "node").select("id", "betweenness")
 
 
 def layout(edges_: DataFrame, spark: SparkSession, iterations: int = 100, seed: int = 7, most: int = 200_000) -> DataFrame:

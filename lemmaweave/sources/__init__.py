@@ -104,9 +104,14 @@ def ship(spark: SparkSession) -> None:
         for file in files:
             archive.writestr(zipfile.ZipInfo(str(file.relative_to(package.parent))), file.read_bytes())
     digest = hashlib.sha256(data.getvalue()).hexdigest()[:16]
+    context.addPyFile(shared_file(spark, f"{package.name}-{digest}.zip", data.getvalue()))
+
+
+def shared_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write ``data`` as a file of the shared folder; returns its address."""
     assert spark._jvm is not None
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{package.name}-{digest}.zip")
-    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
-    out.write(data.getvalue())
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    out.write(data)
     out.close()
-    context.addPyFile(path.toUri().toString())
+    return path.toUri().toString()

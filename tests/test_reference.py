@@ -314,3 +314,16 @@ def test_a_cluster_must_name_its_folder(monkeypatch):
 
     with pytest.raises(ValueError):
         sources.shared_folder(Session())
+
+
+def test_betweenness_leaves_no_walk_to_python(spark):
+    """Half of 400 leaves lead to a hub, over two ways to a second one, to the other half."""
+    pairs = [(f"in{i}", "a") for i in range(200)] + [("a", "up"), ("a", "low"), ("up", "b"), ("low", "b")] + [("b", f"out{i}") for i in range(200)]
+    edges = spark.createDataFrame([(*p, 1) for p in pairs], "source string, target string, weight long")
+    found = graph.betweenness(edges, spark)
+    assert "InPandas" not in found._jdf.queryExecution().toString()
+    got = {r.id: r.betweenness for r in found.collect()}
+    assert len(got) == 404 and {i: v for i, v in got.items() if v} == {"a": 200 * 203.0, "b": 203 * 200.0, "up": 201 * 201 / 2, "low": 201 * 201 / 2}
+    degrees = graph.degrees(edges, spark.createDataFrame([(i,) for i in got], "id string"))
+    bridges = [(r.id, r.betweenness, r.b_rank) for r in story.bridges(degrees, found, 4, 2).collect()]
+    assert bridges == [("low", 20200.5, 2), ("up", 20200.5, 3)]
