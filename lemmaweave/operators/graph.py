@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +24,9 @@ from lemmaweave.operators.skew import heavy_values, join_by_value, sized
 from lemmaweave.sources import cut, stored
 
 RESOLVED = ["same_volume", "cross_volume", "deinflected", "slash_half"]
+#: Edges that the layout may hold in one process (16 bytes each, and as many for a step).
+DISPLAY_EDGES = 20_000_000
+
 
 def nodes(entries: DataFrame) -> DataFrame:
     """Current entries but redirects: (id, volume, ordinal, headword, entry_type)."""
@@ -243,15 +246,38 @@ class TooLarge(ValueError):
     """The graph is too large for a step that holds it in one process."""
 
 
-def _arrays(edges_: DataFrame, most: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Edge list as arrays, if it is of display size."""
-    if edges_.limit(most + 1).count() > most:
+def _arrays(edges_: DataFrame, spark: SparkSession, most: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """((id, node), edges (a, b, weight) as arrays of node numbers, in order); ids stay in Spark."""
+    pairs = stored(edges_.select("a", "b", F.col("weight").cast("double").alias("weight")), spark)
+    if pairs.count() > most:
         raise TooLarge(f"more than {most} edges: too large for one process")
-    pairs = edges_.toPandas()
-    a, b = pairs.columns[:2]
-    ids = sorted(set(pairs[a]) | set(pairs[b]))
-    at = {x: i for i, x in enumerate(ids)}
-    return ids, pairs[a].map(at).to_numpy(np.int64), pairs[b].map(at).to_numpy(np.int64), pairs["weight"].to_numpy(float) if "weight" in pairs else np.ones(len(pairs))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    placed = stored(_placed_in_order(ids, ["id"]).select("id", F.col("_at").alias("node")), spark)
+    a, b = placed.select(F.col("id").alias("a"), F.col("node").cast("int").alias("_a")), placed.select(F.col("id").alias("b"), F.col("node").cast("int").alias("_b"))
+    found = pairs.join(sized(a), "a").join(sized(b), "b").select("_a", "_b", "weight").toArrow()
+    left, right, weight = (found[name].to_numpy() for name in ("_a", "_b", "weight"))
+    order = np.lexsort((right, left))
+    return placed, left[order], right[order], weight[order]
+
+
+def _pushed(at: np.ndarray, centre: np.ndarray, mass: np.ndarray, block: int = 65_536) -> np.ndarray:
+    """What the cells (centre, mass) push each point by: mass over distance, summed.
+
+    In blocks of points that stay in the processor's cache; distances and sums are products
+    of matrices.
+    """
+    move, rows = np.empty_like(at), max(1, block // len(mass))
+    sides, square, one = -2 * centre.T, (centre * centre).sum(1), np.column_stack([np.ones(len(mass)), centre])
+    for i in range(0, len(at), rows):
+        part = at[i : i + rows]
+        away = part @ sides
+        away += square
+        away += (part * part).sum(1)[:, None]
+        np.maximum(away, 0.01, out=away)
+        np.divide(mass, away, out=away)
+        sums = away @ one
+        move[i : i + rows] = part * sums[:, :1] - sums[:, 1:]
+    return move
 
 
 def betweenness(edges_: DataFrame, spark: SparkSession) -> DataFrame:
@@ -274,14 +300,15 @@ def betweenness(edges_: DataFrame, spark: SparkSession) -> DataFrame:
     return placed.join(total, "node").select("id", "betweenness")
 
 
-def layout(edges_: DataFrame, spark: SparkSession, iterations: int = 100, seed: int = 7, most: int = 200_000) -> DataFrame:
+def layout(edges_: DataFrame, spark: SparkSession, iterations: int = 100, seed: int = 7, most: int = DISPLAY_EDGES) -> DataFrame:
     """(id, x, y): force-directed layout (Fruchterman and Reingold 1991), seeded.
 
-    Repulsion is taken from the cells of a grid (own and neighbouring cells exactly, the
-    rest by their centres), so a step costs about n times the number of cells.
+    Repulsion is taken from the centres of the cells of a grid, so a step costs about n
+    times the number of cells, which is n / 64. Edges come in order, so the places are the
+    same for every partitioning.
     """
-    ids, a, b, w = _arrays(edges_.select("a", "b", "weight"), most)
-    n = len(ids)
+    placed, a, b, w = _arrays(edges_, spark, most)
+    n = placed.count()
     if not n:
         return spark.createDataFrame([], "id string, x double, y double")
     random = np.random.default_rng(seed)
@@ -294,17 +321,16 @@ def layout(edges_: DataFrame, spark: SparkSession, iterations: int = 100, seed:
         flat = cell[:, 0] * side + cell[:, 1]
         mass = np.bincount(flat, minlength=side * side).astype(float)
         centre = np.stack([np.bincount(flat, at[:, k], side * side) for k in (0, 1)], 1) / np.maximum(mass, 1)[:, None]
-        move = np.zeros((n, 2))
-        for c in np.flatnonzero(mass):
-            d = at - centre[c]
-            move += d * (mass[c] / np.maximum((d * d).sum(1), 0.01))[:, None]
+        full = np.flatnonzero(mass)
+        move = _pushed(at, centre[full], mass[full])
         d = at[a] - at[b]
         pull = d * (np.sqrt((d * d).sum(1)) * np.log1p(w))[:, None] * 0.1
-        np.add.at(move, a, -pull)
-        np.add.at(move, b, pull)
+        for k in (0, 1):
+            move[:, k] += np.bincount(b, pull[:, k], n) - np.bincount(a, pull[:, k], n)
         length = np.sqrt((move * move).sum(1))
         at += move / np.maximum(length, 1e-9)[:, None] * np.minimum(length, heat)[:, None]
-    return spark.createDataFrame(pd.DataFrame({"id": ids, "x": at[:, 0], "y": at[:, 1]}))
+    points = spark.createDataFrame(pa.table({"node": np.arange(n), "x": at[:, 0], "y": at[:, 1]}))
+    return placed.join(points, "node").select("id", "x", "y")
 
 
 def normalised(points: DataFrame, extent: float = 1000.0) -> DataFrame:

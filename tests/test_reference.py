@@ -327,3 +327,18 @@ def test_betweenness_leaves_no_walk_to_python(spark):
     degrees = graph.degrees(edges, spark.createDataFrame([(i,) for i in got], "id string"))
     bridges = [(r.id, r.betweenness, r.b_rank) for r in story.bridges(degrees, found, 4, 2).collect()]
     assert bridges == [("low", 20200.5, 2), ("up", 20200.5, 3)]
+
+
+def test_layout_of_more_edges_than_before(spark):
+    """Beyond 200,000 edges there are places too, the same for every partitioning."""
+    import numpy as np
+
+    ids = spark.range(650).select(F.format_string("n%03d", "id").alias("a"))
+    pairs = ids.crossJoin(ids.withColumnRenamed("a", "b")).where("a < b").withColumn("weight", F.lit(1))
+    one = {r.id: (r.x, r.y) for r in graph.layout(pairs, spark, 2).collect()}
+    assert len(one) == 650 and pairs.count() > 200_000
+    assert one == {r.id: (r.x, r.y) for r in graph.layout(pairs.repartition(3, "b"), spark, 2).collect()}
+    rng = np.random.default_rng(1)
+    at, centre, mass = rng.normal(size=(300, 2)) * 20, rng.normal(size=(40, 2)) * 20, rng.integers(1, 9, 40).astype(float)
+    d = at[:, None] - centre[None]
+    assert np.allclose(graph._pushed(at, centre, mass, 1000), (d * (mass / np.maximum((d * d).sum(2), 0.01))[:, :, None]).sum(1))
