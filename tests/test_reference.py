@@ -342,3 +342,14 @@ def test_layout_of_more_edges_than_before(spark):
     at, centre, mass = rng.normal(size=(300, 2)) * 20, rng.normal(size=(40, 2)) * 20, rng.integers(1, 9, 40).astype(float)
     d = at[:, None] - centre[None]
     assert np.allclose(graph._pushed(at, centre, mass, 1000), (d * (mass / np.maximum((d * d).sum(2), 0.01))[:, :, None]).sum(1))
+
+
+def test_betweenness_is_the_same_for_every_partitioning(spark):
+    """Of a long way with no branches, walked both ways, by more tasks than it has hubs."""
+    n = 300
+    ring = spark.range(n - 1).select(F.col("id").cast("string").alias("source"), (F.col("id") + 1).cast("string").alias("target"), F.lit(1).alias("weight"))
+    both = ring.unionByName(ring.select(F.col("target").alias("source"), F.col("source").alias("target"), "weight"))
+    got = {int(r.id): r.betweenness for r in graph.betweenness(both.repartition(7), spark).collect()}
+    assert got == {i: 2.0 * i * (n - 1 - i) for i in range(n)}
+    with pytest.raises(TypeError):
+        graph.betweenness(both, spark, most=1)  # there is no size it refuses
